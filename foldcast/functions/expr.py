@@ -34,6 +34,11 @@ def safe_div(n: Column | str, d: Column | str, on_zero: str | None = None) -> Co
     ).otherwise(quotient)
 
 
+def ratio(n: str, d: str) -> str:
+    """``safe_div`` as SQL text, for the wide generated selects."""
+    return f"try_divide(cast({n} as double), cast({d} as double))"
+
+
 def flag(condition: Column) -> Column:
     """1 where the condition holds, 0 where it does not or is NULL."""
     return F.when(condition, 1).otherwise(0)
@@ -67,7 +72,7 @@ def recode(df: DataFrame, mapping: dict, cols: Sequence[str]) -> DataFrame:
 
 def decode(col: Column | str, labels: Sequence) -> Column:
     """The label at position ``col`` (from 0); NULL outside the list."""
-    return F.try_element_at(F.array(*[F.lit(v) for v in labels]), (as_col(col) + 1).cast("int"))
+    return F.try_element_at(F.lit(list(labels)), (as_col(col) + 1).cast("int"))
 
 
 def recode_label(col: Column | str, lookup: Sequence[int]) -> Column:
@@ -112,9 +117,7 @@ def remaining_fraction(n: Column | str, last: Column | str) -> Column:
 def one_hot(df: DataFrame, col: str, values: Sequence, prefix: str | None = None) -> DataFrame:
     """One 0/1 column per declared value."""
     prefix = col if prefix is None else prefix
-    return df.select(
-        "*", *[flag(F.col(col) == v).alias(f"{prefix}_{v}") for v in values]
-    )
+    return df.select("*", *[flag(F.col(col) == v).alias(f"{prefix}_{v}") for v in values])
 
 
 def drop_matching(df: DataFrame, parts: Sequence[str]) -> DataFrame:

@@ -10,10 +10,8 @@ from pyspark.sql import functions as F
 
 def fold_of(edges: Sequence[int], row_no: str = "row_no") -> Column:
     """Fold number from 1; NULL past the last edge (rows without a label)."""
-    out = F.lit(None).cast("int")
-    for k in range(len(edges), 0, -1):
-        out = F.when(F.col(row_no) <= edges[k - 1], k).otherwise(out)
-    return out
+    whens = " ".join(f"when `{row_no}` <= {edge} then {k}" for k, edge in enumerate(edges, 1))
+    return F.expr(f"case {whens} end")
 
 
 def _own_range(k: int, edges: Sequence[int], row_no: str) -> Column:
@@ -37,7 +35,7 @@ def fold_complement(df: DataFrame, k: int, edges: Sequence[int],
 def out_of_fold(df: DataFrame, edges: Sequence[int], row_no: str = "row_no",
                 name: str = "fold") -> DataFrame:
     """Each row once for every fold it does not belong to. Narrow: no join, no shuffle."""
-    folds = F.array(*[F.lit(k) for k in range(1, len(edges) + 1)])
+    folds = F.lit(list(range(1, len(edges) + 1)))
     others = F.filter(folds, lambda k: ~k.eqNullSafe(fold_of(edges, row_no)))
     return df.select("*", F.explode(others).alias(name))
 

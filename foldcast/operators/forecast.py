@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldcast.functions.expr import all_present, recode_label, row_sum, safe_div
+from foldcast.functions.expr import all_present, ratio, recode_label, row_sum
 from foldcast.operators.joins import lookup_join
 from foldcast.operators.mix import class_mix
 
@@ -33,8 +33,8 @@ def frequency_forecast(labelled: DataFrame, rows: DataFrame, keys: Sequence[str]
     joined = lookup_join(rows, mix, ["fold", *keys], salt_on).join(
         F.broadcast(overall), "fold", "left"
     )
-    return joined.select(
-        *rows.columns, *[F.coalesce(f"_k_{c}", f"_f_{c}").alias(c) for c in classes]
+    return joined.selectExpr(
+        *rows.columns, *[f"coalesce(`_k_{c}`, `_f_{c}`) as `{c}`" for c in classes]
     )
 
 
@@ -46,26 +46,29 @@ def fold_average(probs: DataFrame, classes: Sequence[str], key: str = "row_no")
 def normalise(probs: DataFrame, classes: Sequence[str]) -> DataFrame:
     """Scale each row's probabilities to sum 1."""
     total = row_sum(classes)
-    return probs.withColumns({c: safe_div(c, total) for c in classes})
+    return _scaled(probs, classes, total)
 
 
 def ensemble(p: DataFrame, q: DataFrame, classes: Sequence[str], how: str = "mean",
              key: str = "row_no") -> DataFrame:
     """Two forecasts into one: arithmetic mean, or geometric mean scaled to sum 1."""
-    right = q.select(key, *[F.col(c).alias(f"_q_{c}") for c in classes])
+    right = q.select(key, *classes).withColumnsRenamed({c: f"_q_{c}" for c in classes})
     both = p.select(key, *classes).join(right, key)
     if how == "mean":
-        return both.select(
-            key, *[((F.col(c) + F.col(f"_q_{c}")) / 2).alias(c) for c in classes]
-        )
+        return both.selectExpr(key, *[f"(`{c}` + `_q_{c}`) / 2 as `{c}`" for c in classes])
     if how != "geometric":
         raise ValueError(f"how must be 'mean' or 'geometric', not {how!r}")
-    roots = both.select(
-        key, *[F.sqrt(F.col(c) * F.col(f"_q_{c}")).alias(c) for c in classes]
-    )
+    roots = both.selectExpr(key, *[f"sqrt(`{c}` * `_q_{c}`) as `{c}`" for c in classes])
     # NULL counts as zero in the row total
-    total = row_sum(classes, skip_null=True)
-    return roots.select(key, *[safe_div(c, total).alias(c) for c in classes])
+    return _scaled(roots, classes, row_sum(classes, skip_null=True))
+
+
+def _scaled(probs: DataFrame, classes: Sequence[str], total: Column) -> DataFrame:
+    scaled = set(classes)
+    return probs.withColumn("_total", total).selectExpr(*[
+        f"{ratio(f'`{c}`', '_total')} as `{c}`" if c in scaled else f"`{c}`"
+        for c in probs.columns
+    ])
 
 
 def _true_prob(label: str, classes: Sequence[str]) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldcast.functions.expr import all_present, flag, row_sum, safe_div
+from foldcast.functions.expr import all_present, flag, ratio, row_sum
 from foldcast.operators.joins import lookup_join
 from foldcast.vocabulary import BALLS, HANDS, ROLE_COUNTERS, ZONES
 
@@ -27,8 +27,8 @@ def distinct_count(df: DataFrame, keys: Sequence[str], of: Sequence[str], name:
 
 def _label_counts(balls: Sequence[str], zones: Sequence[str]) -> list[Column]:
     return [
-        *[F.count_if(F.col("ball") == i).alias(c) for i, c in enumerate(balls)],
-        *[F.count_if(F.col("course") == i).alias(c) for i, c in enumerate(zones)],
+        *[F.expr(f"count_if(ball = {i}) as `{c}`") for i, c in enumerate(balls)],
+        *[F.expr(f"count_if(course = {i}) as `{c}`") for i, c in enumerate(zones)],
     ]
 
 
@@ -71,7 +71,7 @@ def per_unit_rates(df: DataFrame) -> DataFrame:
         "pit_ball_per_inning": ("total", "pit_inning_cnt"),
         "pit_ball_per_batter": ("total", "pit_batter_cnt"),
     }
-    return df.select("*", *[safe_div(n, d).alias(k) for k, (n, d) in rates.items()])
+    return df.selectExpr("*", *[f"{ratio(n, d)} as {k}" for k, (n, d) in rates.items()])
 
 
 def with_history(actors: DataFrame, history: DataFrame, folds: Sequence[int],
@@ -92,11 +92,11 @@ def fill_segment_mean(df: DataFrame, segment: Column, cols: Sequence[str],
     keys = ["_segment", "pit_bat", "fold"]
     rows = df.withColumn("_segment", segment)
     known = rows.where((F.col("has_history") == 1) & F.col("pit_bat").isin(list(hands)))
-    means = known.groupBy(*keys).agg(*[F.avg(c).alias(f"_mean_{c}") for c in cols])
+    means = known.groupBy(*keys).agg(*[F.expr(f"avg(`{c}`) as `_mean_{c}`") for c in cols])
     joined = rows.join(F.broadcast(means), keys, "left")
-    filled = {
-        c: F.when(F.col("has_history") == 1, F.col(c).cast("double"))
-        .otherwise(F.col(f"_mean_{c}")).alias(c)
-        for c in cols
-    }
-    return joined.select(*[filled.get(c, F.col(c)) for c in df.columns])
+    filled = set(cols)
+    return joined.selectExpr(*[
+        f"if(has_history = 1, cast(`{c}` as double), `_mean_{c}`) as `{c}`"
+        if c in filled else f"`{c}`"
+        for c in df.columns
+    ])

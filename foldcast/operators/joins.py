@@ -11,8 +11,6 @@ import os
 import tempfile
 import uuid
 from collections.abc import Sequence
-from functools import reduce
-from operator import add
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,25 +41,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def _row_bytes(df: DataFrame):
-    """Upper estimate of the in-memory size of one row of flat columns."""
+    """Upper estimate of the in-memory size of flat rows, summed."""
     texts = [
-        F.coalesce(F.octet_length(f.name), F.lit(0))
+        f" + coalesce(octet_length(`{f.name}`), 0)"
         for f in df.schema.fields if isinstance(f.dataType, StringType)
     ]
-    return reduce(add, texts, F.lit(16 * len(df.columns) + 16)).cast("bigint")
+    return F.expr(f"sum(cast({16 * len(df.columns) + 16}{''.join(texts)} as bigint))")
 
 
 def stored(df: DataFrame) -> tuple[DataFrame, int]:
     """Write a derived table to the shared folder once; return it with its measured bytes."""
     shared_folder(df.sparkSession)
     seen = Observation()
-    kept = df.observe(seen, F.sum(_row_bytes(df)).alias("bytes")).checkpoint()
+    kept = df.observe(seen, _row_bytes(df).alias("bytes")).checkpoint()
     return kept, seen.get["bytes"] or 0
 
 
 def measured(df: DataFrame) -> tuple[DataFrame, int]:
     """The same for a table that is already stored: one narrow pass instead of a copy."""
-    return df, df.agg(F.sum(_row_bytes(df))).first()[0] or 0
+    return df, df.agg(_row_bytes(df)).first()[0] or 0
 
 
 def lookup_join(df: DataFrame, lookup: DataFrame, keys: Sequence[str], salt_on: Sequence[str],
@@ -85,12 +83,13 @@ def spread_join(df: DataFrame, lookup: DataFrame, keys: Sequence[str], salt_on:
     The list of heavy keys has at most rows / ``heavy_rows`` entries, so it can be broadcast.
     """
     keys = list(keys)
-    if counts is None:
+    known = counts is not None
+    if not known:
         counts = df.where(all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    heavy, _ = stored(
-        counts.where(F.col("n") > heavy_rows)
-        .select(*keys, F.ceil(F.col("n") / F.lit(heavy_rows)).cast("int").alias("_slots"))
-    )
+    heavy = counts.where(F.col("n") > heavy_rows).select(
+        *keys, F.ceil(F.col("n") / F.lit(heavy_rows)).cast("int").alias("_slots"))
+    if not known:
+        heavy, _ = stored(heavy)  # used twice below
     slots = F.when(~all_present(keys), NULL_SLOTS).otherwise(F.coalesce("_slots", F.lit(1)))
     salt = F.pmod(F.xxhash64(*salt_on), slots).cast("int")
     left = df.join(F.broadcast(heavy), keys, "left").withColumn("_slot", salt).drop("_slots")

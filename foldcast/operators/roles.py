@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from foldcast.functions.expr import safe_div
+from foldcast.functions.expr import ratio
 from foldcast.operators.joins import lookup_join
 
 
@@ -20,57 +19,56 @@ def join_roles(events: DataFrame, roles: dict[str, tuple[str, DataFrame]],
     """
     out = events
     for suffix, (id_col, table) in roles.items():
-        renamed = table.select(
-            F.col("player_id").alias(id_col), *keys,
-            *[F.col(c).alias(c + suffix) for c in table.columns
-              if c != "player_id" and c not in keys],
-        )
+        renamed = table.withColumnsRenamed({
+            c: id_col if c == "player_id" else c + suffix
+            for c in table.columns if c not in keys
+        })
         out = lookup_join(out, renamed, [id_col, *keys], salt_on)
     return out
 
 
-def pair_diff_exprs(cols: Sequence[str], pairs: dict[str, tuple[str, str]]) -> list[Column]:
+def pair_diff_exprs(cols: Sequence[str], pairs: dict[str, tuple[str, str]]) -> list[str]:
     return [
-        (F.col(f"{c}_{a}") - F.col(f"{c}_{b}")).alias(f"{c}_dif_{pair}")
+        f"{c}_{a} - {c}_{b} as {c}_dif_{pair}"
         for pair, (a, b) in pairs.items() for c in cols
     ]
 
 
 def pair_diff(df: DataFrame, cols: Sequence[str], pairs: dict[str, tuple[str, str]]) -> DataFrame:
     """Difference of each column between the two roles of every pair."""
-    return df.select("*", *pair_diff_exprs(cols, pairs))
+    return df.selectExpr("*", *pair_diff_exprs(cols, pairs))
 
 
-def _source(name: str, source: str) -> Column:
-    return F.col(f"bc_{name}") if source == "bc" else F.col(f"{name}_{source}")
+def _source(name: str, source: str) -> str:
+    return f"bc_{name}" if source == "bc" else f"{name}_{source}"
 
 
 def pair_combine_exprs(names: Sequence[str], pairs: dict[str, tuple[str, str]],
                        ops: Sequence[str], base: str | None = None,
-                       short: bool = False) -> list[Column]:
-    """Generated expressions op_pair_name; ``rate`` divides the mean of a pair by one minus
+                       short: bool = False) -> list[str]:
+    """Generated SQL expressions op_pair_name; ``rate`` divides the mean of a pair by one minus
     the mean of the ``base`` class. ``short`` leaves the pair out of the names."""
 
-    def mean(pair: str, name: str) -> Column:
+    def mean(pair: str, name: str) -> str:
         a, b = pairs[pair]
-        return (_source(name, a) + _source(name, b)) / 2
+        return f"(({_source(name, a)} + {_source(name, b)}) / 2)"
 
-    def value(op: str, pair: str, name: str) -> Column:
+    def value(op: str, pair: str, name: str) -> str:
         a, b = (_source(name, s) for s in pairs[pair])
         if op == "sub":
-            return a - b
+            return f"{a} - {b}"
         if op == "div":
-            return safe_div(a, b)
+            return ratio(a, b)
         if op == "mul":
-            return a * b
+            return f"{a} * {b}"
         if op == "ave":
             return mean(pair, name)
         if op == "rate":
-            return safe_div(mean(pair, name), F.lit(1.0) - mean(pair, base))
+            return ratio(mean(pair, name), f"1 - {mean(pair, base)}")
         raise ValueError(f"unknown operation {op!r}")
 
     return [
-        value(op, pair, name).alias(f"{op}_{name}" if short else f"{op}_{pair}_{name}")
+        f"{value(op, pair, name)} as " + (f"{op}_{name}" if short else f"{op}_{pair}_{name}")
         for name in names for op in ops for pair in pairs
     ]
 
@@ -79,7 +77,7 @@ def pair_combine(df: DataFrame, names: Sequence[str], pairs: dict[str, tuple[str
                  ops: Sequence[str] = ("sub", "div", "mul", "ave"), base: str | None = None,
                  ) -> DataFrame:
     """Combine the mixes of two sources for every pair, operation and class in one select."""
-    return df.select("*", *pair_combine_exprs(names, pairs, ops, base))
+    return df.selectExpr("*", *pair_combine_exprs(names, pairs, ops, base))
 
 
 def pair_combine_two(df: DataFrame, balls: Sequence[str], zones: Sequence[str], base: str,
@@ -87,7 +85,7 @@ def pair_combine_two(df: DataFrame, balls: Sequence[str], zones: Sequence[str],
     """The two-source form: count mix against pitcher, plus two differences to the catcher."""
     pair = {"bc_p": ("bc", "pit")}
     catcher = {"p_c": ("pit", "cat"), "bc_c": ("bc", "cat")}
-    return df.select(
+    return df.selectExpr(
         "*",
         *pair_combine_exprs(balls, pair, ["sub", "div", "mul", "ave", "rate"], base, short=True),
         *pair_combine_exprs(balls, catcher, ["sub"]),

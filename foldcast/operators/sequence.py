@@ -1,10 +1,14 @@
 """Order-aware features over groups of any size.
 
 Rows carry a unique, ascending integer ``order`` column. It is cut into chunks of
-``CHUNK_ROWS`` numbers and the table is laid out by (leading group keys, chunk), so a window
-partition holds at most ``CHUNK_ROWS`` rows even when one group is a third of the table. What a
-chunk needs from the rest of its group (whole-group minima, the last value of the chunk before)
-travels in a carry table with one row per group and chunk, joined on the same layout.
+``CHUNK_ROWS`` numbers and the wide rows are laid out once by (leading group keys, chunk), so a
+window partition holds at most ``CHUNK_ROWS`` rows even when one group is a third of the table.
+
+A group that lies in one chunk is finished by its window. For a group that spans chunks, what
+each chunk needs from the others (whole-group minima, the last value of the chunk before) is
+worked out from one pre-aggregated row per group and chunk. In a log written in order only the
+groups open at a chunk border span, so this carry table is small; its size is measured, and it
+is broadcast under the bound and joined on (keys, chunk), which cannot be skewed, beyond it.
 """
 
 from __future__ import annotations
@@ -16,8 +20,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldcast.functions.expr import all_present, as_col
+from foldcast.operators.joins import BROADCAST_BYTES, stored
 
-CHUNK_ROWS = 1 << 20
+CHUNK_ROWS = 1 << 22
 CHUNK = "_chunk"
 _COMBINE = {"min": F.min, "max": F.max, "sum": F.sum, "count": F.count}
 _MERGE = {"min": F.min, "max": F.max, "sum": F.sum, "count": F.sum}
@@ -39,17 +44,19 @@ class Group:
         return F.struct(*[as_col(c).alias(n) for n, c in self.previous.items()])
 
 
-def _carry(flat: DataFrame, group: Group, order: str, lead: list[str]) -> DataFrame:
+def _carry(flat: DataFrame, group: Group, order: str) -> tuple[DataFrame, int]:
+    """One row per chunk of every group that spans chunks, stored, with its bytes."""
     keys = list(group.keys)
     parts = [_COMBINE[fn](as_col(c)).alias(n) for n, (fn, c) in group.stats.items()]
     if group.previous:
-        parts.append(F.max_by(group.last_values(), F.col(order)).alias("_tail"))
+        parts.append(F.max_by(group.last_values(), F.col(order)).alias("_last"))
     pieces = flat.where(all_present(keys)).groupBy(*keys, CHUNK).agg(*parts)
-    whole = Window.partitionBy(*keys)
-    cols = [_MERGE[fn](n).over(whole).alias(n) for n, (fn, _) in group.stats.items()]
+    whole = Window.partitionBy(*keys)  # one row per chunk of the group
+    cols = [_MERGE[fn](n).over(whole).alias(f"_whole_{n}") for n, (fn, _) in group.stats.items()]
     if group.previous:
-        cols.append(F.lag("_tail").over(whole.orderBy(CHUNK)).alias("_tail"))
-    return pieces.select(*keys, CHUNK, *cols).repartition(*lead, CHUNK)
+        cols.append(F.lag("_last").over(whole.orderBy(CHUNK)).alias("_tail"))
+    spanning = pieces.select(*keys, CHUNK, *cols, F.count(CHUNK).over(whole).alias("_chunks"))
+    return stored(spanning.where("_chunks > 1"))
 
 
 def along_groups(df: DataFrame, order: str, groups: Sequence[Group],
@@ -61,22 +68,28 @@ def along_groups(df: DataFrame, order: str, groups: Sequence[Group],
     """
     lead = list(lead or groups[0].keys)
     flat = df.withColumn(CHUNK, F.floor(F.col(order) / F.lit(chunk_rows)))
+    first, last = flat.agg(F.min(CHUNK), F.max(CHUNK)).first()
     out = flat.repartition(*lead, CHUNK)
     for group in groups:
-        keys = list(group.keys)
-        carry = _carry(flat, group, order, lead)
+        inside = Window.partitionBy(*lead, CHUNK, *[k for k in group.keys if k not in lead])
+        added = [
+            _COMBINE[fn](as_col(c)).over(inside).alias(n) for n, (fn, c) in group.stats.items()
+        ]
         if group.previous:
-            inside = Window.partitionBy(*lead, CHUNK, *[k for k in keys if k not in lead])
-            out = out.withColumn("_prev", F.lag(group.last_values()).over(inside.orderBy(order)))
-        kept = [c for c in out.columns if c != "_prev"]
-        joined = out.join(carry, [*keys, CHUNK], "left")
-        if group.previous:
-            before = F.when(all_present(keys), F.coalesce("_prev", "_tail"))
-            joined = joined.withColumn("_before", before)
-        out = joined.select(
-            *kept,
-            *group.stats,
-            *[F.col(f"_before.{n}").alias(n) for n in group.previous],
+            added.append(F.lag(group.last_values()).over(inside.orderBy(order)).alias("_prev"))
+        before, out = out.columns, out.select("*", *added)
+        carry, size = (None, 0) if first == last else _carry(flat, group, order)
+        if size:
+            carry = carry.drop("_chunks")
+            carry = F.broadcast(carry) if size <= BROADCAST_BYTES else carry
+            out = out.join(carry, [*group.keys, CHUNK], "left")
+        known = all_present(group.keys)
+        stats = {n: f"coalesce(`_whole_{n}`, `{n}`)" if size else f"`{n}`" for n in group.stats}
+        prev = "coalesce(_prev, _tail)" if size else "_prev"
+        out = out.select(
+            *before,
+            *[F.when(known, F.expr(e)).alias(n) for n, e in stats.items()],
+            *[F.when(known, F.expr(f"{prev}.`{n}`")).alias(n) for n in group.previous],
         )
     return out.drop(CHUNK)
 

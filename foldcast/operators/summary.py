@@ -19,7 +19,7 @@ def class_prior(df: DataFrame, label: str, classes: Sequence[str]) -> DataFrame:
     """Share of each class over all rows, as one row; rows without a label count in the total.
     Class i is the label value i."""
     return df.agg(
-        *[(F.count_if(F.col(label) == i) / F.count(F.lit(1))).alias(c)
+        *[F.expr(f"count_if(`{label}` = {i}) / count(1) as `{c}`")
           for i, c in enumerate(classes)]
     )
 

@@ -14,7 +14,7 @@ from foldcast.functions.expr import (
 from foldcast.functions.situation import profile, situation_flags
 from foldcast.operators.folds import fold_of, out_of_fold
 from foldcast.operators.history import actor_history, fill_segment_mean, with_history
-from foldcast.operators.joins import fan_out, lookup_join
+from foldcast.operators.joins import fan_out, lookup_join, stored
 from foldcast.operators.mix import conditional_mix, rollup_groups, to_share
 from foldcast.operators.ranks import avg_rank
 from foldcast.operators.roles import join_roles, pair_combine_exprs, pair_diff_exprs
@@ -44,15 +44,15 @@ def with_clock(events: DataFrame) -> DataFrame:
 
     One pass reduces the events to games; both minima come from that table.
     """
-    games = events.groupBy("year", "game_id").agg(
+    games, _ = stored(events.groupBy("year", "game_id").agg(
         F.min("game_date").alias("_date"), F.min("game_time").alias("_time")
-    )
+    ))
     opening = games.where("year is not null").groupBy("year").agg(
         F.min("_date").alias("_opening"))
     start = games.where("game_id is not null").groupBy("game_id").agg(
         F.min("_time").alias("_start"))
-    timed = lookup_join(events, opening, ["year"], ["row_no"])
-    timed = lookup_join(timed, start, ["game_id"], ["row_no"])
+    timed = lookup_join(events, opening, ["year"], ["row_no"], derived=False)
+    timed = lookup_join(timed, start, ["game_id"], ["row_no"], derived=False)
     return timed.withColumns({
         "date_from_opening": days_between("game_date", "_opening"),
         "elapsed_min": elapsed_minutes("game_time", "_start"),
@@ -112,20 +112,21 @@ def event_features(events: DataFrame, plate: Sequence[str] = PLATE, mix_fold: bo
     The mix is taken over all labelled rows; with ``mix_fold`` it is kept out here and joined
     per fold by ``build_features``.
     """
-    keyed = situation_flags(with_keys(events))
-    if not mix_fold:
-        mix = conditional_mix(
-            keyed.where(fold_of(edges).isNotNull()), COUNT_KEYS, v.BALLS, v.ZONES)
-        keyed = lookup_join(keyed, mix, COUNT_KEYS, ["row_no"])
-    return sequence_features(with_clock(keyed), plate)
+    keyed = with_keys(events)
+    ordered = sequence_features(with_clock(situation_flags(keyed)), plate)
+    if mix_fold:
+        return ordered
+    labelled = keyed.where(fold_of(edges).isNotNull())
+    mix = conditional_mix(labelled, COUNT_KEYS, v.BALLS, v.ZONES)
+    return lookup_join(ordered, mix, COUNT_KEYS, ["row_no"])
 
 
 def actor_profiles(actors: DataFrame) -> DataFrame:
-    """Actor rows with salary rank and profile columns."""
+    """Actor rows with salary rank and profile columns, stored: every role starts from them."""
     ranked = avg_rank(actors, "salary", ["year", "team_id"], ["player_id", "year"],
                       "salary_rank")
-    return profile(ranked).select(
-        "player_id", "year", "position", "throws", "bats", "foreigner", *v.PROFILE)
+    return stored(profile(ranked).select(
+        "player_id", "year", "position", "throws", "bats", "foreigner", *v.PROFILE))[0]
 
 
 def hands_of(profiles: DataFrame, role: str) -> DataFrame:
@@ -161,7 +162,10 @@ def role_table(profiles: DataFrame, events: DataFrame, role: str,
     table = with_history(hands_of(profiles, role), history, folds)
     if min_years is not None:
         known = F.col("play_year") >= min_years
-        hidden = {c: F.when(known, F.col(c)) for c in [*v.BALLS, "total", *v.ZONES, *counters]}
+        hidden = {
+            c: F.expr(f"if(play_year >= {min_years}, {c}, null)")
+            for c in [*v.BALLS, "total", *v.ZONES, *counters]
+        }
         table = table.withColumns(
             {**hidden, "has_history": flag(known & (F.col("has_history") == 1))})
     if fill:
@@ -212,7 +216,7 @@ def build_features(events: DataFrame, actors: DataFrame, edges: Sequence[int] =
         for role in ("pitcher", "batter", "catcher")
     }
     joined = join_roles(wide, roles, ["year", "pit_bat", "fold"], ["row_no", "fold"])
-    combined = joined.select(
+    combined = joined.selectExpr(
         "*",
         *pair_diff_exprs(v.PROFILE_DIFFS, v.ROLE_PAIRS),
         *pair_combine_exprs(v.BALLS, v.MIX_PAIRS, ["sub", "div", "mul", "ave", "rate"],

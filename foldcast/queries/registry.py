@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +21,6 @@ def query(name: str, sql: str | None = None):
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
     """Doubles rounded so that two engines agree on the last digits."""
-    return df.select(*[
-        F.round(c, places).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes
+    return df.selectExpr(*[
+        f"round(`{c}`, {places}) as `{c}`" if t == "double" else f"`{c}`" for c, t in df.dtypes
     ])
