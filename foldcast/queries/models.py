@@ -1 +1,106 @@
-"""Queries."""
+"""Model fits on the stand-in log; checked by rows, as a learner has no SQL counterpart."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from foldcast import vocabulary as v
+from foldcast.functions.situation import situation_flags
+from foldcast.operators import forecast as fc
+from foldcast.operators.folds import labelled, out_of_fold
+from foldcast.plans import learn
+from foldcast.queries.registry import query
+from foldcast.queries.views import pitch_like
+
+# the five event types in use; the other ball classes have no rows here
+CLASSES = v.BALLS[:5]
+FEATURES = [
+    "inning", "bat_cnt_in_inning", "pitch_cnt_in_bat", "out_cnt", "ball_cnt", "strike_cnt",
+    "home_point", "away_point", "bat_order", "first", "second", "third", "point_diff",
+    "total_inning", "catcher_id",
+]
+SMALL = {"maxDepth": 3}
+
+
+def _wide(spark, sf_dir):
+    pl, edges = pitch_like(spark, sf_dir)
+    flagged = situation_flags(pl)
+    return out_of_fold(flagged.select("row_no", *v.LABELS, *FEATURES), edges)
+
+
+def _fold_one(spark, sf_dir):
+    return _wide(spark, sf_dir).where(F.col("fold") == 1)
+
+
+@query("fit_rf")
+def fit_rf(spark, sf_dir):
+    run = learn.train_folds(_wide(spark, sf_dir), FEATURES, "ball", CLASSES, [1, 2, 3, 4], "rf",
+                            rounds=5, params=SMALL)
+    return run.probs
+
+
+@query("fit_ovr")
+def fit_ovr(spark, sf_dir):
+    rows = _fold_one(spark, sf_dir)
+    model = learn.fit_multiclass(labelled(rows, "ball"), FEATURES, "ball", CLASSES, "gbt",
+                                 rounds=3, params=SMALL)
+    return model.predict(rows)
+
+
+@query("fit_ovr_raw")
+def fit_ovr_raw(spark, sf_dir):
+    """One-per-class probabilities of all rows, not scaled."""
+    rows = _fold_one(spark, sf_dir)
+    model = learn.fit_multiclass(labelled(rows, "ball"), FEATURES, "ball", CLASSES, "gbt",
+                                 rounds=2, params=SMALL, scaled=False)
+    return model.predict(rows)
+
+
+@query("fit_sub_model")
+def fit_sub_model(spark, sf_dir):
+    return learn.sub_model(_wide(spark, sf_dir), FEATURES, v.LR_LOOKUP, v.LR_CLASSES, 1,
+                           learner="rf", rounds=5, params=SMALL)
+
+
+@query("fit_stacked")
+def fit_stacked(spark, sf_dir):
+    """Side and height sub-models as features of the ball model."""
+    wide = _fold_one(spark, sf_dir)
+    stacked, added = learn.with_sub_models(wide, FEATURES, [1], "rf", rounds=5, params=SMALL)
+    run = learn.train_folds(stacked, [*FEATURES, *added], "ball", CLASSES, [1], "rf", rounds=5,
+                            params=SMALL)
+    return run.probs
+
+
+@query("fit_regression")
+def fit_regression(spark, sf_dir):
+    return learn.regression_sub_model(_wide(spark, sf_dir), FEATURES, "pitch_cnt_in_bat", 1,
+                                      rounds=3, params=SMALL)
+
+
+@query("fit_importance")
+def fit_importance(spark, sf_dir):
+    run = learn.train_folds(_wide(spark, sf_dir), FEATURES, "ball", CLASSES, [1, 2], "rf",
+                            rounds=5, params=SMALL)
+    return run.importance
+
+
+@query("fit_logloss")
+def fit_logloss(spark, sf_dir):
+    rows = labelled(_fold_one(spark, sf_dir), "ball")
+    model = learn.fit_multiclass(rows, FEATURES, "ball", CLASSES, "rf", rounds=5, params=SMALL)
+    return fc.logloss(model.predict(rows, ["ball"]), "ball", CLASSES)
+
+
+@query("cv_rounds")
+def cv_rounds(spark, sf_dir):
+    rows = labelled(_fold_one(spark, sf_dir), "ball")
+    score, rounds = learn.cv_rounds(rows, FEATURES, "ball", CLASSES[:2], max_rounds=3,
+                                    params={"maxDepth": 2}, nfold=2)
+    return rows.sparkSession.createDataFrame([(score, rounds)], "score double, rounds int")
+
+
+@query("tune")
+def tune(spark, sf_dir):
+    rows = labelled(_fold_one(spark, sf_dir), "ball")
+    return learn.tune(rows, FEATURES, "ball", {"maxDepth": [2, 4]}, rounds=5)
