@@ -63,26 +63,27 @@ def measured(df: DataFrame) -> tuple[DataFrame, int]:
 
 
 def lookup_join(df: DataFrame, lookup: DataFrame, keys: Sequence[str], salt_on: Sequence[str],
-                derived: bool = True, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+                derived: bool = True, max_bytes: int | None = None) -> DataFrame:
     """Left join to a lookup table that is unique on ``keys``.
 
     ``derived`` lookups (the outcome of an aggregation) are stored first, so that measuring
     them does not compute them twice. ``salt_on`` names columns that identify a row of ``df``.
     """
     lookup, size = stored(lookup) if derived else measured(lookup)
-    if size <= max_bytes:
+    if size <= (BROADCAST_BYTES if max_bytes is None else max_bytes):
         return df.join(F.broadcast(lookup), list(keys), "left")
     return spread_join(df, lookup, keys, salt_on)
 
 
 def spread_join(df: DataFrame, lookup: DataFrame, keys: Sequence[str], salt_on: Sequence[str],
-                counts: DataFrame | None = None, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+                counts: DataFrame | None = None, heavy_rows: int | None = None) -> DataFrame:
     """Left join that deals the rows of each heavy key out over several slots.
 
     ``counts`` (``keys`` plus ``n``) is the number of ``df`` rows per key, where already known.
     The list of heavy keys has at most rows / ``heavy_rows`` entries, so it can be broadcast.
     """
     keys = list(keys)
+    heavy_rows = heavy_rows or HEAVY_ROWS
     known = counts is not None
     if not known:
         counts = df.where(all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
@@ -91,7 +92,8 @@ def spread_join(df: DataFrame, lookup: DataFrame, keys: Sequence[str], salt_on:
     if not known:
         heavy, _ = stored(heavy)  # used twice below
     slots = F.when(~all_present(keys), NULL_SLOTS).otherwise(F.coalesce("_slots", F.lit(1)))
-    salt = F.pmod(F.xxhash64(*salt_on), slots).cast("int")
+    # the partition number parts exact copies of a row, and stays the same when a task is rerun
+    salt = F.pmod(F.xxhash64(*salt_on, F.spark_partition_id()), slots).cast("int")
     left = df.join(F.broadcast(heavy), keys, "left").withColumn("_slot", salt).drop("_slots")
     right = (
         lookup.join(F.broadcast(heavy), keys, "left")
