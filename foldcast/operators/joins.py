@@ -10,12 +10,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.observation import Observation
 from pyspark.sql.types import StringType
+from pyspark.util import inheritable_thread_target
 
 from foldcast.functions.expr import all_present
 
@@ -70,11 +72,24 @@ def lookup_join(df: DataFrame, lookup: DataFrame, keys: Sequence[str], salt_on:
     them does not compute them twice. ``salt_on`` names columns that identify a row of ``df``.
     """
     lookup, size = stored(lookup) if derived else measured(lookup)
+    return sized_join(df, lookup, size, keys, salt_on, max_bytes)
+
+
+def sized_join(df: DataFrame, lookup: DataFrame, size: int, keys: Sequence[str],
+               salt_on: Sequence[str], max_bytes: int | None = None) -> DataFrame:
+    """``lookup_join`` for a lookup whose bytes are already known."""
     if size <= (BROADCAST_BYTES if max_bytes is None else max_bytes):
         return df.join(F.broadcast(lookup), list(keys), "left")
     return spread_join(df, lookup, keys, salt_on)
 
 
+def side_by_side(spark: SparkSession, jobs: Sequence[Callable], parallelism: int = 4) -> list:
+    """Run independent Spark jobs from threads, so that small ones do not wait for each other."""
+    bound = [inheritable_thread_target(spark)(job) for job in jobs]
+    with ThreadPool(min(parallelism, len(bound))) as pool:
+        return pool.map(lambda job: job(), bound)
+
+
 def spread_join(df: DataFrame, lookup: DataFrame, keys: Sequence[str], salt_on: Sequence[str],
                 counts: DataFrame | None = None, heavy_rows: int | None = None) -> DataFrame:
     """Left join that deals the rows of each heavy key out over several slots.

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from foldcast.functions.expr import ratio
-from foldcast.operators.joins import lookup_join
+from foldcast.operators.joins import side_by_side, sized_join, stored
 
 
 def join_roles(events: DataFrame, roles: dict[str, tuple[str, DataFrame]],
@@ -17,13 +17,17 @@ def join_roles(events: DataFrame, roles: dict[str, tuple[str, DataFrame]],
     ``roles`` maps a suffix to (id column of the events, actor table keyed on ``player_id``
     and ``keys``).
     """
-    out = events
-    for suffix, (id_col, table) in roles.items():
+    def named(suffix: str, id_col: str, table: DataFrame):
         renamed = table.withColumnsRenamed({
             c: id_col if c == "player_id" else c + suffix
             for c in table.columns if c not in keys
         })
-        out = lookup_join(out, renamed, [id_col, *keys], salt_on)
+        return lambda: stored(renamed)
+
+    sides = side_by_side(events.sparkSession, [named(s, *r) for s, r in roles.items()])
+    out = events
+    for (id_col, _), (table, size) in zip(roles.values(), sides):
+        out = sized_join(out, table, size, [id_col, *keys], salt_on)
     return out
 
 

@@ -14,7 +14,7 @@ from foldcast.functions.expr import (
 from foldcast.functions.situation import profile, situation_flags
 from foldcast.operators.folds import fold_of, out_of_fold
 from foldcast.operators.history import actor_history, fill_segment_mean, with_history
-from foldcast.operators.joins import fan_out, lookup_join, stored
+from foldcast.operators.joins import fan_out, lookup_join, side_by_side, stored
 from foldcast.operators.mix import conditional_mix, rollup_groups, to_share
 from foldcast.operators.ranks import avg_rank
 from foldcast.operators.roles import join_roles, pair_combine_exprs, pair_diff_exprs
@@ -179,6 +179,19 @@ def role_table(profiles: DataFrame, events: DataFrame, role: str,
     ).where(F.col("player_id").isNotNull())
 
 
+def role_tables(actors: DataFrame, events: DataFrame, edges: Sequence[int] = v.EDGES_4,
+                fill: bool = True, min_years: int | None = None,
+                ) -> dict[str, tuple[str, DataFrame]]:
+    """The tables of all roles in the form ``join_roles`` takes."""
+    profiles = actor_profiles(actors)
+    roles = list(ROLE_IDS)
+    tables = side_by_side(events.sparkSession, [
+        lambda role=role: role_table(profiles, events, role, edges, fill, min_years)
+        for role in roles
+    ])
+    return {v.ROLE_SUFFIX[r]: (ROLE_IDS[r], t) for r, t in zip(roles, tables)}
+
+
 def feature_names() -> list[str]:
     """The 640 feature columns in order."""
     mixes = [*v.BALLS, "total", *v.ZONE_GROUPS]
@@ -203,19 +216,16 @@ def build_features(events: DataFrame, actors: DataFrame, edges: Sequence[int] =
     ``mix_fold=True`` takes the count mix from the history fold alone, so that no row sees its
     own label through it.
     """
-    wide = out_of_fold(event_features(events, plate, mix_fold, edges), edges)
+    wide, tables = side_by_side(events.sparkSession, [
+        lambda: out_of_fold(event_features(events, plate, mix_fold, edges), edges),
+        lambda: role_tables(actors, events, edges, fill, min_years),
+    ])
     if mix_fold:
         labelled = with_keys(events).withColumn("fold", fold_of(edges))
         mix = conditional_mix(labelled.where("fold is not null"), ["fold", *COUNT_KEYS],
                               v.BALLS, v.ZONES)
         wide = lookup_join(wide, mix, ["fold", *COUNT_KEYS], ["row_no", "fold"])
-    profiles = actor_profiles(actors)
-    roles = {
-        v.ROLE_SUFFIX[role]: (ROLE_IDS[role],
-                              role_table(profiles, events, role, edges, fill, min_years))
-        for role in ("pitcher", "batter", "catcher")
-    }
-    joined = join_roles(wide, roles, ["year", "pit_bat", "fold"], ["row_no", "fold"])
+    joined = join_roles(wide, tables, ["year", "pit_bat", "fold"], ["row_no", "fold"])
     combined = joined.selectExpr(
         "*",
         *pair_diff_exprs(v.PROFILE_DIFFS, v.ROLE_PAIRS),

@@ -9,7 +9,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
@@ -18,15 +17,14 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.util import inheritable_thread_target
 
 from foldcast import vocabulary as v
 from foldcast.functions.expr import drop_matching, recode_label
 from foldcast.operators.folds import labelled, unlabelled
 from foldcast.operators.forecast import fold_average, normalise
-from foldcast.operators.joins import attach_predictions, stored
+from foldcast.operators.joins import attach_predictions, side_by_side, stored
 from foldcast.operators.summary import importance_all
 
 IDS = ["row_no", "fold"]
@@ -81,13 +79,6 @@ def feature_matrix(train: DataFrame, features: Sequence[str]) -> Matrix:
                   [c for c in features if gaps[c] > 0])
 
 
-def _concurrently(spark: SparkSession, jobs: Sequence, parallelism: int) -> list:
-    """Run independent fits side by side, so that small fits do not leave the cluster idle."""
-    bound = [inheritable_thread_target(spark)(job) for job in jobs]
-    with ThreadPool(min(parallelism, len(jobs))) as pool:
-        return pool.map(lambda job: job(), bound)
-
-
 @dataclass
 class Forecaster:
     """A fitted model that turns rows into one probability column per class."""
@@ -155,7 +146,7 @@ def fit_multiclass(train: DataFrame, features: Sequence[str], label: str,
             return lambda: GBTClassifier(maxIter=rounds, seed=seed, **params).fit(binary)
 
         jobs = [job(i) for i in range(len(classes))]
-        models = _concurrently(train.sparkSession, jobs, parallelism)
+        models = side_by_side(train.sparkSession, jobs, parallelism)
         return Forecaster(matrix, list(classes), models, scaled)
     finally:
         rows.unpersist()
@@ -220,7 +211,7 @@ def cv_rounds(train: DataFrame, features: Sequence[str], label: str,
 
     try:
         jobs = [job(k, t) for k in range(nfold) for t in targets]
-        curves = _concurrently(train.sparkSession, jobs, parallelism)
+        curves = side_by_side(train.sparkSession, jobs, parallelism)
     finally:
         rows.unpersist()
     return best_round([sum(step) / nfold for step in zip(*curves)], patience)

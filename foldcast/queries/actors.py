@@ -13,7 +13,7 @@ from foldcast.operators.mix import conditional_mix
 from foldcast.operators.ranks import avg_rank
 from foldcast.operators.roles import join_roles, pair_combine, pair_combine_two, pair_diff
 from foldcast.plans.features import (
-    COUNT_KEYS, ROLE_IDS, actor_profiles, build_features, role_table,
+    COUNT_KEYS, ROLE_IDS, actor_profiles, build_features, role_table, role_tables,
 )
 from foldcast.queries.registry import query, rounded
 from foldcast.queries.tables import group_sum_sql, raw_share_sql
@@ -336,11 +336,7 @@ def _joined(spark, sf_dir, with_mix=False):
     if with_mix:
         mix = conditional_mix(pl.where("own_fold is not null"), COUNT_KEYS, v.BALLS, v.ZONES)
         pl = lookup_join(pl, mix, COUNT_KEYS, ["row_no"])
-    profiles = actor_profiles(player_like(spark, sf_dir))
-    roles = {
-        v.ROLE_SUFFIX[role]: (ROLE_IDS[role], role_table(profiles, pl, role, edges))
-        for role in _ROLES
-    }
+    roles = role_tables(player_like(spark, sf_dir), pl, edges)
     return join_roles(out_of_fold(pl, edges), roles, ["year", "pit_bat", "fold"],
                       ["row_no", "fold"])
 
