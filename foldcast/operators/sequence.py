@@ -49,24 +49,25 @@ def _carry(flat: DataFrame, group: Group, order: str) -> tuple[DataFrame, int]:
     keys = list(group.keys)
     parts = [_COMBINE[fn](as_col(c)).alias(n) for n, (fn, c) in group.stats.items()]
     if group.previous:
-        parts.append(F.max_by(group.last_values(), F.col(order)).alias("_last"))
+        parts.append(F.max_by(group.last_values(), F.col(order)).alias("_chunk_tail"))
     pieces = flat.where(all_present(keys)).groupBy(*keys, CHUNK).agg(*parts)
     whole = Window.partitionBy(*keys)  # one row per chunk of the group
     cols = [_MERGE[fn](n).over(whole).alias(f"_whole_{n}") for n, (fn, _) in group.stats.items()]
     if group.previous:
-        cols.append(F.lag("_last").over(whole.orderBy(CHUNK)).alias("_tail"))
-    spanning = pieces.select(*keys, CHUNK, *cols, F.count(CHUNK).over(whole).alias("_chunks"))
-    return stored(spanning.where("_chunks > 1"))
+        cols.append(F.lag("_chunk_tail").over(whole.orderBy(CHUNK)).alias("_chunk_before"))
+    spanning = pieces.select(*keys, CHUNK, *cols, F.count(CHUNK).over(whole).alias("_chunk_count"))
+    return stored(spanning.where("_chunk_count > 1"))
 
 
 def along_groups(df: DataFrame, order: str, groups: Sequence[Group],
-                 lead: Sequence[str] | None = None, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                 lead: Sequence[str] | None = None, chunk_rows: int | None = None) -> DataFrame:
     """Add each group's statistics and preceding values, with one shuffle of the wide rows.
 
-    ``lead`` are the keys all groups share (default: those of the first group).
+    ``lead`` are the keys all groups share (default: those of the first group). Listing a finer
+    group before a coarser one lets both use one sort.
     Rows with a NULL in a group's keys get NULL.
     """
-    lead = list(lead or groups[0].keys)
+    lead, chunk_rows = list(lead or groups[0].keys), chunk_rows or CHUNK_ROWS
     flat = df.withColumn(CHUNK, F.floor(F.col(order) / F.lit(chunk_rows)))
     first, last = flat.agg(F.min(CHUNK), F.max(CHUNK)).first()
     out = flat.repartition(*lead, CHUNK)
@@ -76,16 +77,16 @@ def along_groups(df: DataFrame, order: str, groups: Sequence[Group],
             _COMBINE[fn](as_col(c)).over(inside).alias(n) for n, (fn, c) in group.stats.items()
         ]
         if group.previous:
-            added.append(F.lag(group.last_values()).over(inside.orderBy(order)).alias("_prev"))
+            added.append(F.lag(group.last_values()).over(inside.orderBy(order)).alias("_chunk_prev"))
         before, out = out.columns, out.select("*", *added)
         carry, size = (None, 0) if first == last else _carry(flat, group, order)
         if size:
-            carry = carry.drop("_chunks")
+            carry = carry.drop("_chunk_count")
             carry = F.broadcast(carry) if size <= BROADCAST_BYTES else carry
             out = out.join(carry, [*group.keys, CHUNK], "left")
         known = all_present(group.keys)
         stats = {n: f"coalesce(`_whole_{n}`, `{n}`)" if size else f"`{n}`" for n in group.stats}
-        prev = "coalesce(_prev, _tail)" if size else "_prev"
+        prev = "coalesce(_chunk_prev, _chunk_before)" if size else "_chunk_prev"
         out = out.select(
             *before,
             *[F.when(known, F.expr(e)).alias(n) for n, e in stats.items()],
@@ -95,7 +96,7 @@ def along_groups(df: DataFrame, order: str, groups: Sequence[Group],
 
 
 def lag_diff(df: DataFrame, col: str, keys: Sequence[str], order: str, name: str,
-             fill=None, boundary: Column | None = None, chunk_rows: int = CHUNK_ROWS,
+             fill=None, boundary: Column | None = None, chunk_rows: int | None = None,
              ) -> DataFrame:
     """Difference to the group's preceding row.
 

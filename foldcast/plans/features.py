@@ -18,7 +18,7 @@ from foldcast.operators.joins import fan_out, lookup_join, side_by_side, stored
 from foldcast.operators.mix import conditional_mix, rollup_groups, to_share
 from foldcast.operators.ranks import avg_rank
 from foldcast.operators.roles import join_roles, pair_combine_exprs, pair_diff_exprs
-from foldcast.operators.sequence import CHUNK_ROWS, Group, along_groups
+from foldcast.operators.sequence import Group, along_groups
 
 PLATE = ["game_id", "inning", "bat_cnt_in_inning"]
 PLATE_STRICT = ["game_id", "total_inning", "bat_cnt_in_inning"]
@@ -60,7 +60,7 @@ def with_clock(events: DataFrame) -> DataFrame:
 
 
 def sequence_features(events: DataFrame, plate: Sequence[str] = PLATE,
-                      chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                      chunk_rows: int | None = None) -> DataFrame:
     """Order-aware features of events that carry the situation flags and the clock columns.
 
     ``plate`` is the plate-appearance key. The default leaves the half inning out, as the
@@ -69,12 +69,12 @@ def sequence_features(events: DataFrame, plate: Sequence[str] = PLATE,
     events = events.withColumn("ball_count_sum", F.col("ball_cnt") + F.col("strike_cnt"))
     seq = along_groups(events, "row_no", [
         Group(["game_id"], previous={"_elapsed": "elapsed_min"}),
+        Group(plate, stats={"_last": ("max", "pitch_cnt_in_bat")},
+              previous={"_sum": "ball_count_sum", "_ball": "ball_cnt", "_strike": "strike_cnt"}),
+        Group(PLATE_STRICT, stats={"_batter_start": ("min", "elapsed_min")}),
         Group(["game_id", "total_inning"],
               stats={"_inning_start": ("min", "elapsed_min"),
                      "_inning_ball": ("min", "pitch_cnt_in_game")}),
-        Group(PLATE_STRICT, stats={"_batter_start": ("min", "elapsed_min")}),
-        Group(plate, stats={"_last": ("max", "pitch_cnt_in_bat")},
-              previous={"_sum": "ball_count_sum", "_ball": "ball_cnt", "_strike": "strike_cnt"}),
     ], chunk_rows=chunk_rows)
     first_pitch = F.coalesce(F.col("pitcher_cnt_in_inning") == 1, F.lit(False))
     min_diff = F.when(~first_pitch, F.col("elapsed_min") - F.col("_elapsed"))

@@ -2,10 +2,12 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from foldcast import vocabulary as v
+from foldcast.operators import joins, sequence
 from foldcast.operators.folds import fold_of
 from foldcast.operators.joins import append_unlabelled
 from foldcast.plans import features, learn
@@ -48,16 +50,32 @@ def test_wide_table(log, wide):
     assert wide.select("row_no", "fold").distinct().count() == wide.count()
 
 
+def same_rows(a, b):
+    cols = ["row_no", "fold", *features.SEQUENCE, "straight_pit", "total_bat", "salary_rank_cat",
+            "rate_bc_p_fork", "ave_b_c_high_str"]
+    sides = []
+    for df in (a, b):
+        rows = df.selectExpr("row_no", "fold", *[f"cast({c} as double) as {c}" for c in cols[2:]])
+        sides.append(rows.toPandas().sort_values(["row_no", "fold"]).to_numpy(dtype=float))
+    np.testing.assert_allclose(*sides)
+
+
 def test_order_of_input_does_not_matter(spark, log, wide):
     events, edges = log
     again = features.build_features(events.repartition(13).orderBy(F.xxhash64("row_no")),
                                     player_like(spark, SF_DIR).repartition(5), edges)
-    cols = ["row_no", "fold", *features.SEQUENCE, "straight_pit", "total_bat", "salary_rank_cat",
-            "rate_bc_p_fork", "ave_b_c_high_str"]
-    rounded = [c if c in ("row_no", "fold") else F.round(F.col(c).cast("double"), 9).alias(c)
-               for c in cols]
-    a, b = wide.select(*rounded), again.select(*rounded)
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    same_rows(wide, again)
+
+
+def test_beyond_the_bounds(spark, monkeypatch, log, wide):
+    """No broadcast lookups, many heavy keys and small chunks give the same table."""
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(joins, "HEAVY_ROWS", 40)
+    monkeypatch.setattr(sequence, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(sequence, "CHUNK_ROWS", 64)
+    events, edges = log
+    again = features.build_features(events, player_like(spark, SF_DIR), edges)
+    same_rows(wide, again)
 
 
 def test_mix_from_the_history_fold(spark, log):
