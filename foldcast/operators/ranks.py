@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from foldcast.functions.expr import all_present
 from foldcast.operators.joins import spread_join, stored
 
-SLICES = 2048
+SLICES = 1024
 
 
 def cumulative_counts(df: DataFrame, part: Sequence[str], value: str,

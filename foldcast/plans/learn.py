@@ -293,25 +293,30 @@ class Run:
 def train_folds(wide: DataFrame, features: Sequence[str], label: str, classes: Sequence[str],
                 folds: Sequence[int], learner: str = "gbt", rounds: int | None = 20,
                 max_rounds: int = 20, params: dict | None = None, growth: float = 1.0,
-                cv_every_fold: bool = True) -> Run:
+                cv_every_fold: bool = True, parallelism: int = 2) -> Run:
     """Fit each fold's rows, predict the unlabelled rows and average over the folds.
 
     ``rounds=None`` finds the number of rounds by cross-validation, in every fold or (with
     ``cv_every_fold=False``) in the first one only; ``growth`` scales it before the refit.
     """
-    probs, tables, scores, best = [], [], [], rounds
+    scores, chosen, best = [], {}, rounds
     for k in folds:
-        rows = wide.where(F.col("fold") == k)
-        train = labelled(rows, label)
         if rounds is None and (cv_every_fold or not scores):
+            train = labelled(wide.where(F.col("fold") == k), label)
             score, found = cv_rounds(train, features, label, classes, max_rounds, params)
             scores.append(score)
             best = max(1, int(found * growth))
-        model = fit_multiclass(train, features, label, classes, learner, best, params)
-        probs.append(model.predict(unlabelled(rows, label)))
-        tables.append(importance(model, wide, k))
-    joined, table = probs[0], tables[0]
-    for p, t in zip(probs[1:], tables[1:]):
+        chosen[k] = best
+
+    def fold(k: int) -> tuple[DataFrame, DataFrame]:
+        rows = wide.where(F.col("fold") == k)
+        model = fit_multiclass(labelled(rows, label), features, label, classes, learner,
+                               chosen[k], params)
+        return model.predict(unlabelled(rows, label)), importance(model, wide, k)
+
+    done = side_by_side(wide.sparkSession, [lambda k=k: fold(k) for k in folds], parallelism)
+    joined, table = done[0]
+    for p, t in done[1:]:
         joined, table = joined.unionByName(p), table.unionByName(t)
     return Run(fold_average(joined, classes), importance_all(table, folds),
                sum(scores) / len(scores) if scores else None)

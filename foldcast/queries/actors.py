@@ -13,9 +13,11 @@ from foldcast.operators.mix import conditional_mix
 from foldcast.operators.ranks import avg_rank
 from foldcast.operators.roles import join_roles, pair_combine, pair_combine_two, pair_diff
 from foldcast.plans.features import (
-    COUNT_KEYS, ROLE_IDS, actor_profiles, build_features, role_table, role_tables,
+    COUNT_KEYS, ROLE_IDS, SITUATION, actor_profiles, build_features, feature_names, role_table,
+    role_tables,
 )
 from foldcast.queries.registry import query, rounded
+from foldcast.queries.sequences import SEQ, WHOLE
 from foldcast.queries.tables import group_sum_sql, raw_share_sql
 from foldcast.queries.views import CL, PL, pitch_like, player_like, table, with_cl
 
@@ -299,15 +301,16 @@ _SHORT = {"pitcher": "pit", "batter": "bat", "catcher": "cat"}
 _CARRIED = [*v.PROFILE, *v.BALLS, "total", *v.ZONE_GROUPS]
 
 
-def _joined_sql() -> str:
+def _joined_sql(ctes_before: str = PL, events: str = "pl") -> str:
     cols, joins = "", ""
     for role in _ROLES:
         s = _SHORT[role]
-        cols += ", " + ", ".join(f"{s}.{c} as {c}_{s}" for c in _CARRIED)
+        carried = [*_CARRIED, *v.ROLE_COUNTERS[role]]
+        cols += ", " + ", ".join(f"{s}.{c} as {c}_{s}" for c in carried)
         joins += (f" left join t_{role} {s} on e.{ROLE_IDS[role]} = {s}.player_id"
                   f" and e.year = {s}.year and e.pit_bat = {s}.pit_bat and e.fold = {s}.fold")
     ctes = "".join(f",\n{history_sql(r)}" for r in _ROLES) + "".join(role_sql(r) for r in _ROLES)
-    return f"""with {PL},{CL}{profile_sql()}{ctes},
+    return f"""with {ctes_before},{CL}{profile_sql()}{ctes},
 mx0 as (
   select count_key, pit_bat, {raw_share_sql(v.BALLS, 'ball', 'bc_')},
     {raw_share_sql(v.ZONES, 'course', 'bc_')} from pl where own_fold is not null group by 1, 2),
@@ -315,8 +318,8 @@ mx as (select count_key, pit_bat, {", ".join("bc_" + b for b in v.BALLS)},
   {", ".join("bc_" + z for z in v.ZONES)}, {group_sum_sql().replace("round(", "(").replace(", 6)", ")")}
   from mx0),
 ex as (
-  select pl.*, mx.* exclude (count_key, pit_bat), f.k as fold
-  from pl left join mx using (count_key, pit_bat), (select unnest([1, 2, 3, 4]) as k) f
+  select {events}.*, mx.* exclude (count_key, pit_bat), f.k as fold
+  from {events} left join mx using (count_key, pit_bat), (select unnest([1, 2, 3, 4]) as k) f
   where own_fold is null or own_fold <> f.k),
 rj as (select e.*{cols} from ex e{joins})"""
 
@@ -401,9 +404,21 @@ def pair_combine_two_(spark, sf_dir):
     return rounded(out.select("row_no", "fold", *_TWO))
 
 
-@query("feature_table")
+def _feature_sql() -> str:
+    exprs = _DIFFS | _combine_sql(
+        v.BALLS, v.MIX_PAIRS, ["sub", "div", "mul", "ave", "rate"]
+    ) | _combine_sql(list(v.ZONE_GROUPS), v.MIX_PAIRS, ["sub", "div", "mul", "ave"])
+    whole = {*v.COUNTERS, *SITUATION, *WHOLE}
+    cols = ", ".join(
+        f"{exprs.get(n, n)} as {n}" if n in whole or n.startswith("age_")
+        else f"round({exprs.get(n, n)}, 6) as {n}"
+        for n in feature_names())
+    return _joined_sql(SEQ, "sq") + f" select row_no, fold, ball, course, {cols} from rj"
+
+
+@query("feature_table", _feature_sql())
 def feature_table(spark, sf_dir):
     """All 640 features of every event and fold."""
     pl, edges = pitch_like(spark, sf_dir)
-    return build_features(pl.drop("own_fold", "pit_bat", "count_key"),
-                          player_like(spark, sf_dir), edges)
+    return rounded(build_features(pl.drop("own_fold", "pit_bat", "count_key"),
+                                  player_like(spark, sf_dir), edges))

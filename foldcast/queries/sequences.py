@@ -65,7 +65,7 @@ sq as (
     min_diff - ave_elapsed_inning as diff_elapsed_inning,
     min_diff - ave_elapsed_game as diff_elapsed_game
   from s2)"""
-_WHOLE = {
+WHOLE = {
     "date_from_opening", "total_inning", "ballnum_from_inning", "nighter", "point_diff",
     "runner_23", "bant", "ball_count_sum", "pre_ball_foul", "pre_ball_ball", "pre_ball_strike",
     "pre_foul_sum",
@@ -73,7 +73,7 @@ _WHOLE = {
 
 
 def seq_select(names, source: str = "sq") -> str:
-    cols = ", ".join(n if n in _WHOLE else f"round({n}, 6) as {n}" for n in names)
+    cols = ", ".join(n if n in WHOLE else f"round({n}, 6) as {n}" for n in names)
     return f"with {SEQ} select row_no, {cols} from {source}"
 
 
