@@ -15,10 +15,9 @@ PROB_FLOOR = 1e-15
 
 
 def prior_forecast(rows: DataFrame, prior: DataFrame) -> DataFrame:
-    """The same one-row prior for every row."""
-    key = "_one"
-    constant = prior.withColumn(key, F.lit(1))
-    return rows.withColumn(key, F.lit(1)).join(F.broadcast(constant), key).drop(key)
+    """The same prior for every row: its one row of numbers becomes literals, so no join."""
+    shares = prior.first().asDict()
+    return rows.select("*", *[F.lit(p).cast("double").alias(c) for c, p in shares.items()])
 
 
 def frequency_forecast(labelled: DataFrame, rows: DataFrame, keys: Sequence[str], label: str,

@@ -16,15 +16,6 @@ INNING = ("game_id", "inning")
 PLATE = ("game_id", "inning", "bat_cnt_in_inning")
 
 
-def distinct_of(cols: Sequence[str]) -> Column:
-    """Distinct combinations, leaving out those with a NULL part."""
-    return F.count_distinct(F.when(all_present(cols), F.struct(*cols)))
-
-
-def distinct_count(df: DataFrame, keys: Sequence[str], of: Sequence[str], name: str) -> DataFrame:
-    return df.where(all_present(keys)).groupBy(*keys).agg(distinct_of(of).alias(name))
-
-
 def _label_counts(balls: Sequence[str], zones: Sequence[str]) -> list[Column]:
     return [
         *[F.expr(f"count_if(ball = {i}) as `{c}`") for i, c in enumerate(balls)],
@@ -32,28 +23,50 @@ def _label_counts(balls: Sequence[str], zones: Sequence[str]) -> list[Column]:
     ]
 
 
+def distinct_count(df: DataFrame, keys: Sequence[str], of: Sequence[str], name: str) -> DataFrame:
+    """Distinct complete combinations of ``of`` per group.
+
+    Duplicates are removed on (keys, of) before the count, so that the combinations of one
+    heavy group are spread over the cluster; ``count_distinct`` would send them to one task.
+    """
+    rows = df.where(all_present([*keys, *of])).select(*keys, *of).distinct()
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+
+
+def _activity(rows: DataFrame, keys: Sequence[str], finest: Sequence[str], games: str,
+              parts: str | None) -> DataFrame:
+    """Distinct games per actor, and distinct innings or plate appearances in the same pass."""
+    units = rows.where(all_present([*keys, "game_id"])).select(*keys, *finest).distinct()
+    if parts is None:
+        return units.groupBy(*keys).agg(F.count(F.lit(1)).alias(games))
+    per_game = units.groupBy(*keys, "game_id").agg(F.count_if(all_present(finest)).alias("_n"))
+    return per_game.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias(games), F.sum("_n").alias(parts))
+
+
 def actor_history(df: DataFrame, role: str, actor: str, balls: Sequence[str] = BALLS,
                   zones: Sequence[str] = ZONES, fold: str = "fold") -> DataFrame:
     """Class counts per (fold, actor, hand) with the role's activity counters.
 
     Only the pitcher's batters faced are counted per hand; the other counters are per actor.
     """
+    if role not in ROLE_COUNTERS:
+        raise ValueError(f"unknown role {role!r}")
     keys, whole = [fold, "player_id", "pit_bat"], [fold, "player_id"]
     rows = df.where(F.col(fold).isNotNull()).withColumn("player_id", F.col(actor))
-    per_hand = _label_counts(balls, zones)
+    counts = rows.where(all_present(keys)).groupBy(*keys).agg(*_label_counts(balls, zones))
     if role == "pitcher":
-        per_hand.append(distinct_of(PLATE).alias("pit_batter_cnt"))
-        per_actor = {"pit_game_cnt": GAME, "pit_inning_cnt": INNING}
+        # pitches are reduced to plate appearances first, then to hands
+        plates = rows.where(all_present(keys)).groupBy(*keys, *PLATE).agg(
+            *_label_counts(balls, zones))
+        counts = plates.groupBy(*keys).agg(
+            *[F.expr(f"sum(`{c}`) as `{c}`") for c in [*balls, *zones]],
+            F.nullif(F.count_if(all_present(PLATE)), F.lit(0)).alias("pit_batter_cnt"))
+        activity = _activity(rows, whole, INNING, "pit_game_cnt", "pit_inning_cnt")
     elif role == "batter":
-        per_actor = {"batter_cnt": PLATE, "bat_game_cnt": GAME}
-    elif role == "catcher":
-        per_actor = {"cat_game_cnt": GAME}
+        activity = _activity(rows, whole, PLATE, "bat_game_cnt", "batter_cnt")
     else:
-        raise ValueError(f"unknown role {role!r}")
-    counts = rows.where(all_present(keys)).groupBy(*keys).agg(*per_hand)
-    activity = rows.where(all_present(whole)).groupBy(*whole).agg(
-        *[distinct_of(of).alias(n) for n, of in per_actor.items()]
-    )
+        activity = _activity(rows, whole, GAME, "cat_game_cnt", None)
     # both sides are aggregated: at most one row per actor, hand and fold
     joined = counts.join(activity, whole, "left")
     return joined.select(

@@ -263,11 +263,11 @@ def role_query(role: str, fill: bool) -> str:
             f" select player_id, pit_bat, fold, {cols} from t_{role}")
 
 
-def _role(spark, sf_dir, role, fill=True):
+def _role(spark, sf_dir, role, fill=True, min_years=None):
     pl, edges = pitch_like(spark, sf_dir)
     profiles = actor_profiles(player_like(spark, sf_dir))
     mixes = [*v.BALLS, "total", *v.ZONE_GROUPS, *v.ROLE_COUNTERS[role]]
-    out = role_table(profiles, pl, role, edges, fill).select(
+    out = role_table(profiles, pl, role, edges, fill, min_years).select(
         "player_id", "pit_bat", "fold", *[F.col(c).cast("double") for c in mixes])
     return rounded(out)
 
@@ -296,6 +296,17 @@ def fill_none(spark, sf_dir):
     return _role(spark, sf_dir, "pitcher", fill=False)
 
 
+_YEARS = 5
+
+
+@query("fill_few_years", role_query("pitcher", True).replace(
+    "case when h.total is not null then 1",
+    f"case when h.total is not null and play_year >= {_YEARS} then 1"))
+def fill_few_years(spark, sf_dir):
+    """History of actors with few years of play is left out before the filling."""
+    return _role(spark, sf_dir, "pitcher", min_years=_YEARS)
+
+
 _ROLES = ("pitcher", "batter", "catcher")
 _SHORT = {"pitcher": "pit", "batter": "bat", "catcher": "cat"}
 _CARRIED = [*v.PROFILE, *v.BALLS, "total", *v.ZONE_GROUPS]

@@ -88,6 +88,18 @@ def sequence_features_(spark, sf_dir):
         sequence_features(with_clock(_flagged(spark, sf_dir))).select("row_no", *SEQUENCE))
 
 
+_STRICT = ["pre_ball_foul", "pre_ball_ball", "pre_ball_strike", "last_ball"]
+
+
+@query("sequence_strict", seq_select(_STRICT).replace(
+    "partition by game_id, inning, bat_cnt_in_inning",
+    "partition by game_id, total_inning, bat_cnt_in_inning"))
+def sequence_strict(spark, sf_dir):
+    """The same with plate appearances kept apart by half inning."""
+    rows = sequence_features(with_clock(_flagged(spark, sf_dir)), PLATE_STRICT)
+    return rounded(rows.select("row_no", *_STRICT))
+
+
 @query("lag_diff", f"""with {PL} select row_no,
     ball_cnt - lag(ball_cnt) over (partition by game_id order by row_no) as diff,
     case when pitcher_cnt_in_inning <> 1 then

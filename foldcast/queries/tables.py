@@ -337,3 +337,32 @@ def csv_roundtrip(spark, sf_dir):
     kept = spark.read.parquet(columnar).where("fold = 1")
     write_submission(kept, text, v.BALLS, label_cut(spark, sf_dir))
     return rounded(read_probs(spark, text, v.BALLS))
+
+
+@query("class_counts", with_pl(" select batter_id, pit_bat, " + ", ".join(
+    f"count(*) filter (where ball = {i}) as {b}" for i, b in enumerate(v.BALLS))
+    + ", count(*) filter (where ball is not null) as total from pl group by 1, 2"))
+def class_counts(spark, sf_dir):
+    pl, _ = pitch_like(spark, sf_dir)
+    return mix.class_counts(pl, ["batter_id", "pit_bat"], "ball", v.BALLS, "total")
+
+
+@query("distinct_count", with_pl(
+    " select catcher_id, count(distinct (game_id, inning)) as innings from pl"
+    " where catcher_id is not null group by 1"))
+def distinct_count_(spark, sf_dir):
+    from foldcast.operators.history import distinct_count
+
+    pl, _ = pitch_like(spark, sf_dir)
+    return distinct_count(pl, ["catcher_id"], ["game_id", "inning"], "innings")
+
+
+@query("recode_hands", with_pl(
+    " select row_no, case pitcher_hand when '左' then 'L' else 'R' end as pitcher_hand,"
+    " case batter_side when '左' then 'L' else 'R' end as batter_side, pit_bat, count_key from pl"))
+def recode_hands(spark, sf_dir):
+    from foldcast.functions.expr import recode
+
+    pl, _ = pitch_like(spark, sf_dir)
+    rows = pl.select("row_no", "pitcher_hand", "batter_side", "pit_bat", "count_key")
+    return recode(rows, v.HAND_CODES, ["pitcher_hand", "batter_side"])

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foldcast.operators.joins import stored
 from foldcast.vocabulary import ACTOR_COLUMNS, EVENT_COLUMNS, LABELS
 
 
@@ -50,8 +51,9 @@ def write_submission(probs: DataFrame, path: str, classes: Sequence[str], offset
     """Header-less forecast CSV, indexed from the first unlabelled row.
 
     The files are range-sorted by index, so reading them in name order keeps the row order.
+    The forecast is stored first: finding the ranges would otherwise compute it twice.
     """
-    rows = probs.select((F.col("row_no") - F.lit(offset)).alias("index"), *classes)
+    rows, _ = stored(probs.select((F.col("row_no") - F.lit(offset)).alias("index"), *classes))
     rows.orderBy("index").write.mode("overwrite").csv(path, header=False)
 
 
