@@ -14,6 +14,11 @@ def fold_of(edges: Sequence[int], row_no: str = "row_no") -> Column:
     return F.expr(f"case {whens} end")
 
 
+def in_folds(edges: Sequence[int], row_no: str = "row_no") -> Column:
+    """Rows that belong to any fold; a plain comparison, so it reaches the file scan."""
+    return F.col(row_no) <= edges[-1]
+
+
 def _own_range(k: int, edges: Sequence[int], row_no: str) -> Column:
     if not 1 <= k <= len(edges):
         raise ValueError(f"fold {k} is not in 1..{len(edges)}")

@@ -56,7 +56,7 @@ def stored(df: DataFrame) -> tuple[DataFrame, int]:
     shared_folder(df.sparkSession)
     seen = Observation()
     kept = df.observe(seen, _row_bytes(df).alias("bytes")).checkpoint()
-    return kept, seen.get["bytes"] or 0
+    return kept, seen.get.get("bytes") or 0
 
 
 def measured(df: DataFrame) -> tuple[DataFrame, int]:

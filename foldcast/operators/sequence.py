@@ -77,7 +77,8 @@ def along_groups(df: DataFrame, order: str, groups: Sequence[Group],
             _COMBINE[fn](as_col(c)).over(inside).alias(n) for n, (fn, c) in group.stats.items()
         ]
         if group.previous:
-            added.append(F.lag(group.last_values()).over(inside.orderBy(order)).alias("_chunk_prev"))
+            before_it = F.lag(group.last_values()).over(inside.orderBy(order))
+            added.append(before_it.alias("_chunk_prev"))
         before, out = out.columns, out.select("*", *added)
         carry, size = (None, 0) if first == last else _carry(flat, group, order)
         if size:

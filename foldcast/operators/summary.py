@@ -56,5 +56,6 @@ def importance_all(imp: DataFrame, folds: Sequence[int]) -> DataFrame:
 def select_features(df: DataFrame, importance: DataFrame, keep_n: int,
                     always: Sequence[str] = ()) -> DataFrame:
     """Keep the ``keep_n`` most important feature columns; at most ``keep_n`` names are read."""
-    best = {r[0] for r in top_n(importance, "sum", keep_n, "feat_name").select("feat_name").collect()}
+    top = top_n(importance, "sum", keep_n, "feat_name").select("feat_name")
+    best = {r[0] for r in top.collect()}
     return df.select(*[c for c in df.columns if c in best or c in always])

@@ -12,7 +12,7 @@ from foldcast.functions.expr import (
     count_key, days_between, elapsed_minutes, flag, hand_key, mean_interval, remaining_fraction,
 )
 from foldcast.functions.situation import profile, situation_flags
-from foldcast.operators.folds import fold_of, out_of_fold
+from foldcast.operators.folds import fold_of, in_folds, out_of_fold
 from foldcast.operators.history import actor_history, fill_segment_mean, with_history
 from foldcast.operators.joins import fan_out, lookup_join, side_by_side, stored
 from foldcast.operators.mix import conditional_mix, rollup_groups, to_share
@@ -116,7 +116,7 @@ def event_features(events: DataFrame, plate: Sequence[str] = PLATE, mix_fold: bo
     ordered = sequence_features(with_clock(situation_flags(keyed)), plate)
     if mix_fold:
         return ordered
-    labelled = keyed.where(fold_of(edges).isNotNull())
+    labelled = keyed.where(in_folds(edges))
     mix = conditional_mix(labelled, COUNT_KEYS, v.BALLS, v.ZONES)
     return lookup_join(ordered, mix, COUNT_KEYS, ["row_no"])
 
@@ -155,8 +155,8 @@ def role_table(profiles: DataFrame, events: DataFrame, role: str,
 
     ``min_years`` hides the history of actors with fewer years of play.
     """
-    history = actor_history(
-        with_keys(events).withColumn("fold", fold_of(edges)), role, ROLE_IDS[role])
+    labelled = with_keys(events).where(in_folds(edges)).withColumn("fold", fold_of(edges))
+    history = actor_history(labelled, role, ROLE_IDS[role])
     folds = range(1, len(edges) + 1)
     counters = v.ROLE_COUNTERS[role]
     table = with_history(hands_of(profiles, role), history, folds)
@@ -221,9 +221,8 @@ def build_features(events: DataFrame, actors: DataFrame, edges: Sequence[int] =
         lambda: role_tables(actors, events, edges, fill, min_years),
     ])
     if mix_fold:
-        labelled = with_keys(events).withColumn("fold", fold_of(edges))
-        mix = conditional_mix(labelled.where("fold is not null"), ["fold", *COUNT_KEYS],
-                              v.BALLS, v.ZONES)
+        labelled = with_keys(events).where(in_folds(edges)).withColumn("fold", fold_of(edges))
+        mix = conditional_mix(labelled, ["fold", *COUNT_KEYS], v.BALLS, v.ZONES)
         wide = lookup_join(wide, mix, ["fold", *COUNT_KEYS], ["row_no", "fold"])
     joined = join_roles(wide, tables, ["year", "pit_bat", "fold"], ["row_no", "fold"])
     combined = joined.selectExpr(

@@ -118,7 +118,8 @@ def importance(model: Forecaster, df: DataFrame, fold: int) -> DataFrame:
     """Feature importance of one fold's model as a table, most important first."""
     rows = [(n, fold, x) for n, x in model.importance()]
     return df.sparkSession.createDataFrame(
-        rows, "feat_name string, fold int, feat_imp double").orderBy(F.desc("feat_imp"), "feat_name")
+        rows, "feat_name string, fold int, feat_imp double"
+    ).orderBy(F.desc("feat_imp"), "feat_name")
 
 
 def fit_multiclass(train: DataFrame, features: Sequence[str], label: str,

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from foldcast import vocabulary as v
 from foldcast.functions.situation import profile
-from foldcast.operators.folds import out_of_fold
+from foldcast.operators.folds import in_folds, out_of_fold
 from foldcast.operators.history import actor_history, per_unit_rates
-from foldcast.operators.joins import fan_out, lookup_join
+from foldcast.operators.joins import fan_out, lookup_join, side_by_side
 from foldcast.operators.mix import conditional_mix
 from foldcast.operators.ranks import avg_rank
 from foldcast.operators.roles import join_roles, pair_combine, pair_combine_two, pair_diff
@@ -347,11 +347,16 @@ def role_join(spark, sf_dir):
 
 def _joined(spark, sf_dir, with_mix=False):
     pl, edges = pitch_like(spark, sf_dir)
-    if with_mix:
-        mix = conditional_mix(pl.where("own_fold is not null"), COUNT_KEYS, v.BALLS, v.ZONES)
-        pl = lookup_join(pl, mix, COUNT_KEYS, ["row_no"])
-    roles = role_tables(player_like(spark, sf_dir), pl, edges)
-    return join_roles(out_of_fold(pl, edges), roles, ["year", "pit_bat", "fold"],
+
+    def events():
+        if not with_mix:
+            return pl
+        mix = conditional_mix(pl.where(in_folds(edges)), COUNT_KEYS, v.BALLS, v.ZONES)
+        return lookup_join(pl, mix, COUNT_KEYS, ["row_no"])
+
+    rows, roles = side_by_side(
+        spark, [events, lambda: role_tables(player_like(spark, sf_dir), pl, edges)])
+    return join_roles(out_of_fold(rows, edges), roles, ["year", "pit_bat", "fold"],
                       ["row_no", "fold"])
 
 

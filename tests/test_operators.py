@@ -117,6 +117,12 @@ def test_lookup_join_past_the_bound(spark):
         (1, 60), (None, None)}
 
 
+def test_empty_lookup(spark):
+    df = hot_log(spark)
+    none = df.where("k > 1000").groupBy("k").count()
+    assert joins.lookup_join(df, none, ["k"], ["id"]).where("count is null").count() == 109
+
+
 def test_fan_out(spark):
     df = spark.createDataFrame([(1, "右"), (2, "両"), (3, None)], "id int, throws string")
     got = rows(joins.fan_out(df, v.THROW_HANDS, "throws", "pit_bat"))

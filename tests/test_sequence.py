@@ -62,6 +62,14 @@ def test_lag_diff_options(spark):
     np.testing.assert_allclose(by_row(cut, ["d"])[:, 0], diff.where(pdf["bat"] != 1))
 
 
+def test_many_chunks_and_no_spanning_group(spark):
+    df = spark.range(100).selectExpr("id as row_no", "cast(id div 10 as int) as game", "id as x")
+    out = along_groups(df, "row_no", [Group(["game"], stats={"lo": ("min", "x")},
+                                            previous={"a": "x"})], chunk_rows=20)
+    got = {r["row_no"]: (r["lo"], r["a"]) for r in out.collect()}
+    assert got == {i: (i // 10 * 10, None if i % 10 == 0 else i - 1) for i in range(100)}
+
+
 def test_one_wide_shuffle(spark):
     df = spark.range(1000).selectExpr("id as row_no", "id % 5 as game", "id % 7 as bat", "id as x")
     out = along_groups(df, "row_no", [
