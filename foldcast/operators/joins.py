@@ -76,11 +76,12 @@ def lookup_join(df: DataFrame, lookup: DataFrame, keys: Sequence[str], salt_on:
 
 
 def sized_join(df: DataFrame, lookup: DataFrame, size: int, keys: Sequence[str],
-               salt_on: Sequence[str], max_bytes: int | None = None) -> DataFrame:
+               salt_on: Sequence[str], max_bytes: int | None = None,
+               counts: DataFrame | None = None) -> DataFrame:
     """``lookup_join`` for a lookup whose bytes are already known."""
     if size <= (BROADCAST_BYTES if max_bytes is None else max_bytes):
         return df.join(F.broadcast(lookup), list(keys), "left")
-    return spread_join(df, lookup, keys, salt_on)
+    return spread_join(df, lookup, keys, salt_on, counts)
 
 
 def side_by_side(spark: SparkSession, jobs: Sequence[Callable], parallelism: int = 4) -> list:
@@ -94,18 +95,16 @@ def spread_join(df: DataFrame, lookup: DataFrame, keys: Sequence[str], salt_on:
                 counts: DataFrame | None = None, heavy_rows: int | None = None) -> DataFrame:
     """Left join that deals the rows of each heavy key out over several slots.
 
-    ``counts`` (``keys`` plus ``n``) is the number of ``df`` rows per key, where already known.
+    ``counts`` (``keys`` plus ``n``) is the number of ``df`` rows per key, where it is already
+    known or can be had from something narrower than ``df``.
     The list of heavy keys has at most rows / ``heavy_rows`` entries, so it can be broadcast.
     """
     keys = list(keys)
     heavy_rows = heavy_rows or HEAVY_ROWS
-    known = counts is not None
-    if not known:
+    if counts is None:
         counts = df.where(all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    heavy = counts.where(F.col("n") > heavy_rows).select(
-        *keys, F.ceil(F.col("n") / F.lit(heavy_rows)).cast("int").alias("_slots"))
-    if not known:
-        heavy, _ = stored(heavy)  # used twice below
+    heavy, _ = stored(counts.where(F.col("n") > heavy_rows).select(
+        *keys, F.ceil(F.col("n") / F.lit(heavy_rows)).cast("int").alias("_slots")))
     slots = F.when(~all_present(keys), NULL_SLOTS).otherwise(F.coalesce("_slots", F.lit(1)))
     # the partition number parts exact copies of a row, and stays the same when a task is rerun
     salt = F.pmod(F.xxhash64(*salt_on, F.spark_partition_id()), slots).cast("int")

@@ -5,17 +5,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from foldcast.functions.expr import ratio
+from foldcast.functions.expr import all_present, ratio
 from foldcast.operators.joins import side_by_side, sized_join, stored
 
 
 def join_roles(events: DataFrame, roles: dict[str, tuple[str, DataFrame]],
-               keys: Sequence[str], salt_on: Sequence[str]) -> DataFrame:
+               keys: Sequence[str], salt_on: Sequence[str],
+               narrow: DataFrame | None = None) -> DataFrame:
     """Join one actor table per role; its columns take the role's suffix.
 
     ``roles`` maps a suffix to (id column of the events, actor table keyed on ``player_id``
-    and ``keys``).
+    and ``keys``). ``narrow`` holds the same rows as ``events`` with only the keys: where a role
+    table is too large to broadcast, heavy actors are found there and not in the wide rows.
     """
     def named(suffix: str, id_col: str, table: DataFrame):
         renamed = table.withColumnsRenamed({
@@ -27,7 +30,12 @@ def join_roles(events: DataFrame, roles: dict[str, tuple[str, DataFrame]],
     sides = side_by_side(events.sparkSession, [named(s, *r) for s, r in roles.items()])
     out = events
     for (id_col, _), (table, size) in zip(roles.values(), sides):
-        out = sized_join(out, table, size, [id_col, *keys], salt_on)
+        on = [id_col, *keys]
+        counts = None
+        if narrow is not None:
+            counts = narrow.where(all_present(on)).groupBy(*on).agg(
+                F.count(F.lit(1)).alias("n"))
+        out = sized_join(out, table, size, on, salt_on, counts=counts)
     return out
 
 

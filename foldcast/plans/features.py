@@ -224,7 +224,9 @@ def build_features(events: DataFrame, actors: DataFrame, edges: Sequence[int] =
         labelled = with_keys(events).where(in_folds(edges)).withColumn("fold", fold_of(edges))
         mix = conditional_mix(labelled, ["fold", *COUNT_KEYS], v.BALLS, v.ZONES)
         wide = lookup_join(wide, mix, ["fold", *COUNT_KEYS], ["row_no", "fold"])
-    joined = join_roles(wide, tables, ["year", "pit_bat", "fold"], ["row_no", "fold"])
+    narrow = out_of_fold(
+        with_keys(events).select("row_no", "year", "pit_bat", *ROLE_IDS.values()), edges)
+    joined = join_roles(wide, tables, ["year", "pit_bat", "fold"], ["row_no", "fold"], narrow)
     combined = joined.selectExpr(
         "*",
         *pair_diff_exprs(v.PROFILE_DIFFS, v.ROLE_PAIRS),
