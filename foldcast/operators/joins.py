@@ -84,8 +84,11 @@ def sized_join(df: DataFrame, lookup: DataFrame, size: int, keys: Sequence[str],
     return spread_join(df, lookup, keys, salt_on, counts)
 
 
-def side_by_side(spark: SparkSession, jobs: Sequence[Callable], parallelism: int = 4) -> list:
-    """Run independent Spark jobs from threads, so that small ones do not wait for each other."""
+def side_by_side(spark: SparkSession, jobs: Sequence[Callable], parallelism: int = 1) -> list:
+    """Run independent Spark jobs, one after the other unless ``parallelism`` asks for threads."""
+    shared_folder(spark)
+    if parallelism <= 1:
+        return [job() for job in jobs]
     bound = [inheritable_thread_target(spark)(job) for job in jobs]
     with ThreadPool(min(parallelism, len(bound))) as pool:
         return pool.map(lambda job: job(), bound)

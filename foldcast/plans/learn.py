@@ -125,7 +125,7 @@ def importance(model: Forecaster, df: DataFrame, fold: int) -> DataFrame:
 def fit_multiclass(train: DataFrame, features: Sequence[str], label: str,
                    classes: Sequence[str], learner: str = "gbt", rounds: int = 20,
                    params: dict | None = None, scaled: bool = True, seed: int = 0,
-                   parallelism: int = 4) -> Forecaster:
+                   parallelism: int = 1) -> Forecaster:
     """Fit class probabilities: ``gbt`` (one booster per class) or ``rf`` (one forest).
 
     ``scaled=False`` leaves the one-per-class probabilities as they come.
@@ -178,7 +178,7 @@ def best_round(losses: Sequence[float], patience: int = v.EARLY_STOP) -> tuple[f
 def cv_rounds(train: DataFrame, features: Sequence[str], label: str,
               classes: Sequence[str] | None, max_rounds: int = 20, params: dict | None = None,
               nfold: int = 4, patience: int = v.EARLY_STOP, seed: int = 0,
-              parallelism: int = 4) -> tuple[float, int]:
+              parallelism: int = 1) -> tuple[float, int]:
     """Mean cross-validated loss and the best number of rounds.
 
     Every fold is fitted once with ``max_rounds`` and its loss is read after each round on the
@@ -294,7 +294,7 @@ class Run:
 def train_folds(wide: DataFrame, features: Sequence[str], label: str, classes: Sequence[str],
                 folds: Sequence[int], learner: str = "gbt", rounds: int | None = 20,
                 max_rounds: int = 20, params: dict | None = None, growth: float = 1.0,
-                cv_every_fold: bool = True, parallelism: int = 2) -> Run:
+                cv_every_fold: bool = True, parallelism: int = 1) -> Run:
     """Fit each fold's rows, predict the unlabelled rows and average over the folds.
 
     ``rounds=None`` finds the number of rounds by cross-validation, in every fold or (with
