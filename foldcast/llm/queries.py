@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldcast.llm import mixing, sharding
+from foldcast.llm import bpe, mixing, sharding
+
+#: The public vocabulary files; a parameter of the operators.
+WORD_BPE, PIECES = "word_bpe_49k.json", "piece_bpe_32k.model"
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -20,6 +23,12 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -36,6 +45,17 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query("op4_bpe_trie")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary(WORD_BPE)
+    coded = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), path).drop("text")
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    digests = coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                           F.sha2(ids, 256).alias("ids_sha256"), "ids")
+    return bpe.decode(digests, path).select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 MIX_SQL = """
 with d as (
   select doc_id, source, md5('mix:' || coalesce(cast(doc_id as varchar), '')) as u,
