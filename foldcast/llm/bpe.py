@@ -26,6 +26,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from foldcast.llm.words import chunks, coded, split, text_of
 
@@ -257,6 +258,10 @@ def _with_column(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.Recor
         [*[batch.column(n) for n in names], values], names=[*names, name])
 
 
+def with_field(df: DataFrame, name: str, kind) -> StructType:
+    return StructType([*df.schema.fields, StructField(name, kind)])
+
+
 def _ship(docs: DataFrame, path: str) -> str:
     """Give the vocabulary file (a driver-side path, as a parameter) to every executor."""
     docs.sparkSession.sparkContext.addFile(path)
@@ -274,7 +279,7 @@ def encode(docs: DataFrame, path: str, into: str = "ids") -> DataFrame:
             for part in chunks(batch, "text"):
                 yield _with_column(part, into, encode_texts(text_of(part), vocabulary))
 
-    return rest.mapInArrow(run, rest.schema.add(into, "array<int>"))
+    return rest.mapInArrow(run, with_field(rest, into, ArrayType(IntegerType())))
 
 
 def decode(docs: DataFrame, path: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
@@ -289,4 +294,4 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", into: str = "decoded")
             strings = pa.ListArray.from_arrays(lists.offsets, tokens.take(lists.values))
             yield _with_column(batch, into, pc.fill_null(pc.binary_join(strings, " "), ""))
 
-    return rest.mapInArrow(run, rest.schema.add(into, "string"))
+    return rest.mapInArrow(run, with_field(rest, into, StringType()))
