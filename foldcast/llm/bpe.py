@@ -32,6 +32,8 @@ from foldcast.llm.words import chunks, coded, split, text_of
 
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 END = "</w>"
+#: Text whose words share one trie: about 20 bytes of memory for each byte.
+TRIE_BYTES = 8 << 20
 
 
 def byte_letters() -> list[str]:
@@ -92,7 +94,7 @@ class Vocabulary:
                 before, b = self.rank[b] + 1, self.parts[b][0]
             else:
                 break
-        if len(self.fits) > 2_000_000:  # memory only; a forgotten pair is worked out again
+        if len(self.fits) > 500_000:  # memory only; a forgotten pair is worked out again
             self.fits.clear()
         self.fits[left, right] = fits
         return fits
@@ -276,7 +278,7 @@ def encode(docs: DataFrame, path: str, into: str = "ids") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = vocabulary_of(name)
         for batch in batches:
-            for part in chunks(batch, "text"):
+            for part in chunks(batch, "text", TRIE_BYTES):
                 yield _with_column(part, into, encode_texts(text_of(part), vocabulary))
 
     return rest.mapInArrow(run, with_field(rest, into, ArrayType(IntegerType())))

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; one longer text makes a chunk of its own.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 4 << 20
 
 
 def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
