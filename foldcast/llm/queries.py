@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldcast.llm import bpe, mixing, sharding
+from foldcast.llm import bpe, fertility, lines, mixing, sharding
+from foldcast.llm.scratch import kept
 
 #: The public vocabulary files; a parameter of the operators.
 WORD_BPE, PIECES = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -56,6 +57,28 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+LINES_SQL = """
+with d as (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents),
+l as (select doc_id, unnest(ls) as line, generate_subscripts(ls, 1) as pos from d),
+k as (
+  select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from l),
+f as (select key from k where key <> '' group by key having count(distinct doc_id) >= 10)
+select doc_id, count(*) as n_lines, count(*) filter (f.key is not null) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by pos) filter (f.key is null), ''))
+    as kept_sha256
+from k left join f on k.key = f.key
+group by doc_id"""
+
+
+@query("op6_shared_lines", LINES_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = lines.drop_shared_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    return cut.select("doc_id", "n_lines", "n_dropped",
+                      F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 MIX_SQL = """
 with d as (
   select doc_id, source, md5('mix:' || coalesce(cast(doc_id as varchar), '')) as u,
@@ -103,3 +126,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed, _ = mixing.mix(documents(spark, sf_dir))
     return mixed.select("doc_id", "size", "source_size", "target",
                         (F.col("size") * F.col("copies")).cast("long").alias("taken"), "copies")
+
+
+@query("op9_tokeniser_fertility")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "lang", "text")
+    measured = kept(fertility.measure(docs, vocabulary(PIECES)).drop("text"), "fertility")
+    return fertility.verdicts(measured).drop("lang").select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "n_tokens", "n_byte_tokens", "entropy")
