@@ -33,7 +33,7 @@ from foldcast.llm.words import chunks, coded, split, text_of
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 END = "</w>"
 #: Text whose words share one trie: about 20 bytes of memory for each byte.
-TRIE_BYTES = 8 << 20
+TRIE_BYTES = 4 << 20
 
 
 def byte_letters() -> list[str]:
@@ -284,16 +284,39 @@ def encode(docs: DataFrame, path: str, into: str = "ids") -> DataFrame:
     return rest.mapInArrow(run, with_field(rest, into, ArrayType(IntegerType())))
 
 
+def decode_ids(lists: pa.Array, tokens: pa.Array) -> pa.Array:
+    """The text of each list of ids: their strings, joined by spaces."""
+    strings = pa.ListArray.from_arrays(lists.offsets, tokens.take(lists.values))
+    return pc.fill_null(pc.binary_join(strings, " "), "")
+
+
 def decode(docs: DataFrame, path: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
-    """``docs`` with the text of its token ids: their strings, joined by spaces."""
+    """``docs`` with the text of its token ids."""
     name = _ship(docs, path)
     rest = docs.drop(into)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = pa.array(vocabulary_of(name).tokens)
         for batch in batches:
-            lists = batch.column(ids)
-            strings = pa.ListArray.from_arrays(lists.offsets, tokens.take(lists.values))
-            yield _with_column(batch, into, pc.fill_null(pc.binary_join(strings, " "), ""))
+            yield _with_column(batch, into, decode_ids(batch.column(ids), tokens))
 
     return rest.mapInArrow(run, with_field(rest, into, StringType()))
+
+
+def round_trip(docs: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded",
+               ) -> DataFrame:
+    """``docs`` with the token ids of ``text`` and the text of those ids, in one pass."""
+    name = _ship(docs, path)
+    rest = docs.drop(ids, decoded)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = vocabulary_of(name)
+        tokens = pa.array(vocabulary.tokens)
+        for batch in batches:
+            for part in chunks(batch, "text", TRIE_BYTES):
+                found = encode_texts(text_of(part), vocabulary)
+                part = _with_column(part, ids, found)
+                yield _with_column(part, decoded, decode_ids(found, tokens))
+
+    schema = with_field(rest, ids, ArrayType(IntegerType()))
+    return rest.mapInArrow(run, StructType([*schema.fields, StructField(decoded, StringType())]))

@@ -48,13 +48,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_bpe_trie")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = vocabulary(WORD_BPE)
-    coded = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), path).drop("text")
+    coded = bpe.round_trip(documents(spark, sf_dir).select("doc_id", "text"), vocabulary(WORD_BPE))
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
-    digests = coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                           F.sha2(ids, 256).alias("ids_sha256"), "ids")
-    return bpe.decode(digests, path).select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 LINES_SQL = """
