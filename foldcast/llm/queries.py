@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldcast.llm import bpe, fertility, lines, mixing, sharding
+from foldcast.llm import bpe, fertility, labelled, lines, mixing, sharding, toxicity
 from foldcast.llm.scratch import kept
 
 #: The public vocabulary files; a parameter of the operators.
@@ -133,3 +133,18 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.verdicts(measured).drop("lang").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "n_tokens", "n_byte_tokens", "entropy")
+
+
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+@query("op7_toxic_segments")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    sample = kept(labelled.training_labels(labels(spark, sf_dir), "toxic"), "toxic-labels")
+    found = toxicity.score(docs, toxicity.fit(docs, sample))
+    return found.select(
+        "doc_id", labelled.held_out().alias("held_out"), "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+        F.size("passages").alias("n_passages"))
