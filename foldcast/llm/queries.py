@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldcast.llm import bpe, fertility, labelled, lines, mixing, sharding, toxicity
+from foldcast.llm import bpe, fertility, labelled, lines, mixing, rules, sharding, toxicity
 from foldcast.llm.scratch import kept
 
 #: The public vocabulary files; a parameter of the operators.
@@ -148,3 +148,13 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", labelled.held_out().alias("held_out"), "score",
         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
         F.size("passages").alias("n_passages"))
+
+
+@query("op3_quality_rules")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    measured = kept(rules.measure(docs).drop("text"), "quality")
+    sample = kept(labelled.training_labels(labels(spark, sf_dir), "quality"), "quality-labels")
+    scored = measured.withColumn("score", rules.compiled(rules.fit(measured, sample)))
+    return scored.select("doc_id", labelled.held_out().alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
