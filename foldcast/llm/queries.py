@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldcast.llm import bpe, fertility, labelled, lines, mixing, rules, sharding, toxicity
+from foldcast.llm import bpe, fertility, labelled, lines, mixing, rules, sharding, spotsigs, toxicity
 from foldcast.llm.scratch import kept
 
 #: The public vocabulary files; a parameter of the operators.
@@ -158,3 +158,21 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = measured.withColumn("score", rules.compiled(rules.fit(measured, sample)))
     return scored.select("doc_id", labelled.held_out().alias("held_out"), "score",
                          F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+@query("op2_spot_signatures")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spotsigs.with_next(documents(spark, sf_dir))
+    chars = F.length("text")
+    last = F.floor(chars / 4).cast("int")
+    edited = rows.select(
+        "doc_id", "text", "next_text", chars.cast("long").alias("n_chars"),
+        F.concat(F.substring("text", F.lit(1), chars - last),
+                 F.substring("next_text", F.lit(1), last)).alias("edited"))
+    prints = spotsigs.fingerprint(edited.withColumn("edited_sha256", F.sha2("edited", 256)), {
+        "text": "fingerprint", "edited": "edited_fingerprint", "next_text": "next_fingerprint"})
+    alike = spotsigs.likeness(prints.drop("text", "edited", "next_text"), {
+        "near_edited": ("fingerprint", "edited_fingerprint"),
+        "near_next": ("fingerprint", "next_fingerprint")})
+    return alike.select("doc_id", "n_chars", "edited_sha256", "fingerprint",
+                        "edited_fingerprint", "near_edited", "near_next")
