@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldcast.llm import bpe, fertility, labelled, lines, mixing, rules, sharding, spotsigs, toxicity
+from foldcast.llm import bpe, fertility, labelled, lines, mixing, neardup, rules, sharding, spotsigs, toxicity
 from foldcast.llm.scratch import kept
 
 #: The public vocabulary files; a parameter of the operators.
@@ -176,3 +176,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         "near_next": ("fingerprint", "next_fingerprint")})
     return alike.select("doc_id", "n_chars", "edited_sha256", "fingerprint",
                         "edited_fingerprint", "near_edited", "near_next")
+
+
+@query("op5_weighted_minhash")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
