@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldcast.llm import bpe, fertility, labelled, lines, mixing, neardup, rules, sharding, spotsigs, toxicity
+from foldcast.llm import bpe, fertility, labelled, langid, lines, mixing, neardup, rules, sharding, spotsigs, toxicity
 from foldcast.llm.scratch import kept
 
 #: The public vocabulary files; a parameter of the operators.
@@ -181,3 +181,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_weighted_minhash")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+@query("op10_language_fusion")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return langid.identify(pages, documents(spark, sf_dir))
