@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from foldcast.llm.scratch import aside
 from foldcast.llm.words import chunks, coded, owners, split, text_of
 from foldcast.operators.joins import lookup_join
 
@@ -134,9 +135,11 @@ def measure(docs: DataFrame, path: str) -> DataFrame:
 def verdicts(measured: DataFrame) -> DataFrame:
     """``measured`` with ``base_failed`` and ``kept``. ``measured`` should be stored: it is read
     once for the bands and once for the verdicts."""
-    names = [c for c in measured.columns if c not in ("base_failed", "kept")]
+    rows, back = aside(measured.drop("base_failed", "kept"),
+                       ["doc_id", "text", "lang", *COUNTS, "entropy"])
+    names = rows.columns
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    rows = measured.select(
+    rows = rows.select(
         *names, base.alias("base_failed"),
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("_group"),
         F.floor(F.log2(F.col("n_tokens") + 1)).cast("int").alias("_class"),
@@ -170,4 +173,4 @@ def verdicts(measured: DataFrame) -> DataFrame:
 
     odd = (off("_chars", CHARS_BAND, CHARS_BAND, 0.01) | off("_bytes", None, BYTE_BAND, 0.01)
            | off("_entropy", ENTROPY_BAND, None, 0.01))
-    return banded.select(*names, "base_failed", (~F.col("base_failed") & ~odd).alias("kept"))
+    return back(banded, "base_failed", (~F.col("base_failed") & ~odd).alias("kept"))

@@ -23,8 +23,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from foldcast.llm.scratch import kept
+from foldcast.llm.scratch import aside, kept
 
 SPACE = " \t\n\x0b\x0c\r"
 _RUN = "h1 long, h2 long, doc long, same long, pos int"
@@ -174,12 +175,12 @@ def drop_shared_lines(docs: DataFrame, min_docs: int = 10) -> DataFrame:
 
     Adds ``n_lines`` (before) and ``n_dropped``. A NULL text stays NULL.
     """
-    rest = docs.drop("n_lines", "n_dropped")
+    rest, back = aside(docs.drop("n_lines", "n_dropped"), ["doc_id", "text"])
     names = rest.columns
     bitmaps = keep_bitmaps(rest, min_docs).select(
         F.col("doc").alias("_doc"), F.col("same").alias("_same"),
         F.col("bitmap").alias("_bitmap"))
     marked = rest.withColumns({f"_{n}": c for n, c in _identity().items()}).join(
         bitmaps, ["_doc", "_same"], "left").select(*names, "_bitmap")
-    schema = rest.schema.add("n_lines", "long").add("n_dropped", "long")
-    return marked.mapInArrow(lambda it: _cut(it, names), schema)
+    schema = StructType(list(rest.schema.fields)).add("n_lines", "long").add("n_dropped", "long")
+    return back(marked.mapInArrow(lambda it: _cut(it, names), schema), "n_lines", "n_dropped")

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from foldcast.llm.scratch import kept, running_totals
+from foldcast.llm.scratch import aside, kept, running_totals
 
 WORD = r"[^\x20\x09-\x0D]+"
 SLICE_ROWS = 50_000
@@ -126,18 +126,18 @@ def apply_mix(docs: DataFrame, cuts: DataFrame, most: int = 2, seed: str = "mix"
     own size check, else the rows are shuffled by source and AQE splits hot ones. Documents
     without a word are not in a mix.
     """
-    keyed = docs.withColumn("_u", place(seed)).alias("d")
+    rows, back = aside(docs, ["doc_id", "text", "source"])
+    keyed = rows.withColumn("_u", place(seed)).alias("d")
     at = F.struct(F.col("_u").alias("u"), F.col("doc_id").alias("doc_id"))
     copies = sum((F.when(at <= F.col(f"c.round{r}"), 1).otherwise(0) for r in range(1, most + 1)),
                  F.lit(0))
     joined = keyed.join(cuts.alias("c").withColumnRenamed("source", "_source"),
                         F.col("d.source").eqNullSafe(F.col("_source")))
-    return (
+    return back(
         joined.withColumn("_copies", F.when(word_count("d.text") > 0, copies).otherwise(0))
         .where("_copies > 0")
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .select([F.col(f"d.`{c}`") for c in docs.columns])
-    )
+        .select("d.*"))
 
 
 def place(seed: str) -> Column:

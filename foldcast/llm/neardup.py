@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldcast.llm.components import labels_of
-from foldcast.llm.scratch import kept
+from foldcast.llm.scratch import aside, kept
 from foldcast.llm.words import chunks, coded, owners, split, text_of
 
 EDGES = string.punctuation + "«»“”„‘’…¿¡–—"
@@ -338,12 +338,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Of rows that share that id and text, one stays. Only the ids that stay are shuffled to the
     documents; texts move once.
     """
-    stays = classes(docs).groupBy("root").agg(
+    rows, back = aside(docs, ["doc_id", "text"])
+    stays = classes(rows).groupBy("root").agg(
         F.min(F.struct(F.col("first_id").isNull(), "first_id", "copy")).alias("best"))
     stays = stays.select("best.first_id", F.col("best.copy").alias("_copy"))
-    marked = docs.withColumn("_copy", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    marked = rows.withColumn("_copy", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
     joined = marked.alias("d").join(
         stays.alias("s"), (F.col("d._copy") == F.col("s._copy"))
         & F.col("d.doc_id").eqNullSafe(F.col("s.first_id")), "left_semi")
-    rest = [c for c in docs.columns]
-    return joined.dropDuplicates(["_copy"]).select(*rest)
+    return back(joined.dropDuplicates(["_copy"]))

@@ -48,7 +48,8 @@ def running_totals(df: DataFrame, order: Sequence[Column], totals: dict[str, Col
 
 def aside(docs: DataFrame, needed: Sequence[str]) -> tuple[DataFrame, Callable]:
     """``docs`` with every column but ``needed`` under a name that no operator uses, and the way
-    back to the columns of ``docs``: extra columns then clash with nothing."""
+    back to the columns of ``docs`` and named new ones: extra columns then clash with nothing."""
     names = {c: c if c in needed else f"_aside{i}" for i, c in enumerate(docs.columns)}
     renamed = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
-    return renamed, lambda df: df.select(*[F.col(n).alias(c) for c, n in names.items()])
+    return renamed, lambda df, *new: df.select(
+        *[F.col(n).alias(c) for c, n in names.items()], *new)

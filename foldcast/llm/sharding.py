@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from foldcast.llm.scratch import kept
+from foldcast.llm.scratch import aside, kept
 
 PART_ROWS = 50_000
 #: Standard deviations kept on either side of a draw's mean; what lies beyond has a chance
@@ -107,8 +107,7 @@ def matrix(counts: DataFrame, parts: int, shards: int, seed: int) -> DataFrame:
 def shard(docs: DataFrame, shards: int, seed: int = 7) -> DataFrame:
     """``docs`` with ``shard`` (0 to ``shards`` - 1) and ``slot`` (gapless from 0 in the shard)."""
     spark = docs.sparkSession
-    rows = docs.drop("shard", "slot")
-    names = rows.columns
+    rows, back = aside(docs.drop("shard", "slot"), ["doc_id"])
     total = rows.count()
     parts = 1 << max(0, math.ceil(math.log2(max(1, total / PART_ROWS))))
     blocks = max(1, math.ceil(total / shards / PART_ROWS))
@@ -142,9 +141,8 @@ def shard(docs: DataFrame, shards: int, seed: int = 7) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start")), "shard-blocks")
     again = Window.partitionBy("shard", "_block").orderBy(key(4), "doc_id")
     sent = dealt(rows, table).drop("_part", "_first", "_rank", "_ends")
-    return (
+    return back(
         sent.withColumn("_place", F.row_number().over(again))
         .join(starts, ["shard", "_block"])
-        .withColumn("slot", (F.col("_start") + F.col("_place") - 1).cast("long"))
-        .select(*names, "shard", "slot")
-    )
+        .withColumn("slot", (F.col("_start") + F.col("_place") - 1).cast("long")),
+        "shard", "slot")

@@ -236,6 +236,5 @@ def _range_of(column: str, cuts: list[int]) -> Column:
         return F.lit(0)
     below = lambda c: c <= F.col(column)
     group = F.size(F.filter(F.lit([g[0] for g in groups]), below))
-    inside = F.size(F.filter(F.element_at(F.lit(groups), group), below))
-    return F.when(F.col(column) < cuts[0], 0).otherwise(
-        (group - 1) * step + inside) if cuts else F.lit(0)
+    inside = F.size(F.filter(F.get(F.lit(groups), F.greatest(group - 1, F.lit(0))), below))
+    return F.when(F.col(column) >= cuts[0], (group - 1) * step + inside).otherwise(0)

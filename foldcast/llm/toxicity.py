@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldcast.llm.labelled import with_labels
+from foldcast.llm.scratch import aside
 from foldcast.llm.words import chunks, coded, owners, split, text_of
 
 PREFIXES = (4, 5, 6)
@@ -290,7 +291,6 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
         return docs.drop("score", "passages").selectExpr(
             "*", "0D as score",
             "cast(array() as array<struct<first: int, last: int, score: double>>) as passages")
-    found = scan(docs.drop("score"), model)
-    return found.withColumn(
-        "score", F.col("evidence") / (F.col("evidence") + F.lit(model.needed))
-    ).drop("evidence", "words")
+    rows, back = aside(docs.drop("score", "passages"), ["text"])
+    odds = F.col("evidence") / (F.col("evidence") + F.lit(model.needed))
+    return back(scan(rows, model), odds.alias("score"), "passages")
