@@ -101,7 +101,7 @@ def elapsed_minutes(clock: Column | str, start: Column | str, fmt: str = "HH:mm:
 
 
 def days_between(date: Column | str, first: Column | str, fmt: str = "yyyy-MM-dd") -> Column:
-    return F.datediff(F.to_date(as_col(date), fmt), F.to_date(as_col(first), fmt))
+    return F.datediff(F.try_to_date(as_col(date), fmt), F.try_to_date(as_col(first), fmt))
 
 
 def mean_interval(elapsed: Column | str, n: Column | str) -> Column:

@@ -81,7 +81,7 @@ def profile(df: DataFrame, rank: str = "salary_rank", log: bool = True,
     scale = F.log1p if log else (lambda c: c)
     exprs = {
         "foreigner": foreigner,
-        "age": year - F.year(F.to_date("birth_date", "yyyy-MM-dd")),
+        "age": year - F.year(F.try_to_date("birth_date", "yyyy-MM-dd")),
         "play_year": play_year,
         "rank_year": safe_div(rank, play_year),
         "rank_x_year": F.col(rank) * play_year,

@@ -54,7 +54,8 @@ def actor_history(df: DataFrame, role: str, actor: str, balls: Sequence[str] = B
         raise ValueError(f"unknown role {role!r}")
     keys, whole = [fold, "player_id", "pit_bat"], [fold, "player_id"]
     rows = df.where(F.col(fold).isNotNull()).withColumn("player_id", F.col(actor))
-    counts = rows.where(all_present(keys)).groupBy(*keys).agg(*_label_counts(balls, zones))
+    if role != "pitcher":
+        counts = rows.where(all_present(keys)).groupBy(*keys).agg(*_label_counts(balls, zones))
     if role == "pitcher":
         # pitches are reduced to plate appearances first, then to hands
         plates = rows.where(all_present(keys)).groupBy(*keys, *PLATE).agg(

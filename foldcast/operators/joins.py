@@ -7,7 +7,10 @@ several slots, so that no task receives more than about ``HEAVY_ROWS`` rows of o
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Sequence
@@ -23,16 +26,25 @@ from foldcast.functions.expr import all_present
 
 BROADCAST_BYTES = 64 << 20
 HEAVY_ROWS = 5_000_000
-NULL_SLOTS = 1024
+#: A NULL key matches nothing, so its rows may lie anywhere: as many slots as an int can number.
+NULL_SLOTS = (1 << 31) - 1
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared scratch folder; a temporary one only where none is configured."""
+    """The cluster's shared scratch folder, from ``spark.checkpoint.dir``.
+
+    Only a local session may do without: its driver is its only executor, so a folder named after
+    the application serves, which is removed when the process ends.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         folder = spark.sparkContext.getCheckpointDir()
     if folder is None:
-        folder = tempfile.mkdtemp(prefix="foldcast-")
+        if not re.fullmatch(r"local(\[[^\[\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = os.path.join(tempfile.gettempdir(),
+                              f"foldcast-{spark.sparkContext.applicationId}")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
@@ -100,20 +112,23 @@ def spread_join(df: DataFrame, lookup: DataFrame, keys: Sequence[str], salt_on:
 
     ``counts`` (``keys`` plus ``n``) is the number of ``df`` rows per key, where it is already
     known or can be had from something narrower than ``df``.
-    The list of heavy keys has at most rows / ``heavy_rows`` entries, so it can be broadcast.
+    The list of heavy keys has at most rows / ``heavy_rows`` entries; it is measured, and
+    broadcast where it is small.
     """
     keys = list(keys)
     heavy_rows = heavy_rows or HEAVY_ROWS
     if counts is None:
         counts = df.where(all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    heavy, _ = stored(counts.where(F.col("n") > heavy_rows).select(
+    heavy, size = stored(counts.where(F.col("n") > heavy_rows).select(
         *keys, F.ceil(F.col("n") / F.lit(heavy_rows)).cast("int").alias("_slots")))
+    if size <= BROADCAST_BYTES:
+        heavy = F.broadcast(heavy)
     slots = F.when(~all_present(keys), NULL_SLOTS).otherwise(F.coalesce("_slots", F.lit(1)))
     # the partition number parts exact copies of a row, and stays the same when a task is rerun
     salt = F.pmod(F.xxhash64(*salt_on, F.spark_partition_id()), slots).cast("int")
-    left = df.join(F.broadcast(heavy), keys, "left").withColumn("_slot", salt).drop("_slots")
+    left = df.join(heavy, keys, "left").withColumn("_slot", salt).drop("_slots")
     right = (
-        lookup.join(F.broadcast(heavy), keys, "left")
+        lookup.join(heavy, keys, "left")
         .withColumn(
             "_slot",
             F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_slots"), F.lit(1)) - 1)),

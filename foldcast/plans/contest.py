@@ -14,11 +14,15 @@ from foldcast.sources.files import table_path, write_submission, write_table
 
 
 def run(events: DataFrame, actors: DataFrame, root: str, model_no: str,
-        edges: Sequence[int] = v.EDGES_4, rounds: int | None = None, max_rounds: int = 100,
-        how: str = "mean", leaking: bool = False) -> dict[str, float | None]:
+        edges: Sequence[int] = v.EDGES_4, rounds: int | None = None,
+        max_rounds: int | None = None, how: str = "mean", leaking: bool = False,
+        parallelism: int = 4) -> dict[str, float | None]:
     """Write the feature table, forecasts and importance tables under ``root``; return CV scores.
 
     The wide table is written once, partitioned by fold, and every later step reads from it.
+    ``rounds=None`` finds the number of rounds of every booster by cross-validation, sub-models
+    included, up to the published most (``max_rounds`` sets another). Each member of the
+    ensemble gets a submission of its own.
     """
     spark = events.sparkSession
     folds = list(range(1, len(edges) + 1))
@@ -26,23 +30,27 @@ def run(events: DataFrame, actors: DataFrame, root: str, model_no: str,
     write_table(build_features(events, actors, edges), wide_path, ["fold"])
     wide = spark.read.parquet(wide_path)
     params = {task: mllib_params(v.TUNED[task, "gbdt"]) for task in v.LABELS}
-    forest = mllib_params(v.TUNED["ball", "dart"])
+    most = {task: max_rounds or v.TUNED[task, "gbdt"]["rounds"] for task in v.LABELS}
+    forest, trees = mllib_params(v.TUNED["ball", "dart"]), v.TUNED["ball", "dart"]["rounds"]
     names = feature_names()
 
     zone_names = model_features(names, "course", leaking)
     stacked, added = with_sub_models(
-        wide, zone_names, folds, rounds=rounds or max_rounds, params=params["course"])
-    zone = train_folds(wide, zone_names, "course", v.ZONES, folds, "gbt", rounds, max_rounds,
-                       params["course"])
+        wide, zone_names, folds, rounds=rounds, params=params["course"],
+        max_rounds=most["course"], parallelism=parallelism)
+    zone = train_folds(wide, zone_names, "course", v.ZONES, folds, "gbt", rounds, most["course"],
+                       params["course"], parallelism=parallelism)
 
     ball_names = [*model_features(names, "ball", leaking), *added]
-    boosted = train_folds(stacked, ball_names, "ball", v.BALLS, folds, "gbt", rounds, max_rounds,
-                          params["ball"])
-    second = train_folds(stacked, ball_names, "ball", v.BALLS, folds, "rf", max_rounds,
-                         params=forest)
+    boosted = train_folds(stacked, ball_names, "ball", v.BALLS, folds, "gbt", rounds,
+                          most["ball"], params["ball"], parallelism=parallelism)
+    second = train_folds(stacked, ball_names, "ball", v.BALLS, folds, "rf",
+                         rounds or max_rounds or trees, params=forest, parallelism=parallelism)
     ball = ensemble(boosted.probs, second.probs, v.BALLS, how)
 
-    for name, probs, classes in (("course", zone.probs, v.ZONES), ("ball", ball, v.BALLS)):
+    for name, probs, classes in (("course", zone.probs, v.ZONES), ("ball", ball, v.BALLS),
+                                 ("ball_boosted", boosted.probs, v.BALLS),
+                                 ("ball_forest", second.probs, v.BALLS)):
         write_submission(probs, table_path(root, f"submit_{name}", model_no), classes,
                          edges[-1] + 1)
     for name, done in (("course", zone), ("ball", boosted)):

@@ -6,30 +6,31 @@ probabilities scaled to sum 1; the second variant is a random forest.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldcast import vocabulary as v
 from foldcast.functions.expr import drop_matching, recode_label
-from foldcast.operators.folds import labelled, unlabelled
-from foldcast.operators.forecast import fold_average, normalise
-from foldcast.operators.joins import attach_predictions, side_by_side, stored
+from foldcast.operators.folds import holdout, labelled, unlabelled
+from foldcast.operators.forecast import fold_average, logloss, normalise
+from foldcast.operators.joins import scratch_path, side_by_side
 from foldcast.operators.summary import importance_all
 
 IDS = ["row_no", "fold"]
 # columns that look ahead; left out of training unless asked for
 LEAKING = ["last_ball"]
+#: Most boosting rounds of the published settings.
+MAX_ROUNDS = max(t["rounds"] for t in v.TUNED.values())
 ROLE_ZONE_PARTS = ["_str_pit", "_ball_pit", "_str_bat", "_ball_bat"]
 
 
@@ -91,6 +92,9 @@ class Forecaster:
     def predict(self, df: DataFrame, keep: Sequence[str] = IDS) -> DataFrame:
         out = self.matrix.transform(df, keep)
         if len(self.models) == 1:
+            if self.models[0].numClasses > len(self.classes):
+                raise ValueError(f"{self.models[0].numClasses} classes are learnt,"
+                                 f" {len(self.classes)} have a name")
             probs = vector_to_array("probability")
             out = self.models[0].transform(out)
             return out.select(*keep, *[
@@ -105,13 +109,12 @@ class Forecaster:
         return normalise(out, self.classes) if self.scaled else out
 
     def importance(self) -> list[tuple[str, float]]:
-        """(feature, share of the loss reduction), averaged over the models; driver-side, one
-        entry per feature."""
-        sums = [0.0] * len(self.matrix.names)
-        for model in self.models:
-            for i, value in enumerate(model.featureImportances.toArray()):
-                sums[i] += float(value) / len(self.models)
-        return list(zip(self.matrix.names, sums))
+        """(feature, share of the loss reduction), averaged over the models that split at all (a
+        class without rows has none); driver-side, one entry per feature."""
+        shares = [model.featureImportances.toArray() for model in self.models]
+        splitting = [s for s in shares if s.sum() > 0]
+        return [(name, float(sum(s[i] for s in splitting)) / max(1, len(splitting)))
+                for i, name in enumerate(self.matrix.names)]
 
 
 def importance(model: Forecaster, df: DataFrame, fold: int) -> DataFrame:
@@ -123,7 +126,7 @@ def importance(model: Forecaster, df: DataFrame, fold: int) -> DataFrame:
 
 
 def fit_multiclass(train: DataFrame, features: Sequence[str], label: str,
-                   classes: Sequence[str], learner: str = "gbt", rounds: int = 20,
+                   classes: Sequence[str], learner: str = "gbt", *, rounds: int,
                    params: dict | None = None, scaled: bool = True, seed: int = 0,
                    parallelism: int = 1) -> Forecaster:
     """Fit class probabilities: ``gbt`` (one booster per class) or ``rf`` (one forest).
@@ -158,10 +161,11 @@ def _is_class(i: int) -> Column:
 
 
 def cv_fold(label: str | None, nfold: int = 4, row_no: str = "row_no") -> Column:
-    """Cross-validation fold of a row. With a label the rows of each class are dealt
-    separately, so every fold gets close to the same class shares."""
-    cols = [row_no] if label is None else [label, row_no]
-    return F.pmod(F.xxhash64(*cols), F.lit(nfold)).cast("int")
+    """Cross-validation fold of a row, by a multiplicative hash that any engine can repeat. The
+    label shifts it, so that the rows of each class are dealt out separately."""
+    shift = F.lit(0) if label is None else F.coalesce(F.col(label).cast("long"), F.lit(0)) * 31_337
+    mixed = (F.pmod(F.col(row_no), F.lit(1_000_003)) * 48_271 + shift) % 65_521
+    return F.pmod(mixed, F.lit(nfold)).cast("int")
 
 
 def best_round(losses: Sequence[float], patience: int = v.EARLY_STOP) -> tuple[float, int]:
@@ -176,14 +180,15 @@ def best_round(losses: Sequence[float], patience: int = v.EARLY_STOP) -> tuple[f
 
 
 def cv_rounds(train: DataFrame, features: Sequence[str], label: str,
-              classes: Sequence[str] | None, max_rounds: int = 20, params: dict | None = None,
-              nfold: int = 4, patience: int = v.EARLY_STOP, seed: int = 0,
-              parallelism: int = 1) -> tuple[float, int]:
+              classes: Sequence[str] | None, max_rounds: int = MAX_ROUNDS,
+              params: dict | None = None, nfold: int = 4, patience: int = v.EARLY_STOP,
+              seed: int = 0, parallelism: int = 1) -> tuple[float, int]:
     """Mean cross-validated loss and the best number of rounds.
 
-    Every fold is fitted once with ``max_rounds`` and its loss is read after each round on the
-    rows left out. With ``classes`` the loss is the sum of the classes' log losses over
-    class-wise folds; without, it is the rmse of a regression over plain folds.
+    The loss is read after every round on the rows left out. Boosting goes on in twice as many
+    rounds as long as the best one is not ``patience`` rounds back, up to ``max_rounds``; a fit's
+    first rounds do not depend on how many follow. With ``classes`` the loss is the sum of the
+    classes' log losses over class-wise folds; without, the rmse of a regression over plain folds.
     """
     params = dict(params or {})
     matrix = feature_matrix(train, features)
@@ -196,82 +201,102 @@ def cv_rounds(train: DataFrame, features: Sequence[str], label: str,
     )
     targets = [_is_class(i) for i in range(len(classes))] if classes else [F.col("label")]
 
-    def job(k: int, target: Column):
+    def job(k: int, target: Column, rounds: int):
         part = rows.select("features", target.alias("label"), "_cv")
         fitted, held = part.where(F.col("_cv") != k), part.where(F.col("_cv") == k)
 
         def run() -> list[float]:
             if classes:
-                model = GBTClassifier(maxIter=max_rounds, seed=seed, **params).fit(fitted)
+                model = GBTClassifier(maxIter=rounds, seed=seed, **params).fit(fitted)
                 # MLlib's margin loss is twice the log loss
                 return [x / 2 for x in model.evaluateEachIteration(held)]
-            model = GBTRegressor(maxIter=max_rounds, seed=seed, **params).fit(fitted)
+            model = GBTRegressor(maxIter=rounds, seed=seed, **params).fit(fitted)
             return [math.sqrt(x) for x in model.evaluateEachIteration(held, "squared")]
 
         return run
 
+    rounds = min(max_rounds, 2 * patience)
     try:
-        jobs = [job(k, t) for k in range(nfold) for t in targets]
-        curves = side_by_side(train.sparkSession, jobs, parallelism)
+        while True:
+            jobs = [job(k, t, rounds) for k in range(nfold) for t in targets]
+            curves = side_by_side(train.sparkSession, jobs, parallelism)
+            loss, at = best_round([sum(step) / nfold for step in zip(*curves)], patience)
+            if at + patience <= rounds or rounds == max_rounds:
+                return loss, at
+            rounds = min(max_rounds, 2 * rounds)
     finally:
         rows.unpersist()
-    return best_round([sum(step) / nfold for step in zip(*curves)], patience)
 
 
-def fit_regression(train: DataFrame, features: Sequence[str], label: str, rounds: int = 20,
+def fit_regression(train: DataFrame, features: Sequence[str], label: str, *, rounds: int,
                    params: dict | None = None, seed: int = 0):
     """Boosted regression; returns (matrix, model)."""
     matrix = feature_matrix(train, features)
     rows = matrix.transform(train, [label]).withColumn("label", F.col(label).cast("double"))
-    return matrix, GBTRegressor(maxIter=rounds, seed=seed, **(params or {})).fit(rows)
+    rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return matrix, GBTRegressor(maxIter=rounds, seed=seed, **(params or {})).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def regression_sub_model(wide: DataFrame, features: Sequence[str], label: str, fold: int,
-                         rounds: int = 20, params: dict | None = None,
+                         *, rounds: int, params: dict | None = None,
                          name: str = "predict_lastball") -> DataFrame:
     """Predict a number for the training and the unlabelled rows of one fold."""
     rows = wide.where(F.col("fold") == fold)
     kept = [c for c in features if c != label]
-    matrix, model = fit_regression(labelled(rows, "course"), kept, label, rounds, params)
+    matrix, model = fit_regression(labelled(labelled(rows, "course"), label), kept, label,
+                                   rounds=rounds, params=params)
     out = model.transform(matrix.transform(rows, IDS))
     return out.select(*IDS, F.col("prediction").alias(name))
 
 
 def sub_model(wide: DataFrame, features: Sequence[str], lookup: Sequence[int],
-              classes: Sequence[str], fold: int, learner: str = "gbt", rounds: int = 20,
-              params: dict | None = None) -> DataFrame:
-    """Probabilities of a coarsened zone for the training and unlabelled rows of one fold.
+              classes: Sequence[str], fold: int, learner: str = "gbt",
+              rounds: int | None = None, params: dict | None = None,
+              max_rounds: int = MAX_ROUNDS, parallelism: int = 1) -> Forecaster:
+    """Fit the probabilities of a coarsened zone on one fold's training rows.
 
-    The roles' own zone columns are kept out of the features.
+    The roles' own zone columns are kept out of the features. ``rounds=None`` finds the number
+    of rounds by cross-validation.
     """
     kept = [c for c in features if not any(p in c for p in ROLE_ZONE_PARTS)]
     rows = drop_matching(wide.where(F.col("fold") == fold), ROLE_ZONE_PARTS)
     train = labelled(rows, "course").withColumn("_coarse", recode_label("course", lookup))
-    model = fit_multiclass(train, kept, "_coarse", classes, learner, rounds, params)
-    return model.predict(rows)
+    if rounds is None:
+        _, rounds = cv_rounds(train, kept, "_coarse", classes, max_rounds, params,
+                              parallelism=parallelism)
+    return fit_multiclass(train, kept, "_coarse", classes, learner, rounds=rounds, params=params,
+                          parallelism=parallelism)
 
 
 def with_sub_models(wide: DataFrame, features: Sequence[str], folds: Sequence[int],
-                    learner: str = "gbt", rounds: int = 20, params: dict | None = None,
-                    strike: bool = False) -> tuple[DataFrame, list[str]]:
-    """Attach the side and height sub-models (and, on request, strike or ball) to every row.
-
-    Returns the table and the names of the added features.
+                    learner: str = "gbt", rounds: int | None = None, params: dict | None = None,
+                    strike: bool = False, max_rounds: int = MAX_ROUNDS, parallelism: int = 1,
+                    ) -> tuple[DataFrame, list[str]]:
+    """Add the side and height sub-models (and, on request, strike or ball) to every row.
+
+    A fold's models are applied to that fold's rows, so their columns stand beside the features
+    without a join. The outcome is written once, as Parquet by fold. Returns the table and the
+    names of the added features.
     """
     specs = [(v.LR_LOOKUP, v.LR_CLASSES), (v.HL_LOOKUP, v.HL_CLASSES)]
     if strike:
-        specs.append((v.STRIKE_LOOKUP, v.STRIKE_CLASSES))
-    out, added = wide, []
-    for lookup, classes in specs:
-        parts = [
-            sub_model(wide, features, lookup, classes, k, learner, rounds, params) for k in folds
-        ]
-        probs = parts[0]
-        for part in parts[1:]:
-            probs = probs.unionByName(part)
-        out = attach_predictions(out, probs)
-        added += classes
-    return stored(out)[0], added
+        # "ball" alone is the name of a label
+        specs.append((v.STRIKE_LOOKUP, [f"zone_{c}" for c in v.STRIKE_CLASSES]))
+    whole = None
+    for k in folds:
+        part = wide.where(F.col("fold") == k)
+        for lookup, classes in specs:
+            model = sub_model(wide, features, lookup, classes, k, learner, rounds, params,
+                              max_rounds, parallelism)
+            part = model.predict(part, part.columns)
+        whole = part if whole is None else whole.unionByName(part)
+    path = scratch_path(wide.sparkSession, "sub-models")
+    whole.write.partitionBy("fold").parquet(path)
+    stacked = wide.sparkSession.read.parquet(path)
+    return stacked, [c for _, classes in specs for c in classes]
 
 
 def model_features(names: Sequence[str], task: str, leaking: bool = False) -> list[str]:
@@ -292,8 +317,8 @@ class Run:
 
 
 def train_folds(wide: DataFrame, features: Sequence[str], label: str, classes: Sequence[str],
-                folds: Sequence[int], learner: str = "gbt", rounds: int | None = 20,
-                max_rounds: int = 20, params: dict | None = None, growth: float = 1.0,
+                folds: Sequence[int], learner: str = "gbt", rounds: int | None = None,
+                max_rounds: int = MAX_ROUNDS, params: dict | None = None, growth: float = 1.0,
                 cv_every_fold: bool = True, parallelism: int = 1) -> Run:
     """Fit each fold's rows, predict the unlabelled rows and average over the folds.
 
@@ -304,7 +329,8 @@ def train_folds(wide: DataFrame, features: Sequence[str], label: str, classes: S
     for k in folds:
         if rounds is None and (cv_every_fold or not scores):
             train = labelled(wide.where(F.col("fold") == k), label)
-            score, found = cv_rounds(train, features, label, classes, max_rounds, params)
+            score, found = cv_rounds(train, features, label, classes, max_rounds, params,
+                                     parallelism=parallelism)
             scores.append(score)
             best = max(1, int(found * growth))
         chosen[k] = best
@@ -312,7 +338,7 @@ def train_folds(wide: DataFrame, features: Sequence[str], label: str, classes: S
     def fold(k: int) -> tuple[DataFrame, DataFrame]:
         rows = wide.where(F.col("fold") == k)
         model = fit_multiclass(labelled(rows, label), features, label, classes, learner,
-                               chosen[k], params)
+                               rounds=chosen[k], params=params)
         return model.predict(unlabelled(rows, label)), importance(model, wide, k)
 
     done = side_by_side(wide.sparkSession, [lambda k=k: fold(k) for k in folds], parallelism)
@@ -323,26 +349,25 @@ def train_folds(wide: DataFrame, features: Sequence[str], label: str, classes: S
                sum(scores) / len(scores) if scores else None)
 
 
-def tune(train: DataFrame, features: Sequence[str], label: str, grid: dict[str, Sequence],
-         rounds: int = 20, train_ratio: float = 0.75, parallelism: int = 4,
-         seed: int = 0) -> DataFrame:
-    """Log loss of every parameter combination on a random hold-out, best first."""
-    matrix = feature_matrix(train, features)
-    rows = matrix.transform(train, [label]).withColumn("label", F.col(label).cast("double"))
-    forest = RandomForestClassifier(numTrees=rounds, seed=seed)
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        builder = builder.addGrid(forest.getParam(name), list(values))
-    maps = builder.build()
-    split = TrainValidationSplit(
-        estimator=forest, estimatorParamMaps=maps, trainRatio=train_ratio, seed=seed,
-        evaluator=MulticlassClassificationEvaluator(metricName="logLoss"),
-        parallelism=parallelism)
-    scores = split.fit(rows).validationMetrics
-    table = [
-        (", ".join(f"{p.name}={x}" for p, x in sorted(m.items(), key=lambda e: e[0].name)),
-         float(s))
-        for m, s in zip(maps, scores)
-    ]
+def tune(train: DataFrame, features: Sequence[str], label: str, classes: Sequence[str],
+         grid: dict[str, Sequence], rounds: int, learner: str = "gbt", parts: int = 4,
+         seed: int = 0, parallelism: int = 1) -> DataFrame:
+    """Log loss of every parameter combination on the hash hold-out, best first.
+
+    The hold-out depends on row numbers only, so the table is the same however the rows lie.
+    """
+    dealt = holdout(train, parts, seed)
+    fitted, held = dealt.where("is_test = 0"), dealt.where("is_test = 1")
+    combos = [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
+
+    def job(params: dict):
+        def run() -> tuple[str, float]:
+            model = fit_multiclass(fitted, features, label, classes, learner, rounds=rounds,
+                                   params=params)
+            loss = logloss(model.predict(held, [label]), label, classes).first()[0]
+            return ", ".join(f"{n}={x}" for n, x in sorted(params.items())), loss
+        return run
+
+    table = side_by_side(train.sparkSession, [job(c) for c in combos], parallelism)
     return train.sparkSession.createDataFrame(
         table, "params string, logloss double").orderBy("logloss", "params")

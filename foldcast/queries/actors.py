@@ -335,12 +335,13 @@ ex as (
 rj as (select e.*{cols} from ex e{joins})"""
 
 
-_SHOWN = [f"{c}_{s}" for s in ("pit", "bat", "cat")
-          for c in ("salary", "bmi", "straight", "slider", "total", "high_str")]
+_SHOWN = [f"{c}_{_SHORT[r]}" for r in _ROLES for c in [*_CARRIED, *v.ROLE_COUNTERS[r]]]
+_WHOLE_NUMBERS = {"age", *(c for r in _ROLES for c in v.ROLE_COUNTERS[r])}
 
 
 @query("role_join", _joined_sql() + " select row_no, fold, "
-       + ", ".join(f"round({c}, 6) as {c}" for c in _SHOWN) + " from rj")
+       + ", ".join(c if c.rsplit("_", 1)[0] in _WHOLE_NUMBERS else f"round({c}, 6) as {c}"
+                   for c in _SHOWN) + " from rj")
 def role_join(spark, sf_dir):
     return rounded(_joined(spark, sf_dir).select("row_no", "fold", *_SHOWN))
 
@@ -390,9 +391,8 @@ def _combine_sql(names, pairs, ops, short=False) -> dict[str, str]:
     return out
 
 
-_SOME_BALLS, _SOME_GROUPS = ["straight", "fork"], ["high_str", "right_ball"]
-_COMBINED = (_combine_sql(_SOME_BALLS, v.MIX_PAIRS, ["sub", "div", "mul", "ave", "rate"])
-             | _combine_sql(_SOME_GROUPS, v.MIX_PAIRS, ["sub", "div", "mul", "ave"]))
+_COMBINED = (_combine_sql(v.BALLS, v.MIX_PAIRS, ["sub", "div", "mul", "ave", "rate"])
+             | _combine_sql(list(v.ZONE_GROUPS), v.MIX_PAIRS, ["sub", "div", "mul", "ave"]))
 _TWO = (_combine_sql(v.BALLS, {"bc_p": ("bc", "pit")}, ["sub", "div", "mul", "ave", "rate"], True)
         | _combine_sql(v.BALLS, {"p_c": ("pit", "cat"), "bc_c": ("bc", "cat")}, ["sub"])
         | _combine_sql(list(v.ZONE_GROUPS), {"bc_p": ("bc", "pit")},
@@ -407,9 +407,9 @@ def _select_sql(exprs) -> str:
 @query("pair_combine", _joined_sql() + _select_sql(_COMBINED))
 def pair_combine_(spark, sf_dir):
     joined = _joined(spark, sf_dir, with_mix=True)
-    out = pair_combine(joined, _SOME_BALLS, v.MIX_PAIRS, ("sub", "div", "mul", "ave", "rate"),
+    out = pair_combine(joined, v.BALLS, v.MIX_PAIRS, ("sub", "div", "mul", "ave", "rate"),
                        base="straight")
-    out = pair_combine(out, _SOME_GROUPS, v.MIX_PAIRS)
+    out = pair_combine(out, list(v.ZONE_GROUPS), v.MIX_PAIRS)
     return rounded(out.select("row_no", "fold", *_COMBINED))
 
 

@@ -1,106 +1,234 @@
-"""Model fits on the stand-in log; checked by rows, as a learner has no SQL counterpart."""
+"""Model fits on the stand-in log, over all folds, classes and rows, with exact SQL.
 
-from __future__ import annotations
+After one boosting round, a tree that separates the values of one ordinal feature predicts for
+each value twice the class share less one, and its probability is the logistic function of twice
+that. A regression predicts each value's mean. So SQL can repeat these fits.
+"""
 
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 from foldcast import vocabulary as v
-from foldcast.functions.situation import situation_flags
 from foldcast.operators import forecast as fc
 from foldcast.operators.folds import labelled, out_of_fold
+from foldcast.operators.joins import side_by_side
 from foldcast.plans import learn
-from foldcast.queries.registry import query
-from foldcast.queries.views import pitch_like
+from foldcast.plans.features import sequence_features, with_clock
+from foldcast.queries.registry import query, rounded
+from foldcast.queries.sequences import SEQ, _flagged
+from foldcast.queries.views import FOLDS, pitch_like, with_pl
 
-# the five event types in use; the other ball classes have no rows here
-CLASSES = v.BALLS[:5]
-FEATURES = [
-    "inning", "bat_cnt_in_inning", "pitch_cnt_in_bat", "out_cnt", "ball_cnt", "strike_cnt",
-    "home_point", "away_point", "bat_order", "first", "second", "third", "point_diff",
-    "total_inning", "catcher_id",
-]
-SMALL = {"maxDepth": 3}
+FEATURES = ["count_code"]
+CODE = "strike_cnt * 4 + ball_cnt"
+FOLD_LIST = list(range(1, FOLDS + 1))
+#: Deep enough to part all twelve counts.
+DEEP = {"maxDepth": 12}
+JOBS = 4
 
 
-def _wide(spark, sf_dir):
+def _wide(spark, sf_dir, *more):
     pl, edges = pitch_like(spark, sf_dir)
-    flagged = situation_flags(pl)
-    return out_of_fold(flagged.select("row_no", *v.LABELS, *FEATURES), edges)
+    rows = pl.selectExpr("row_no", *v.LABELS, f"{CODE} as count_code", *more)
+    return out_of_fold(rows, edges)
 
 
-def _fold_one(spark, sf_dir):
-    return _wide(spark, sf_dir).where(F.col("fold") == 1)
+def _forecasts(spark, sf_dir, scaled):
+    """Every row of every fold with the probabilities of the fold's models."""
+    wide = _wide(spark, sf_dir)
 
+    def job(k):
+        rows = wide.where(f"fold = {k}")
+        model = learn.fit_multiclass(labelled(rows, "ball"), FEATURES, "ball", v.BALLS, "gbt",
+                                     rounds=1, params=DEEP, scaled=scaled)
+        return model.predict(rows, ["row_no", "fold", "ball"])
+
+    parts = side_by_side(spark, [lambda k=k: job(k) for k in FOLD_LIST], JOBS)
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+_EX = f"""
+ex as (
+  select row_no, ball, course, {CODE} as code, f.k as fold
+  from pl, (select unnest({FOLD_LIST}) as k) f where own_fold is null or own_fold <> f.k)"""
+
+
+def _logistic(share: str) -> str:
+    return f"1 / (1 + exp(-2 * (2 * {share} - 1)))"
 
-@query("fit_rf")
-def fit_rf(spark, sf_dir):
-    run = learn.train_folds(_wide(spark, sf_dir), FEATURES, "ball", CLASSES, [1, 2, 3, 4], "rf",
-                            rounds=5, params=SMALL)
-    return run.probs
 
+def _models_sql(name: str, classes, label: str = "ball", scaled: bool = True) -> str:
+    """CTE ``name``: the probabilities of each fold and code."""
+    raw = ", ".join(
+        _logistic(f"avg(case when {label} = {i} then 1.0::double else 0 end)") + f" as {c}"
+        for i, c in enumerate(classes))
+    total = " + ".join(classes) if scaled else "1"
+    cols = ", ".join(f"{c} / ({total}) as {c}" for c in classes)
+    return f""",
+{name}0 as (select fold, code, {raw} from ex where {label} is not null group by 1, 2),
+{name} as (select fold, code, {cols} from {name}0)"""
 
-@query("fit_ovr")
+
+def _rounded(cols, prefix="") -> str:
+    return ", ".join(f"round({prefix}{c}, 6) as {c}" for c in cols)
+
+
+def _forecast_sql(scaled: bool) -> str:
+    return with_pl("," + _EX + _models_sql("m", v.BALLS, scaled=scaled) + f"""
+select row_no, ex.fold, {_rounded(v.BALLS)} from ex join m using (fold, code)""")
+
+
+@query("fit_ovr", _forecast_sql(True))
 def fit_ovr(spark, sf_dir):
-    rows = _fold_one(spark, sf_dir)
-    model = learn.fit_multiclass(labelled(rows, "ball"), FEATURES, "ball", CLASSES, "gbt",
-                                 rounds=3, params=SMALL)
-    return model.predict(rows)
+    return rounded(_forecasts(spark, sf_dir, True).drop("ball"))
 
 
-@query("fit_ovr_raw")
+@query("fit_ovr_raw", _forecast_sql(False))
 def fit_ovr_raw(spark, sf_dir):
     """One-per-class probabilities of all rows, not scaled."""
-    rows = _fold_one(spark, sf_dir)
-    model = learn.fit_multiclass(labelled(rows, "ball"), FEATURES, "ball", CLASSES, "gbt",
-                                 rounds=2, params=SMALL, scaled=False)
-    return model.predict(rows)
+    return rounded(_forecasts(spark, sf_dir, False).drop("ball"))
 
 
-@query("fit_sub_model")
-def fit_sub_model(spark, sf_dir):
-    return learn.sub_model(_wide(spark, sf_dir), FEATURES, v.LR_LOOKUP, v.LR_CLASSES, 1,
-                           learner="rf", rounds=5, params=SMALL)
+_TRUE = " ".join(f"when {i} then {b}" for i, b in enumerate(v.BALLS))
 
 
-@query("fit_stacked")
-def fit_stacked(spark, sf_dir):
-    """Side and height sub-models as features of the ball model."""
-    wide = _fold_one(spark, sf_dir)
-    stacked, added = learn.with_sub_models(wide, FEATURES, [1], "rf", rounds=5, params=SMALL)
-    run = learn.train_folds(stacked, [*FEATURES, *added], "ball", CLASSES, [1], "rf", rounds=5,
-                            params=SMALL)
-    return run.probs
+@query("fit_logloss", with_pl("," + _EX + _models_sql("m", v.BALLS) + f"""
+select ex.fold, round(avg(-ln(greatest(case ball {_TRUE} end, 1e-15))), 6) as logloss
+from ex join m using (fold, code) where ball is not null group by 1"""))
+def fit_logloss(spark, sf_dir):
+    return rounded(fc.logloss(_forecasts(spark, sf_dir, True), "ball", v.BALLS, ["fold"]))
 
 
-@query("fit_regression")
-def fit_regression(spark, sf_dir):
-    return learn.regression_sub_model(_wide(spark, sf_dir), FEATURES, "pitch_cnt_in_bat", 1,
-                                      rounds=3, params=SMALL)
+def _coarse(lookup) -> str:
+    return "case course " + " ".join(f"when {i} then {x}" for i, x in enumerate(lookup)) + " end"
 
 
-@query("fit_importance")
-def fit_importance(spark, sf_dir):
-    run = learn.train_folds(_wide(spark, sf_dir), FEATURES, "ball", CLASSES, [1, 2], "rf",
-                            rounds=5, params=SMALL)
-    return run.importance
+_ZONE_STRIKE = [f"zone_{c}" for c in v.STRIKE_CLASSES]
+_SUBS = (_models_sql("lr", v.LR_CLASSES, _coarse(v.LR_LOOKUP))
+         + _models_sql("hl", v.HL_CLASSES, _coarse(v.HL_LOOKUP))
+         + _models_sql("st", _ZONE_STRIKE, _coarse(v.STRIKE_LOOKUP)))
+_ADDED = [*v.LR_CLASSES, *v.HL_CLASSES, *_ZONE_STRIKE]
 
 
-@query("fit_logloss")
-def fit_logloss(spark, sf_dir):
-    rows = labelled(_fold_one(spark, sf_dir), "ball")
-    model = learn.fit_multiclass(rows, FEATURES, "ball", CLASSES, "rf", rounds=5, params=SMALL)
-    return fc.logloss(model.predict(rows, ["ball"]), "ball", CLASSES)
+@query("fit_sub_model", with_pl("," + _EX + _SUBS + f"""
+select row_no, ex.fold, {_rounded(_ADDED)}
+from ex join lr using (fold, code) join hl using (fold, code) join st using (fold, code)"""))
+def fit_sub_model(spark, sf_dir):
+    """Side, height and strike sub-models of every fold."""
+    out, added = learn.with_sub_models(_wide(spark, sf_dir), FEATURES, FOLD_LIST, rounds=1,
+                                       params=DEEP, strike=True, parallelism=JOBS)
+    return rounded(out.select("row_no", "fold", *added))
 
 
-@query("cv_rounds")
-def cv_rounds(spark, sf_dir):
-    rows = labelled(_fold_one(spark, sf_dir), "ball")
-    score, rounds = learn.cv_rounds(rows, FEATURES, "ball", CLASSES[:2], max_rounds=3,
-                                    params={"maxDepth": 2}, nfold=2)
-    return rows.sparkSession.createDataFrame([(score, rounds)], "score double, rounds int")
+@query("fit_stacked", with_pl("," + _EX + _models_sql("m", v.BALLS) + f"""
+select row_no, {", ".join(f"round(avg({b}), 6) as {b}" for b in v.BALLS)}
+from ex join m using (fold, code) where ball is null group by 1"""))
+def fit_stacked(spark, sf_dir):
+    """Side and height sub-models as features of the ball model, averaged over the folds. They
+    depend on the count alone, so the leaves are the counts again."""
+    stacked, added = learn.with_sub_models(_wide(spark, sf_dir), FEATURES, FOLD_LIST, rounds=1,
+                                           params=DEEP, parallelism=JOBS)
+    run = learn.train_folds(stacked, [*FEATURES, *added], "ball", v.BALLS, FOLD_LIST, "gbt",
+                            rounds=1, params=DEEP, parallelism=JOBS)
+    return rounded(run.probs)
+
+
+@query("fit_regression", f"""with {SEQ},
+xr as (
+  select row_no, course, last_ball, {CODE} as code, f.k as fold
+  from sq, (select unnest({FOLD_LIST}) as k) f where own_fold is null or own_fold <> f.k),
+g as (select fold, code, avg(last_ball) as m from xr
+  where course is not null and last_ball is not null group by 1, 2)
+select row_no, xr.fold, round(m, 6) as predict_lastball from xr join g using (fold, code)""")
+def fit_regression(spark, sf_dir):
+    """The share of the plate appearance that is still to come, in every fold."""
+    _, edges = pitch_like(spark, sf_dir)
+    rows = sequence_features(with_clock(_flagged(spark, sf_dir))).selectExpr(
+        "row_no", "course", "last_ball", f"{CODE} as count_code")
+    wide = out_of_fold(rows, edges).persist()
+    parts = side_by_side(spark, [lambda k=k: learn.regression_sub_model(
+        wide, FEATURES, "last_ball", k, rounds=1, params=DEEP) for k in FOLD_LIST], JOBS)
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return rounded(out)
 
 
-@query("tune")
+_IMPORTANCE = ", ".join(f"1.0::double as feat_imp_{k}" for k in FOLD_LIST)
+
+
+@query("fit_importance", f"""
+select 'count_code' as feat_name, {_IMPORTANCE}, {FOLDS}.0::double as sum""")
+def fit_importance(spark, sf_dir):
+    """One feature has all of the loss reduction in every fold."""
+    run = learn.train_folds(_wide(spark, sf_dir), FEATURES, "ball", v.BALLS, FOLD_LIST, "gbt",
+                            rounds=1, params=DEEP, parallelism=JOBS)
+    return rounded(run.importance)
+
+
+@query("fit_rf", with_pl(" select row_no, 1.0::double as total, 1 as in_range from pl"
+                         " where ball is null"))
+def fit_rf(spark, sf_dir):
+    """A forest's shares hang on its samples; what must hold is their sum and range."""
+    wide = _wide(spark, sf_dir, "inning", "out_cnt", "pitch_cnt_in_bat", "bat_order")
+    names = [*FEATURES, "inning", "out_cnt", "pitch_cnt_in_bat", "bat_order"]
+    run = learn.train_folds(wide, names, "ball", v.BALLS, FOLD_LIST, "rf", rounds=20,
+                            params={"maxDepth": 5}, parallelism=JOBS)
+    inside = " and ".join(f"{b} between 0 and 1" for b in v.BALLS)
+    return rounded(run.probs.selectExpr("row_no", f"{' + '.join(v.BALLS)} as total",
+                                        f"cast({inside} as int) as in_range"))
+
+
+_CV_SHARES = ", ".join(
+    f"avg(case when a.ball = {i} then 1.0::double else 0 end) as s{i}" for i in range(len(v.BALLS)))
+_CV_LOSS = " + ".join(
+    f"ln(1 + exp((case when ball = {i} then -2 else 2 end) * (2 * s{i} - 1)))"
+    for i in range(len(v.BALLS)))
+
+
+@query("cv_rounds", with_pl("," + _EX + f""",
+cv as (
+  select *, ((row_no % 1000003) * 48271 + ball * 31337) % 65521 % 4 as part
+  from ex where ball is not null),
+sh as (
+  select a.fold, p.k as part, a.code, {_CV_SHARES}
+  from cv a, (select unnest([0, 1, 2, 3]) as k) p where a.part <> p.k group by 1, 2, 3),
+ls as (
+  select cv.fold, cv.part, avg({_CV_LOSS}) as loss
+  from cv join sh on cv.fold = sh.fold and cv.part = sh.part and cv.code = sh.code group by 1, 2)
+select fold, round(avg(loss), 6) as score, 1 as rounds from ls group by 1"""))
+def cv_rounds(spark, sf_dir):
+    """Cross-validated loss after one round, in every fold."""
+    wide = _wide(spark, sf_dir)
+    found = [(k, *learn.cv_rounds(labelled(wide.where(f"fold = {k}"), "ball"), FEATURES, "ball",
+                                  v.BALLS, max_rounds=1, params=DEEP, parallelism=2 * JOBS))
+             for k in FOLD_LIST]
+    return rounded(spark.createDataFrame(found, "fold int, score double, rounds int"))
+
+
+def _tuned_sql(by: str, least: int) -> str:
+    raw = ", ".join(
+        _logistic(f"avg(case when ball = {i} then 1.0::double else 0 end)") + f" as {c}"
+        for i, c in enumerate(v.BALLS))
+    total = " + ".join(v.BALLS)
+    return f"""
+select 'maxDepth=12, minInstancesPerNode={least}' as params,
+  round(avg(-ln(greatest((case ball {_TRUE} end) / ({total}), 1e-15))), 6) as logloss
+from tu join (select {by} as b, {raw} from tu where test = 0 group by 1) g on g.b = {by}
+where test = 1"""
+
+
+@query("tune", with_pl(f""",
+tu as (
+  select row_no, ball, {CODE} as code,
+    case when ((row_no % 1000003) * 7919) % 65537 % 4 = 0 then 1 else 0 end as test
+  from pl where ball is not null)""" + _tuned_sql("code", 1) + " union all "
+    + _tuned_sql("0 * code", 1_000_000_000)))
 def tune(spark, sf_dir):
-    rows = labelled(_fold_one(spark, sf_dir), "ball")
-    return learn.tune(rows, FEATURES, "ball", {"maxDepth": [2, 4]}, rounds=5)
+    """Leaves as small as they come against a tree that cannot split."""
+    pl, _ = pitch_like(spark, sf_dir)
+    rows = labelled(pl.selectExpr("row_no", "ball", f"{CODE} as count_code"), "ball")
+    return rounded(learn.tune(
+        rows, FEATURES, "ball", v.BALLS, {"minInstancesPerNode": [1, 1_000_000_000], "maxDepth": [12]},
+        rounds=1, parallelism=2))

@@ -81,9 +81,10 @@ def describe_exact(spark, sf_dir):
 @query("column_profile", " union all ".join(
     f"""select '{c}' as "column", '{t}' as type, count({c}) as non_null from orders"""
     for c, t in [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
-                 ("o_totalprice", "double"), ("o_orderpriority", "string")]))
+                 ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"),
+                 ("o_orderpriority", "string")]))
 def column_profile(spark, sf_dir):
-    return summary.column_profile(table(spark, sf_dir, "orders").drop("o_orderdate"))
+    return summary.column_profile(table(spark, sf_dir, "orders"))
 
 
 @query("column_means", "select " + ", ".join(

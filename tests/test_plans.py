@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foldcast import vocabulary as v
-from foldcast.operators import joins, sequence
+from foldcast.operators import folds, joins, sequence
 from foldcast.operators.folds import fold_of
 from foldcast.operators.joins import append_unlabelled
 from foldcast.plans import features, learn
@@ -168,7 +168,7 @@ def test_fits(spark):
     score, rounds = learn.cv_rounds(train, ["x"], "noise", None, max_rounds=2, nfold=2)
     assert rounds >= 1 and score > 0
     with pytest.raises(ValueError):
-        learn.fit_multiclass(train, ["x"], "ball", ["a", "b"], "svm")
+        learn.fit_multiclass(train, ["x"], "ball", ["a", "b"], "svm", rounds=1)
 
 
 def test_cv_folds_keep_class_shares(spark):
@@ -182,3 +182,54 @@ def test_train_folds_with_cross_validation(spark):
                             rounds=None, max_rounds=2, growth=1.1, cv_every_fold=False)
     assert run.probs.count() == 4 and run.cv_score > 0
     assert run.importance.columns == ["feat_name", "feat_imp_1", "sum"]
+
+
+def test_rounds_stop_early(spark):
+    """Noise is learnt by heart at once, so the loss outside grows and boosting stops."""
+    noise = spark.range(300).selectExpr(
+        "id as row_no", "int(pmod(xxhash64(id), 2)) as y", "double(pmod(xxhash64(id, 1), 97)) as x")
+    loss, at = learn.cv_rounds(noise, ["x"], "y", None, max_rounds=40, patience=3, nfold=2,
+                               params={"maxDepth": 4})
+    assert at + 3 <= 40 and loss > 0
+    fewer = learn.cv_rounds(noise, ["x"], "y", None, max_rounds=12, patience=3, nfold=2,
+                            params={"maxDepth": 4})
+    assert fewer == (loss, at)
+
+
+def test_forest_with_a_class_without_a_name(spark):
+    train = toy(spark).where("ball is not null")
+    model = learn.fit_multiclass(train, ["x"], "ball", ["a", "b"], "rf", rounds=1)
+    model.classes = ["a"]
+    with pytest.raises(ValueError):
+        model.predict(train)
+
+
+def test_tuning_does_not_depend_on_layout(spark):
+    train = toy(spark).where("ball is not null")
+    grid = {"maxDepth": [1, 3]}
+    tables = [learn.tune(df, ["x", "noise"], "ball", ["a", "b"], grid, rounds=2).collect()
+              for df in (train.repartition(5, "noise"), train.coalesce(1))]
+    assert [tuple(r) for r in tables[0]] == [
+        (r["params"], pytest.approx(r["logloss"])) for r in tables[1]]
+
+
+def test_more_folds(spark):
+    """Three and five folds, as the fold edges say."""
+    rows = spark.range(100).withColumnRenamed("id", "row_no")
+    for edges in ([29, 59, 89], [19, 39, 59, 79, 89]):
+        out = folds.out_of_fold(rows, edges)
+        assert out.count() == 90 * (len(edges) - 1) + 10 * len(edges)
+
+
+def test_scratch_folder_must_be_shared():
+    from types import SimpleNamespace
+
+    from foldcast.operators.joins import shared_folder
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    remote = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context)
+    with pytest.raises(RuntimeError):
+        shared_folder(remote)
+    context.master = "local-cluster[2,1,1024]"
+    with pytest.raises(RuntimeError):
+        shared_folder(remote)

@@ -9,7 +9,6 @@ SF_DIR = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
-SLOW = {"fit_ovr", "fit_ovr_raw", "fit_importance", "fit_logloss"}  # same paths as fit_rf, cv_rounds
 
 
 @pytest.fixture(scope="module")
@@ -41,8 +40,7 @@ def test_matches_sql(spark, duck, name):
         assert g == pytest.approx(w, abs=2e-5) if all(x is not None for x in g) else g == w
 
 
-@pytest.mark.parametrize(
-    "name", sorted(set(contract.queries()) - set(contract.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(contract.queries()) - set(contract.oracle_sql())))
 def test_gives_rows(spark, name):
     assert contract.queries()[name](spark, SF_DIR).count() > 0
 
