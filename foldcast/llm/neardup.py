@@ -7,11 +7,11 @@ share the highest value, so the table of the others is at most (words per docume
 and can be broadcast whatever the size of the corpus.
 
 Improved consistent weighted sampling gives each text ``BANDS * ROWS`` samples; texts that agree
-on all samples of a band are candidates. Exact copies are one text from the start. In a band's
-bucket all texts are compared with the bucket's hub by weighted Jaccard similarity, of which one
-minus is a metric: a text that is far from the hub can only be near to texts that are about as far
-from it, which leaves few further pairs (``_ring``); texts not settled by a hub meet the next hubs,
-four times as many in each round, until no bucket holds an open pair. No bucket is capped.
+on all samples of a band are candidates, and exact copies are one text from the start. In a band's
+bucket all texts are compared with the bucket's hub by weighted Jaccard similarity. Where a bucket
+then holds more than one class, members of different classes are compared, in large buckets block
+by block. No bucket is capped, and no pair of a bucket stays uncompared unless its ends are of one
+class already.
 
 Defined results: a NULL text counts as empty; equal texts are always of one class, empty ones
 too; texts without a word are alike only if equal; repeated rows count as one document with its
@@ -29,7 +29,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldcast.llm.components import labels_of
@@ -41,6 +41,8 @@ WORDS, FLOOR = 5, 0.8
 BANDS, ROWS = 16, 5
 #: Share of documents below which a word is rare.
 RARE = 0.001
+#: Buckets up to PAIRED texts are compared pair by pair, larger ones in blocks of about BLOCK.
+PAIRED, BLOCK, SLICE = 16, 256, 2048
 _TABLE = 1 << 14
 
 
@@ -224,8 +226,8 @@ def similarities(pairs: DataFrame, texts: DataFrame, weights: Weights) -> DataFr
 
 
 def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The different texts (``copy``, ``first_id``, ``n``), and the links between them."""
-    spark = docs.sparkSession
+    """The different texts (``copy``, ``first_id``, ``n``), and links that join all that belong
+    together: every pair of a bucket is compared, or its ends are linked already."""
     weights = learn_weights(docs)
     signed = kept(signatures(docs, weights).groupBy("copy").agg(
         F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"),
@@ -233,103 +235,140 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     buckets = signed.where("bands is not null").select(
         "copy", F.posexplode("bands").alias("band", "key"))
     sizes = buckets.groupBy("band", "key").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
-    # bands in which the same texts meet are one bucket in effect, but each is settled by itself
-    open_ = kept(buckets.join(sizes.drop("texts"), ["band", "key"]), "dup-buckets")
-    met = open_.select("copy").distinct()
+    members = kept(buckets.join(sizes, ["band", "key"]), "dup-buckets")
+    met = members.select("copy").distinct().join(signed.select("copy", "bands"), "copy")
     texts = docs.select(F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("copy"), "text")
-    texts = kept(texts.join(met, "copy", "left_semi").groupBy("copy").agg(
-        F.first(F.coalesce("text", F.lit(""))).alias("text")), "dup-texts")
-    none = spark.createDataFrame([], "left string, right string, similarity double")
-    known, hubs = none, 1
-    while not open_.isEmpty():
-        compared, open_ = _round(open_, known, texts, weights, hubs)
-        known, hubs = kept(known.unionByName(compared), "dup-known"), hubs * 4
-    return signed.select("copy", "first_id", "n"), known.where(F.col("similarity") >= FLOOR)
+    texts = kept(texts.join(met, "copy").groupBy("copy").agg(
+        F.first(F.coalesce("text", F.lit(""))).alias("text"),
+        F.first("bands").alias("bands")), "dup-texts")
+    return signed.select("copy", "first_id", "n"), settle(members, texts, weights)
 
 
-def _pairs(df: DataFrame) -> DataFrame:
-    """Ordered pairs of different copies, each once."""
-    return df.where("a <> b").select(F.least("a", "b").alias("left"),
-                                     F.greatest("a", "b").alias("right")).distinct()
-
-
-def _round(open_: DataFrame, known: DataFrame, texts: DataFrame, weights: Weights, hubs: int,
-           ) -> tuple[DataFrame, DataFrame]:
-    """Compare every open text with the hubs of its bucket; what is still open afterwards.
+def settle(members: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
+    """Links ``left``, ``right`` between the texts of buckets (``copy``, ``band``, ``key`` and the
+    bucket's number of ``texts``).
 
-    The hubs are the bucket's first texts by digest. Pairs that were compared before are not
-    compared again.
+    First every text meets its bucket's hub, the member with the most company over all bands:
+    copies of one text meet that text. Buckets whose members are of one class then are settled.
+    In the others members of different classes are compared: small buckets pair by pair, each
+    pair once over all bands; large ones block by block (``_block``), so that neither rows nor a
+    task grow with the square of a bucket.
     """
     keys = ["band", "key"]
-    tops = _first_copies(open_, keys, hubs)
-    star = open_.join(tops, keys).select(*keys, F.col("copy").alias("b"),
-                                         F.explode("tops").alias("a"))
-    star = kept(star.where("a <> b"), "dup-star")
-    new = _pairs(star).join(known, ["left", "right"], "left_anti")
-    first = kept(similarities(new, texts, weights), "dup-compared")
-    seen = known.unionByName(first)
-    measured = star.select(*keys, "a", "b", F.least("a", "b").alias("left"),
-                           F.greatest("a", "b").alias("right")).join(seen, ["left", "right"])
-    far = kept(measured.select(*keys, "a", "b", (1 - F.col("similarity")).alias("far")), "dup-far")
-    ring = _ring(far, hubs).join(seen, ["left", "right"], "left_anti")
-    second = kept(similarities(ring, texts, weights), "dup-ring")
-    # settled: hubs, and texts within reach of one
-    done = far.where(F.col("far") <= 1 - FLOOR).select(*keys, F.col("b").alias("copy")).union(
-        tops.select(*keys, F.explode("tops").alias("copy"))).distinct()
-    left = open_.join(done, [*keys, "copy"], "left_anti")
-    sizes = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
-    return first.unionByName(second), kept(left.join(sizes.drop("texts"), keys), "dup-open")
-
-
-def _first_copies(open_: DataFrame, keys: list[str], hubs: int) -> DataFrame:
-    """The first ``hubs`` copies of each bucket. A bucket's texts are thinned out in slices
-    before they meet, so that a large bucket is not sorted in one task."""
-    slice_ = F.pmod(F.xxhash64("copy"), F.lit(64))
-    inner = Window.partitionBy(*keys, "slice").orderBy("copy")
-    outer = Window.partitionBy(*keys).orderBy("copy")
-    if hubs == 1:
-        return open_.groupBy(*keys).agg(F.array(F.min("copy")).alias("tops"))
-    thin = open_.withColumn("slice", slice_).withColumn(
-        "rank", F.row_number().over(inner)).where(F.col("rank") <= hubs).drop("rank", "slice")
-    return thin.withColumn("rank", F.row_number().over(outer)).where(
-        F.col("rank") <= hubs).groupBy(*keys).agg(F.collect_list("copy").alias("tops"))
-
-
-def _ring(far: DataFrame, hubs: int) -> DataFrame:
-    """Pairs that a hub cannot rule out: one text near the hub, the other just out of reach.
-
-    With d the distance to the hub and e = 1 - FLOOR: a pair within e has d's that differ by at
-    most e, so a text beyond 2e is far from all that are near the hub.
+    company = members.groupBy("copy").agg(F.sum("texts").alias("company"))
+    hubs = members.join(company, "copy").groupBy(*keys).agg(
+        F.max(F.struct("company", "copy")).alias("hub")).select(*keys, F.col("hub.copy").alias("a"))
+    star = kept(_pairs(members.join(hubs, keys).withColumn("b", F.col("copy"))), "dup-star")
+    first = kept(similarities(star, texts, weights).where(F.col("similarity") >= FLOOR)
+                 .select("left", "right"), "dup-links")
+    labels = labels_of(first.select(F.col("left").alias("a"), F.col("right").alias("b")))
+    classed = kept(members.join(labels, "copy", "left").withColumn(
+        "class", F.coalesce("root", "copy")).drop("root"), "dup-classed")
+    mixed = classed.groupBy(*keys).agg(F.min("class").alias("x"), F.max("class").alias("y")).where(
+        "x <> y").select(*keys)
+    open_ = kept(classed.join(mixed, keys), "dup-open")
+
+    small = open_.where(F.col("texts") <= PAIRED)
+    a, b = small.alias("a"), small.alias("b")
+    pairs = _pairs(a.join(b, keys).where("a.class < b.class").select(
+        F.col("a.copy").alias("a"), F.col("b.copy").alias("b"))).join(
+        star, ["left", "right"], "left_anti")
+    second = similarities(pairs, texts, weights).where(F.col("similarity") >= FLOOR)
+
+    # each member of block i goes to all pairs of blocks that i is in
+    count = F.ceil(F.col("texts") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64(F.lit("block"), "copy"), F.col("blocks")).cast("int")
+    dealt = open_.where(F.col("texts") > PAIRED).withColumn("blocks", count).withColumn(
+        "own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select(*keys, "copy", "class", "own", F.least("own", "other").alias("i"),
+                         F.greatest("own", "other").alias("j")).join(texts, "copy")
+    third = dealt.groupBy(*keys, "i", "j").applyInArrow(
+        lambda table: _block(table, weights), "left string, right string")
+    return kept(first.unionByName(second.select("left", "right")).unionByName(third), "dup-known")
+
+
+def _block(table: pa.Table, weights: Weights) -> pa.Table:
+    """Links between members of different classes in one pair of blocks.
+
+    Pairs that share an earlier band are left to that band's bucket. Of the links that join two
+    classes one is given. Weights are added up over slices of the shared shingles, so memory does
+    not grow with the texts.
     """
-    e = 1 - FLOOR
-    keys = ["band", "key", "a"]
-    near = far.where(F.col("far") <= e).select(*keys, F.col("b").alias("x"), F.col("far").alias("dx"))
-    rim = far.where((F.col("far") > e) & (F.col("far") <= 2 * e + 1e-9)).select(
-        *keys, F.col("b").alias("y"), F.col("far").alias("dy"))
-    return _pairs(near.join(rim, keys).where(F.col("dy") - F.col("dx") <= e + 1e-9).select(
-        F.col("x").alias("a"), F.col("y").alias("b")))
+    batch = table.combine_chunks()
+    texts = batch.column("text").combine_chunks()
+    owner, digests, weight = shingles(texts.cast(pa.string()), weights)
+    n = len(texts)
+    total = np.bincount(owner, weights=weight, minlength=n)
+    number, _ = pd.factorize(digests)
+    often = np.bincount(number, minlength=1)[number] > 1 if len(number) else np.empty(0, bool)
+    owner, number, weight = owner[often], pd.factorize(number[often])[0], weight[often]
+    order = np.argsort(number, kind="stable")
+    owner, number, weight = owner[order], number[order], weight[order]
+    common = np.zeros((n, n))
+    for low in range(0, int(number[-1]) + 1 if len(number) else 0, SLICE):
+        a, b = np.searchsorted(number, [low, low + SLICE])
+        dense = np.zeros((n, SLICE))
+        dense[owner[a:b], number[a:b] - low] = weight[a:b]
+        # a shingle's weights are multiples of one number, so their minimum adds up in layers
+        left = dense
+        while True:
+            unit = np.where(left > 0, left, np.inf).min(axis=0)
+            unit[~np.isfinite(unit)] = 0
+            if not unit.any():
+                break
+            held = (left > 0) * np.sqrt(unit)
+            common += held @ held.T
+            left = np.where(left > 0, left - unit, 0.0)
+            left[left < 1e-9] = 0.0
+    whole = total[:, None] + total[None, :] - common
+    near = np.divide(common, whole, out=np.zeros_like(common), where=whole > 0) >= FLOOR
+    band = batch.column("band")[0].as_py()
+    bands = np.array(batch.column("bands").to_pylist(), np.int64)[:, :band]
+    blocks = batch.column("own").to_numpy()
+    cross = blocks[:, None] != blocks[None, :] if (blocks != blocks[0]).any() else True
+    classes_, _ = pd.factorize(batch.column("class").to_pandas())
+    near &= (classes_[:, None] != classes_[None, :]) & cross
+    x, y = np.nonzero(np.triu(near, 1))
+    ahead = np.array([bool((bands[i] == bands[j]).any()) for i, j in zip(x, y)], bool)
+    copies, root = batch.column("copy").to_pylist(), list(range(classes_.max() + 1))
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    out = []
+    for i, j in zip(x[~ahead], y[~ahead]):
+        p, q = find(classes_[i]), find(classes_[j])
+        if p != q:
+            root[p] = q
+            out.append({"left": min(copies[i], copies[j]), "right": max(copies[i], copies[j])})
+    return pa.Table.from_pylist(out, schema=pa.schema([("left", pa.string()), ("right", pa.string())]))
+
+
+def _pairs(df: DataFrame) -> DataFrame:
+    """Ordered pairs of different copies, each once."""
+    return df.where("a <> b").select(F.least("a", "b").alias("left"),
+                                     F.greatest("a", "b").alias("right")).distinct()
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """``copy`` (digest of a text), its ``class_id`` and how many links to other texts it has."""
+    """``copy`` (digest of a text), its ``class_id``, ``root``, ``first_id`` and its copies ``n``."""
     texts, found = links(docs)
-    both = found.select(F.col("left").alias("a"), F.col("right").alias("b"))
-    named = kept(labels_of(both), "dup-labels")  # copy, root
-    degree = both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy(
-        F.col("a").alias("copy")).agg(F.count(F.lit(1)).alias("links"))
+    named = kept(labels_of(found.select(F.col("left").alias("a"), F.col("right").alias("b"))),
+                 "dup-labels")
     rooted = texts.join(named, "copy", "left").withColumn("root", F.coalesce("root", "copy"))
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("class_id"))
-    return kept(rooted.join(ids, "root").join(degree, "copy", "left").select(
-        "copy", "class_id", F.coalesce("links", F.lit(0)).alias("links"), "root", "first_id", "n"),
-        "dup-classes")
+    return kept(rooted.join(ids, "root").select("copy", "class_id", "root", "first_id", "n"),
+                "dup-classes")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and ``class_id`` of every row of ``docs``, with the number of its text's copies
-    and of the links to other texts."""
+    """``doc_id`` and ``class_id`` of every row of ``docs``, with the number of its text's copies."""
     copies = docs.select("doc_id", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("copy"))
     return copies.join(classes(docs), "copy").select(
-        "doc_id", "class_id", F.col("n").alias("copies"), "links")
+        "doc_id", "class_id", F.col("n").alias("copies"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
