@@ -98,8 +98,9 @@ def train(documents: DataFrame, docs: int = TRAIN_DOCS) -> tuple[list[str], np.n
 
 def _address(pages: DataFrame) -> DataFrame:
     """Host, domain and top-level domain of the address, and the language marks around the text."""
-    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
-    path = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([A-Za-z]{2})(?:[/?#-]|$)", 1))
+    url, scheme = F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://"
+    host = F.lower(F.regexp_extract(url, scheme + r"(?:[^/?#@]*@)?([^/?#:]+)", 1))
+    path = F.lower(F.regexp_extract(url, scheme + r"[^/?#]*/([A-Za-z]{2})(?:[/?#-]|$)", 1))
     declared = F.lower(F.regexp_extract(
         F.coalesce("html", F.lit("")), r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,3})", 1))
     return pages.select(

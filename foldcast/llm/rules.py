@@ -17,7 +17,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
