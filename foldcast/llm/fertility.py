@@ -3,10 +3,13 @@
 A public piece vocabulary with byte fallback measures each document: characters per token, share
 of byte tokens, and entropy of its tokens. What is usual depends on language and length, so the
 bands come from the corpus: quartiles of every measure per language and size class, over all
-documents. A document outside a band is rejected; so is one that fails the base rules.
+different texts, so that copies move no band. Where near copies fill a class its quartiles draw
+together; a band is then as wide as ``USUAL`` of what is usual in the classes of its language, and
+never narrower than a share of its middle. A document outside a band is rejected; so is one that
+fails the base rules.
 
 Defined results: a NULL or empty text has no words and fails the base rules; a NULL language is
-the group ``und``; a size class with fewer than ``BAND_DOCS`` documents uses the bands of its
+the group ``und``; a size class with fewer than ``BAND_DOCS`` texts uses the bands of its
 whole language, and a language that rare has no bands; repeated rows are judged alike; an empty
 table gives no rows. Input columns named like an output column are replaced.
 """
@@ -21,20 +24,24 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import SparkFiles
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from foldcast.llm.scratch import aside
+from foldcast.llm.scratch import aside, kept
 from foldcast.llm.words import chunks, coded, owners, split, text_of
 from foldcast.operators.joins import lookup_join
 
 SYMBOLS = r"[#*$%&|<>]"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens",
           "n_byte_tokens"]
+#: Digest of the text, by which copies are told.
+DIGEST = "text_digest"
 BAND_DOCS = 50
 #: Half-widths of the bands, in robust standard deviations.
 CHARS_BAND, ENTROPY_BAND, BYTE_BAND = 5.0, 3.0, 6.0
+#: Least spread of a band: of the usual spread in its language's classes, and of its own middle.
+USUAL, NARROWEST = 0.5, 0.01
 
 
 def repeated_words(codes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -111,10 +118,11 @@ def pieces_of(name: str):
 
 
 def measure(docs: DataFrame, path: str) -> DataFrame:
-    """``docs`` with the measures of ``text`` by the piece vocabulary at ``path``."""
+    """``docs`` with the measures of ``text`` by the piece vocabulary at ``path``, and its digest."""
     docs.sparkSession.sparkContext.addFile(path)
     name = path.rsplit("/", 1)[-1]
-    rest = docs.drop(*COUNTS, "entropy")
+    rest = docs.drop(*COUNTS, "entropy").withColumn(
+        DIGEST, F.md5(F.coalesce("text", F.lit("")).cast("binary")))
     names = rest.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,11 +140,16 @@ def measure(docs: DataFrame, path: str) -> DataFrame:
     return rest.mapInArrow(run, schema.add("entropy", "double"))
 
 
+def _half(quartiles: Column) -> Column:
+    """The narrower half of the box: rejects widen one side only."""
+    return F.least(quartiles[2] - quartiles[1], quartiles[1] - quartiles[0])
+
+
 def verdicts(measured: DataFrame) -> DataFrame:
     """``measured`` with ``base_failed`` and ``kept``. ``measured`` should be stored: it is read
     once for the bands and once for the verdicts."""
     rows, back = aside(measured.drop("base_failed", "kept"),
-                       ["doc_id", "text", "lang", *COUNTS, "entropy"])
+                       ["doc_id", "text", "lang", DIGEST, *COUNTS, "entropy"])
     names = rows.columns
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     rows = rows.select(
@@ -147,23 +160,27 @@ def verdicts(measured: DataFrame) -> DataFrame:
         (F.col("n_byte_tokens") / F.expr("nullif(n_tokens, 0)")).alias("_bytes"),
         F.col("entropy").alias("_entropy"))
     values = ["_chars", "_bytes", "_entropy"]
-    # quartiles and counts merge, so a hot language is summed up where it is read
+    # copies, quartiles and counts merge, so a hot text or language is summed up where it is read
+    texts = kept(rows.where("n_tokens > 0").groupBy("_group", "_class", DIGEST).agg(
+        *[F.first(v).alias(v) for v in values]), "fertility-texts")
     quart = [F.percentile_approx(v, [0.25, 0.5, 0.75], 1000).alias(f"{v}_q") for v in values]
-    known = rows.where("n_tokens > 0")
-    fine = known.groupBy("_group", "_class").agg(*quart, F.count(F.lit(1)).alias("_n"))
-    fine = fine.where(F.col("_n") >= BAND_DOCS).drop("_n")
-    whole = known.groupBy("_group").agg(*[q.alias(f"{v}_w") for q, v in zip(quart, values)],
+    fine = kept(texts.groupBy("_group", "_class").agg(*quart, F.count(F.lit(1)).alias("_n")),
+                "fertility-classes")
+    usual = fine.groupBy("_group").agg(*[
+        (F.sum(_half(F.col(f"{v}_q")) * F.col("_n")) / F.sum("_n")).alias(f"{v}_u")
+        for v in values])
+    whole = texts.groupBy("_group").agg(*[q.alias(f"{v}_w") for q, v in zip(quart, values)],
                                         F.count(F.lit(1)).alias("_n"))
-    whole = whole.where(F.col("_n") >= BAND_DOCS).drop("_n")
+    whole = whole.where(F.col("_n") >= BAND_DOCS).drop("_n").join(usual, "_group")
+    fine = fine.where(F.col("_n") >= BAND_DOCS).drop("_n")
     banded = lookup_join(lookup_join(rows, fine, ["_group", "_class"], names[:1]),
                          whole, ["_group"], names[:1])
 
     def off(value: str, low: float | None, high: float | None, floor: float):
         quartiles = F.coalesce(f"{value}_q", f"{value}_w")
         middle = quartiles[1]
-        # the narrower half: rejects widen one side only
-        half = F.least(quartiles[2] - middle, middle - quartiles[0])
-        spread = F.greatest(half / 0.6745, F.lit(floor))
+        half = F.greatest(_half(quartiles), USUAL * F.col(f"{value}_u"))
+        spread = F.greatest(half / 0.6745, NARROWEST * middle, F.lit(floor))
         out = F.lit(False)
         if low is not None:
             out = out | (F.col(value) < middle - low * spread)

@@ -207,6 +207,19 @@ def test_fertility_bands(spark):
     assert sum(out[i] for i in range(150)) >= 147
 
 
+def test_fertility_copies(spark):
+    """Copies of one text, or near copies that fill half of a class, reject no other document."""
+    docs = [(i, sentence(i, 120 + i % 9), "en", "s") for i in range(150)]
+    verdicts = {}
+    for name, more in {"none": [], "copies": [sentence(3, 123)] * 150,
+                       "near": [sentence(3, 123) + f"x{i}" for i in range(150)]}.items():
+        rows = docs + [(1000 + i, t, "en", "s") for i, t in enumerate(more)]
+        measured = kept(fertility.measure(spark.createDataFrame(rows, SCHEMA), vocabulary(PIECES)), "t")
+        verdicts[name] = {r["doc_id"]: r["kept"] for r in fertility.verdicts(measured).collect()}
+    assert all(verdicts["copies"][i] == verdicts["none"][i] for i in range(150))
+    assert sum(verdicts["near"][i] for i in range(150)) >= 147
+
+
 def weighted(a, b):
     common = sum(min(x, b[k]) for k, x in a.items() if k in b)
     return common / (sum(a.values()) + sum(b.values()) - common)
