@@ -5,8 +5,9 @@ with a declared language), of the language declared in the markup, of the suffix
 (the path's first part or the top-level domain), and the prior of the host. The last three come
 from grouped counts over all pages of what their text says. A host's prior is smoothed by its
 domain's, that by its top-level domain's, that by the share over all pages; a page's own text is
-left out of the counts behind its prior. Shares below ``LEAST_SHARE`` of the sample give no class,
-so the tables per language are bounded.
+left out of the counts behind its prior. Every language that a document declares is a class,
+however rare: its trigrams are learnt from about ``TRAIN_DOCS`` of its documents, or all of a rarer
+one's, and its table has at most ``BUCKETS`` entries.
 
 Defined results: a NULL or empty page has no text evidence and rests on the rest; a NULL or odd
 address has no host and uses the overall prior; a declared language that is no class is evidence
@@ -29,9 +30,12 @@ from foldcast.llm.scratch import kept
 from foldcast.llm.words import chunks, coded, owners, split, text_of
 from foldcast.operators.joins import lookup_join
 
+#: Documents of each language from which its trigrams are learnt.
 TRAIN_DOCS = 20_000
-LEAST_SHARE = 0.005
 BUCKETS = 1 << 16
+#: Share of trigrams that are any bucket's alike. It is the same in every language: a trigram that
+#: none of them has must not speak for the one learnt from the fewest documents.
+UNSEEN = 0.01
 #: Neighbouring trigrams overlap, so a text's log-likelihood counts this much.
 TEXT_WEIGHT = 0.25
 #: Weight of the wider level in a smoothed prior, in pages.
@@ -55,12 +59,20 @@ def trigrams(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def train(documents: DataFrame, docs: int = TRAIN_DOCS) -> tuple[list[str], np.ndarray]:
-    """Languages and the log-likelihood of every trigram bucket in each, from about ``docs``
-    documents chosen by the digest of their id."""
-    rows = documents.where("lang is not null and text is not null")
-    share = docs / max(1, rows.count())
-    rows = rows.where(F.pmod(F.xxhash64(F.lit("lang"), F.col("doc_id")), F.lit(1 << 30))
-                      < int(min(1.0, share) * (1 << 30)))
+    """Languages of all documents and the log-likelihood of every trigram bucket in each, from
+    about ``docs`` documents a language, chosen by the digest of their id."""
+    rows = documents.where("lang is not null").select(
+        "doc_id", F.col("lang").cast("string").alias("lang"), "text")
+    labels = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    langs = sorted(labels)
+    if not langs:
+        return [], np.zeros((0, BUCKETS), np.float32)
+    bars = documents.sparkSession.createDataFrame(
+        [(k, int(min(1.0, docs / n) * (1 << 30))) for k, n in labels.items()],
+        "lang string, bar long")
+    # one row per language
+    rows = rows.join(F.broadcast(bars), "lang").where(
+        F.pmod(F.xxhash64(F.lit("lang"), F.col("doc_id")), F.lit(1 << 30)) < F.col("bar"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -79,20 +91,17 @@ def train(documents: DataFrame, docs: int = TRAIN_DOCS) -> tuple[list[str], np.n
                          pa.array(some.astype(np.int32)), pa.array(n[some].astype(np.int64))],
                         names=["lang", "bucket", "n"])
 
-    counts = kept(rows.select(F.col("lang").cast("string").alias("lang"), "text").mapInArrow(
-        run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(
-        F.sum("n").alias("n")), "lang-counts")
-    totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).where(
-        F.col("n") >= LEAST_SHARE * (counts.agg(F.sum("n")).first()[0] or 0)).collect()}
-    langs = sorted(totals)
-    # one row per language and bucket at most: bounded by the two parameters
-    table = counts.where(F.col("lang").isin(langs)).toPandas() if langs else None
+    # one row per language and bucket at most
+    table = rows.select("lang", "text").mapInArrow(run, "lang string, bucket int, n long").groupBy(
+        "lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     logs = np.zeros((len(langs), BUCKETS), np.float32)
+    found = dict(list(table.groupby("lang")))
     for i, lang in enumerate(langs):
-        own = table[table["lang"] == lang]
-        n = np.full(BUCKETS, 0.1)
-        n[own["bucket"].to_numpy()] += own["n"].to_numpy()
-        logs[i] = np.log(n / n.sum())
+        share = np.full(BUCKETS, UNSEEN / BUCKETS)
+        if lang in found:
+            own = found[lang]
+            share[own["bucket"].to_numpy()] += (1 - UNSEEN) * own["n"].to_numpy() / own["n"].sum()
+        logs[i] = np.log(share)
     return langs, logs
 
 
@@ -111,7 +120,8 @@ def _address(pages: DataFrame) -> DataFrame:
 
 
 def text_evidence(pages: DataFrame, langs: list[str], logs: np.ndarray) -> DataFrame:
-    """The marks of every page with ``text_log``: its text's log-likelihood per language."""
+    """The marks of every page with ``text_log``, its text's weighted log-likelihood per language,
+    and ``said``, what that makes of each language alone."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "html"):
@@ -123,22 +133,25 @@ def text_evidence(pages: DataFrame, langs: list[str], logs: np.ndarray) -> DataF
                 for table in logs:
                     value = np.bincount(word, weights=table[bucket], minlength=len(distinct))
                     rows.append(np.bincount(owner, weights=value[codes], minlength=part.num_rows))
-                stacked = np.column_stack(rows)
-                lists = pa.FixedSizeListArray.from_arrays(pa.array(stacked.ravel()), len(langs))
+                stacked = np.column_stack(rows) * TEXT_WEIGHT
+                said = np.exp(stacked - stacked.max(axis=1, keepdims=True))
+                said /= said.sum(axis=1, keepdims=True)
+                lists = [pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), len(langs)).cast(
+                    pa.list_(pa.float64())) for x in (stacked, said)]
                 yield pa.RecordBatch.from_arrays(
-                    [*[part.column(n) for n in names], lists.cast(pa.list_(pa.float64()))],
-                    names=[*names, "text_log"])
+                    [*[part.column(n) for n in names], *lists], names=[*names, "text_log", "said"])
 
     marks = _address(pages)
     names = [c for c in marks.columns if c != "html"]
     schema = ", ".join([f"{c} {t}" for c, t in marks.dtypes if c != "html"])
-    return marks.mapInArrow(run, f"{schema}, text_log array<double>")
+    return marks.mapInArrow(run, f"{schema}, text_log array<double>, said array<double>")
 
 
 def _tally(rows: DataFrame, key: str, langs: list[str]) -> DataFrame:
     """Pages of each value of ``key`` by the language of their text, as one array."""
     return rows.where(F.col(key) != "").groupBy(key).agg(F.array(*[
-        F.sum(F.col("said")[i]) for i in range(len(langs))]).alias(f"{key}_n"))
+        F.sum(F.col("said")[i]) for i in range(len(langs))]).alias(f"{key}_n"),
+        F.count(F.lit(1)).alias(f"{key}_pages"))
 
 
 def identify(pages: DataFrame, documents: DataFrame) -> DataFrame:
@@ -151,40 +164,38 @@ def identify(pages: DataFrame, documents: DataFrame) -> DataFrame:
                                 "cast(null as string) as declared")
     count = len(langs)
     each = range(count)
-    found = text_evidence(pages, langs, logs)
-    weighed = found.withColumn("text_log", F.transform("text_log", lambda x: x * TEXT_WEIGHT))
-    top = F.array_max("text_log")
-    odds = weighed.withColumn("said", F.transform("text_log", lambda x: F.exp(x - top)))
-    total = F.aggregate("said", F.lit(0.0), lambda a, x: a + x)
-    rows = kept(odds.withColumn("said", F.transform("said", lambda x: x / total)), "page-evidence")
+    rows = kept(text_evidence(pages, langs, logs), "page-evidence")
 
     # counts per value of each mark; sums merge before the shuffle, so a hot host is no hot task
     overall = rows.agg(*[F.coalesce(F.sum(F.col("said")[i]), F.lit(0.0)) for i in each]).first()
     joined = rows
     for key in ("host", "domain", "tld", "declared", "path"):
         joined = lookup_join(joined, _tally(rows, key, langs), [key], ["page_id"])
+    # arrays are zipped, so that neither plan nor work grows with the square of the languages
     shares = F.array(*[F.lit((n + 1.0) / (sum(overall) + count)) for n in overall])
+    sizes = F.array(*[F.lit(n + 1.0) for n in overall])
+    zeros = F.array_repeat(F.lit(0.0), count)
+
+    def others(key: str) -> Column:
+        """Pages of each language with this mark, without this page."""
+        return F.zip_with(f"{key}_n", "said", lambda n, s: F.greatest(n - s, F.lit(0.0)))
 
     def smoothed(key: str, wider: Column) -> Column:
         """(own counts without this page + SMOOTH * wider share) / (their sum + SMOOTH)."""
-        others = [F.greatest(F.coalesce(F.col(f"{key}_n")[i], F.lit(0.0))
-                             - F.when(F.col(key) != "", F.col("said")[i]).otherwise(0.0),
-                             F.lit(0.0)) for i in each]
-        whole = sum(others[1:], others[0])
-        return F.array(*[(o + SMOOTH * wider[i]) / (whole + SMOOTH) for i, o in enumerate(others)])
+        # what a page's text says adds up to one page
+        whole = F.coalesce(F.col(f"{key}_pages") - 1, F.lit(0)) + SMOOTH
+        return F.zip_with(F.coalesce(others(key), zeros), wider,
+                          lambda o, w: (o + SMOOTH * w) / whole)
 
-    def mark_log(key: str, i: int) -> Column:
+    def mark_log(key: str) -> Column:
         """Log-likelihood of a mark given a language: pages of that language that carry it."""
-        seen = F.greatest(F.col(f"{key}_n")[i] - F.col("said")[i], F.lit(0.0))
-        value = F.log((seen + 0.5) / (overall[i] + 1.0))
-        return F.when(F.col(f"{key}_n").isNotNull(), value).otherwise(0.0)
-
-    by_tld = joined.withColumn("p_tld", smoothed("tld", shares))
-    by_domain = by_tld.withColumn("p_domain", smoothed("domain", F.col("p_tld")))
-    by_host = by_domain.withColumn("p_host", smoothed("host", F.col("p_domain")))
-    fused = by_host.withColumn("log", F.array(*[
-        F.col("text_log")[i] + mark_log("declared", i) + mark_log("path", i)
-        + F.log(F.col("p_host")[i]) for i in each]))
+        return F.coalesce(F.zip_with(others(key), sizes, lambda o, n: F.log((o + 0.5) / n)), zeros)
+
+    prior = smoothed("host", smoothed("domain", smoothed("tld", shares)))
+    log = F.zip_with(F.zip_with("text_log", prior, lambda t, p: t + F.log(p)),
+                     F.zip_with(mark_log("declared"), mark_log("path"), lambda d, p: d + p),
+                     lambda x, y: x + y)
+    fused = joined.withColumn("log", log)
     names = F.array(*[F.lit(x) for x in langs])
     best = F.array_max("log")
     return fused.select(

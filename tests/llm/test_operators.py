@@ -453,6 +453,21 @@ def test_language(spark, no_docs):
     assert langid.identify(spark.createDataFrame(pages[:2], none.schema), no_docs).collect()[0]["lang"] is None
 
 
+def test_every_language_is_a_class(spark):
+    """A language with a few short documents among long ones of others is found; odd text is not its."""
+    docs = [(i, sentence(i, 400), k, "s") for i, k in enumerate(["en", "fr"] * 40)]
+    docs += [(900 + i, "hus og vann med den lille fisken som ikke er der", "no", "s") for i in range(3)]
+    docs += [(950, "", "xx", "s")] + [(1000 + i, f"w{i:02}", f"l{i:02}", "s") for i in range(60)]
+    langs, logs = langid.train(spark.createDataFrame(docs, SCHEMA))
+    assert langs == sorted({k for _, _, k, _ in docs}) and logs.shape == (len(langs), langid.BUCKETS)
+    pages = [(1, "https://a.example.no/no/1", '<html lang="no"><p>den lille fisken er ikke med</p></html>'),
+             (2, None, f"<p>{sentence(5, 200)} {'zqzqj ' * 20}</p>")]
+    out = langid.identify(spark.createDataFrame(pages, "page_id long, url string, html string"),
+                          spark.createDataFrame(docs, SCHEMA)).collect()
+    got = {r["page_id"]: r["lang"] for r in out}
+    assert got[1] == "no" and got[2] in ("en", "fr")
+
+
 def test_training_labels(spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(5000)] + [(1, None), (None, 1), (7, 0)],
                                    "doc_id long, toxic int")
