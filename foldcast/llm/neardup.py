@@ -38,6 +38,8 @@ from foldcast.llm.words import chunks, coded, owners, split, text_of
 
 EDGES = string.punctuation + "«»“”„‘’…¿¡–—"
 WORDS, FLOOR = 5, 0.8
+#: Sums of weights are rounded, each path's in its own order; a pair this near the floor is at it.
+ROUNDING = 1e-9
 BANDS, ROWS = 16, 5
 #: Share of documents below which a word is rare.
 RARE = 0.001
@@ -259,7 +261,7 @@ def settle(members: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
     hubs = members.join(company, "copy").groupBy(*keys).agg(
         F.max(F.struct("company", "copy")).alias("hub")).select(*keys, F.col("hub.copy").alias("a"))
     star = kept(_pairs(members.join(hubs, keys).withColumn("b", F.col("copy"))), "dup-star")
-    first = kept(similarities(star, texts, weights).where(F.col("similarity") >= FLOOR)
+    first = kept(similarities(star, texts, weights).where(F.col("similarity") >= FLOOR - ROUNDING)
                  .select("left", "right"), "dup-links")
     labels = labels_of(first.select(F.col("left").alias("a"), F.col("right").alias("b")))
     classed = kept(members.join(labels, "copy", "left").withColumn(
@@ -273,7 +275,7 @@ def settle(members: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
     pairs = _pairs(a.join(b, keys).where("a.class < b.class").select(
         F.col("a.copy").alias("a"), F.col("b.copy").alias("b"))).join(
         star, ["left", "right"], "left_anti")
-    second = similarities(pairs, texts, weights).where(F.col("similarity") >= FLOOR)
+    second = similarities(pairs, texts, weights).where(F.col("similarity") >= FLOOR - ROUNDING)
 
     # each member of block i goes to all pairs of blocks that i is in
     count = F.ceil(F.col("texts") / BLOCK).cast("int")
@@ -321,7 +323,8 @@ def _block(table: pa.Table, weights: Weights) -> pa.Table:
             left = np.where(left > 0, left - unit, 0.0)
             left[left < 1e-9] = 0.0
     whole = total[:, None] + total[None, :] - common
-    near = np.divide(common, whole, out=np.zeros_like(common), where=whole > 0) >= FLOOR
+    near = np.divide(common, whole, out=np.zeros_like(common), where=whole > 0)
+    near = near >= FLOOR - ROUNDING
     band = batch.column("band")[0].as_py()
     bands = np.array(batch.column("bands").to_pylist(), np.int64)[:, :band]
     blocks = batch.column("own").to_numpy()

@@ -289,6 +289,25 @@ def test_buckets_are_settled(spark, monkeypatch, paired, block):
     assert found.count() < len(rows) * (len(rows) - 1) / 4
 
 
+@pytest.mark.parametrize("paired", [2, 16])
+def test_ties_at_the_floor_are_links(spark, monkeypatch, paired):
+    """Texts that share 4 of 5 equal weights each are linked, by pairs and by blocks."""
+    monkeypatch.setattr(neardup, "PAIRED", paired)
+    rows = []
+    for n in range(1, 16):
+        # 8n shared shingles and n own ones: similarity 8n / 10n
+        common = [f"c{n}x{i}" for i in range(8 * n + 4)]
+        rows += [(n, " ".join(common + [f"{side}{n}x{i}" for i in range(n)])) for side in "ab"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    weights = neardup.Weights({}, 1)
+    copy = F.md5(F.col("text").cast("binary")).alias("copy")
+    texts = kept(docs.select(copy, "text", F.array(F.lit(0).cast("long")).alias("bands")), "t")
+    members = kept(texts.selectExpr("copy", "0 as band", "0L as key", "3L as texts"), "t")
+    found = {(r["left"], r["right"]) for r in neardup.settle(members, texts, weights).collect()}
+    digest = [hashlib.md5(t.encode()).hexdigest() for _, t in rows]
+    assert found == {tuple(sorted(digest[i:i + 2])) for i in range(0, len(rows), 2)}
+
+
 def test_sampling_agrees_with_similarity():
     import numpy as np
 
