@@ -253,8 +253,8 @@ def settle(members: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
     First every text meets its bucket's hub, the member with the most company over all bands:
     copies of one text meet that text. Buckets whose members are of one class then are settled.
     In the others members of different classes are compared: small buckets pair by pair, each
-    pair once over all bands; large ones block by block (``_block``), so that neither rows nor a
-    task grow with the square of a bucket.
+    pair once over all bands; large ones block by block (``_block``). That bounds the number of
+    texts in a task, not their bytes; each of n texts is sent ceil(n / BLOCK) times.
     """
     keys = ["band", "key"]
     company = members.groupBy("copy").agg(F.sum("texts").alias("company"))
