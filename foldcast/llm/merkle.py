@@ -135,7 +135,7 @@ def _lower(table: pa.Table, height: int) -> pa.Table:
 def exchange(tops: DataFrame, name: str) -> DataFrame:
     """Blocks (``_tree``, ``_block``, ``_blocks``, ``_top``) with their tree's top and upper proof."""
     state = kept(tops.withColumn("_upper", F.expr(f"cast(array() as {STEP})")), f"{name}-0")
-    most = state.agg(F.max("_blocks")).first()[0] or 1
+    count, most = state.agg(F.count(F.lit(1)), F.coalesce(F.max("_blocks"), F.lit(1))).first()
     for r in range(levels(most)):
         span = FANOUT ** r
         first = F.expr(f"_block - _block % {FANOUT * span}")
@@ -166,7 +166,7 @@ def exchange(tops: DataFrame, name: str) -> DataFrame:
             .otherwise(F.col("_top")).alias("_top"),
             F.when(live, F.concat("_upper", F.array(F.struct(
                 F.col("_before").alias("before"), F.col("_after").alias("after")))))
-            .otherwise(F.col("_upper")).alias("_upper")), f"{name}-{r + 1}")
+            .otherwise(F.col("_upper")).alias("_upper")), f"{name}-{r + 1}", count)
     return state
 
 

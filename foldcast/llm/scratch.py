@@ -10,9 +10,19 @@ from pyspark.sql import functions as F
 from foldcast.operators.joins import scratch_path
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read back: cuts lineage, survives lost executors."""
+#: Rows of a narrow table that are worth a file of their own.
+FILE_ROWS = 200_000
+
+
+def kept(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back: cuts lineage, survives lost executors.
+
+    ``rows``, a bound on the rows of a narrow table, keeps a small one from being strewn over as
+    many files as the session has shuffle partitions.
+    """
     path = scratch_path(df.sparkSession, name)
+    if rows is not None:
+        df = df.coalesce(1 + rows // FILE_ROWS)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
