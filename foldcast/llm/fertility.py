@@ -3,15 +3,16 @@
 A public piece vocabulary with byte fallback measures each document: characters per token, share
 of byte tokens, and entropy of its tokens. What is usual depends on language and length, so the
 bands come from the corpus: quartiles of every measure per language and size class, over all
-different texts, so that copies move no band. Where near copies fill a class its quartiles draw
-together; a band is then as wide as ``USUAL`` of what is usual in the classes of its language, and
-never narrower than a share of its middle. A document outside a band is rejected; so is one that
+different texts, so that copies move no band. What a class with few texts says is weighed against
+its neighbouring classes, its language, its class in all languages and all texts, in this order;
+``WEIGHT`` texts count as much as all that comes after. Where near copies fill a class its quartiles
+draw together; a band is then as wide as ``USUAL`` of what is usual in the classes of its language,
+and never narrower than a share of its middle. A document outside a band is rejected; so is one that
 fails the base rules.
 
 Defined results: a NULL or empty text has no words and fails the base rules; a NULL language is
-the group ``und``; a size class with fewer than ``BAND_DOCS`` texts uses the bands of its
-whole language, and a language that rare has no bands; repeated rows are judged alike; an empty
-table gives no rows. Input columns named like an output column are replaced.
+the group ``und``; every document has a band, however rare its language or size, and no number of
+texts switches between bands; repeated rows are judged alike; an empty table gives no rows. Input columns named like an output column are replaced.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import SparkFiles
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -37,7 +38,8 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
           "n_byte_tokens"]
 #: Digest of the text, by which copies are told.
 DIGEST = "text_digest"
-BAND_DOCS = 50
+#: Texts of a class that weigh as much as its wider surroundings.
+WEIGHT = 50.0
 #: Half-widths of the bands, in robust standard deviations.
 CHARS_BAND, ENTROPY_BAND, BYTE_BAND = 5.0, 3.0, 6.0
 #: Least spread of a band: of the usual spread in its language's classes, and of its own middle.
@@ -140,9 +142,60 @@ def measure(docs: DataFrame, path: str) -> DataFrame:
     return rest.mapInArrow(run, schema.add("entropy", "double"))
 
 
-def _half(quartiles: Column) -> Column:
-    """The narrower half of the box: rejects widen one side only."""
-    return F.least(quartiles[2] - quartiles[1], quartiles[1] - quartiles[0])
+VALUES = ["_chars", "_bytes", "_entropy"]
+
+
+def _middles(rows: DataFrame, *keys: str) -> DataFrame:
+    """Number of texts, and of every measure the median and the narrower half of the box (rejects
+    widen one side only)."""
+    quart = [F.percentile_approx(v, [0.25, 0.5, 0.75], 1000).alias(f"{v}_q") for v in VALUES]
+    found = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *quart)
+    halves = [F.least(q[2] - q[1], q[1] - q[0]) for q in (F.col(f"{v}_q") for v in VALUES)]
+    return found.select(*keys, "_n", *[F.col(f"{v}_q")[1].alias(f"{v}_m") for v in VALUES],
+                        *[h.alias(f"{v}_h") for v, h in zip(VALUES, halves)])
+
+
+def _pooled(rows: DataFrame, keys: list[str], level: str, apart: bool) -> DataFrame:
+    """Groups of classes or languages taken together, weighed by their texts. With ``apart`` the
+    spread between their medians adds to the box."""
+    n = F.sum("_n")
+    out = [n.alias(f"_n{level}")]
+    for v in VALUES:
+        m, h = F.col(f"{v}_m"), F.col(f"{v}_h")
+        middle = F.sum(m * F.col("_n")) / n
+        half = F.sum(h * F.col("_n")) / n
+        if apart:
+            between = F.sum(m * m * F.col("_n")) / n - middle * middle
+            half = half + 0.6745 * F.sqrt(F.greatest(between, F.lit(0.0)))
+        out += [middle.alias(f"{v}_m{level}"), half.alias(f"{v}_h{level}")]
+    return rows.groupBy(*keys).agg(*out)
+
+
+def bands(texts: DataFrame) -> DataFrame:
+    """Middle ``_m`` and half-width ``_h`` of every measure for each language and size class, with
+    what is usual (``_u``) in the language. ``texts`` is stored; the tables made of it have a row
+    per language and class."""
+    fine = kept(_middles(texts, "_group", "_class"), "fertility-classes")
+    whole = kept(_middles(texts, "_group"), "fertility-languages")
+    around = fine.withColumn("_class", F.explode(F.array(*[F.col("_class") + i for i in (-1, 0, 1)])))
+    near = _pooled(around, ["_group", "_class"], "1", False)
+    language = whole.withColumnsRenamed({c: f"{c}2" for c in whole.columns if c != "_group"})
+    alike = _pooled(fine, ["_class"], "3", True)
+    every = _pooled(whole, [], "4", True).first()
+    usual = fine.groupBy("_group").agg(*[
+        (F.sum(F.col(f"{v}_h") * F.col("_n")) / F.sum("_n")).alias(f"{v}_u") for v in VALUES])
+    joined = (fine.join(near, ["_group", "_class"]).join(language, "_group")
+              .join(alike, "_class").join(usual, "_group"))
+
+    def shrunk(name: str):
+        out = F.lit(float(every[f"{name}4"] or 0.0))
+        for level in ("3", "2", "1", ""):
+            n = F.col(f"_n{level}")
+            out = (n * F.col(f"{name}{level}") + WEIGHT * out) / (n + WEIGHT)
+        return out.alias(name)
+
+    return joined.select("_group", "_class", *[shrunk(f"{v}_{x}") for v in VALUES for x in "mh"],
+                         *[f"{v}_u" for v in VALUES])
 
 
 def verdicts(measured: DataFrame) -> DataFrame:
@@ -159,27 +212,14 @@ def verdicts(measured: DataFrame) -> DataFrame:
         (F.col("word_chars") / F.expr("nullif(n_tokens, 0)")).alias("_chars"),
         (F.col("n_byte_tokens") / F.expr("nullif(n_tokens, 0)")).alias("_bytes"),
         F.col("entropy").alias("_entropy"))
-    values = ["_chars", "_bytes", "_entropy"]
     # copies, quartiles and counts merge, so a hot text or language is summed up where it is read
     texts = kept(rows.where("n_tokens > 0").groupBy("_group", "_class", DIGEST).agg(
-        *[F.first(v).alias(v) for v in values]), "fertility-texts")
-    quart = [F.percentile_approx(v, [0.25, 0.5, 0.75], 1000).alias(f"{v}_q") for v in values]
-    fine = kept(texts.groupBy("_group", "_class").agg(*quart, F.count(F.lit(1)).alias("_n")),
-                "fertility-classes")
-    usual = fine.groupBy("_group").agg(*[
-        (F.sum(_half(F.col(f"{v}_q")) * F.col("_n")) / F.sum("_n")).alias(f"{v}_u")
-        for v in values])
-    whole = texts.groupBy("_group").agg(*[q.alias(f"{v}_w") for q, v in zip(quart, values)],
-                                        F.count(F.lit(1)).alias("_n"))
-    whole = whole.where(F.col("_n") >= BAND_DOCS).drop("_n").join(usual, "_group")
-    fine = fine.where(F.col("_n") >= BAND_DOCS).drop("_n")
-    banded = lookup_join(lookup_join(rows, fine, ["_group", "_class"], names[:1]),
-                         whole, ["_group"], names[:1])
+        *[F.first(v).alias(v) for v in VALUES]), "fertility-texts")
+    banded = lookup_join(rows, bands(texts), ["_group", "_class"], names[:1])
 
     def off(value: str, low: float | None, high: float | None, floor: float):
-        quartiles = F.coalesce(f"{value}_q", f"{value}_w")
-        middle = quartiles[1]
-        half = F.greatest(_half(quartiles), USUAL * F.col(f"{value}_u"))
+        middle = F.col(f"{value}_m")
+        half = F.greatest(f"{value}_h", USUAL * F.col(f"{value}_u"))
         spread = F.greatest(half / 0.6745, NARROWEST * middle, F.lit(floor))
         out = F.lit(False)
         if low is not None:
