@@ -44,8 +44,26 @@ def _activity(rows: DataFrame, keys: Sequence[str], finest: Sequence[str], games
         F.count(F.lit(1)).alias(games), F.sum("_n").alias(parts))
 
 
+def activity_lattice(df: DataFrame, balls: Sequence[str] = BALLS, zones: Sequence[str] = ZONES,
+                     fold: str = "fold") -> DataFrame:
+    """Class counts per fold, plate appearance, hand pair and the three actors that meet in it.
+
+    All histories roll up from this table, so one that is stored serves them all with a single pass
+    over the events; it has a row where the log has a plate appearance.
+    """
+    actors = ["pitcher_id", "batter_id", "catcher_id"]
+    return df.where(F.col(fold).isNotNull()).groupBy(fold, *PLATE, *actors, "pit_bat").agg(
+        *_label_counts(balls, zones))
+
+
 def actor_history(df: DataFrame, role: str, actor: str, balls: Sequence[str] = BALLS,
                   zones: Sequence[str] = ZONES, fold: str = "fold") -> DataFrame:
+    """Class counts per (fold, actor, hand) with the role's activity counters, from events."""
+    return lattice_history(activity_lattice(df, balls, zones, fold), role, actor, balls, zones, fold)
+
+
+def lattice_history(lattice: DataFrame, role: str, actor: str, balls: Sequence[str] = BALLS,
+                    zones: Sequence[str] = ZONES, fold: str = "fold") -> DataFrame:
     """Class counts per (fold, actor, hand) with the role's activity counters.
 
     Only the pitcher's batters faced are counted per hand; the other counters are per actor.
@@ -53,16 +71,15 @@ def actor_history(df: DataFrame, role: str, actor: str, balls: Sequence[str] = B
     if role not in ROLE_COUNTERS:
         raise ValueError(f"unknown role {role!r}")
     keys, whole = [fold, "player_id", "pit_bat"], [fold, "player_id"]
-    rows = df.where(F.col(fold).isNotNull()).withColumn("player_id", F.col(actor))
+    sums = [F.expr(f"sum(`{c}`) as `{c}`") for c in [*balls, *zones]]
+    rows = lattice.withColumn("player_id", F.col(actor))
     if role != "pitcher":
-        counts = rows.where(all_present(keys)).groupBy(*keys).agg(*_label_counts(balls, zones))
+        counts = rows.where(all_present(keys)).groupBy(*keys).agg(*sums)
     if role == "pitcher":
-        # pitches are reduced to plate appearances first, then to hands
-        plates = rows.where(all_present(keys)).groupBy(*keys, *PLATE).agg(
-            *_label_counts(balls, zones))
+        # a plate appearance that another batter or catcher ends counts once
+        plates = rows.where(all_present(keys)).groupBy(*keys, *PLATE).agg(*sums)
         counts = plates.groupBy(*keys).agg(
-            *[F.expr(f"sum(`{c}`) as `{c}`") for c in [*balls, *zones]],
-            F.nullif(F.count_if(all_present(PLATE)), F.lit(0)).alias("pit_batter_cnt"))
+            *sums, F.nullif(F.count_if(all_present(PLATE)), F.lit(0)).alias("pit_batter_cnt"))
         activity = _activity(rows, whole, INNING, "pit_game_cnt", "pit_inning_cnt")
     elif role == "batter":
         activity = _activity(rows, whole, PLATE, "bat_game_cnt", "batter_cnt")

@@ -71,6 +71,21 @@ def stored(df: DataFrame) -> tuple[DataFrame, int]:
     return kept, seen.get.get("bytes") or 0
 
 
+def stored_arrays(df: DataFrame, keys: Sequence[str], part: str, parts: Sequence, name: str,
+                  ) -> tuple[DataFrame, int]:
+    """Store a table that is unique on ``keys`` and ``part`` with one row per ``keys``: column
+    ``name`` is an array with a struct of the other columns for each of the few ``parts`` (NULL
+    where there is none). Returns it with the bytes of the rows that went in."""
+    shared_folder(df.sparkSession)
+    seen = Observation()
+    held = F.struct(*[c for c in df.columns if c not in {*keys, part}])
+    entries = [F.max(F.when(F.col(part) == p, held)) for p in parts]
+    grouped = df.observe(seen, _row_bytes(df).alias("bytes")).groupBy(*keys).agg(
+        F.array(*entries).alias(name))
+    kept = grouped.checkpoint()
+    return kept, seen.get.get("bytes") or 0
+
+
 def measured(df: DataFrame) -> tuple[DataFrame, int]:
     """The same for a table that is already stored: one narrow pass instead of a copy."""
     return df, df.agg(_row_bytes(df)).first()[0] or 0

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldcast.functions.expr import all_present, ratio
-from foldcast.operators.joins import side_by_side, sized_join, stored
+from foldcast.operators.folds import out_of_fold
+from foldcast.operators.joins import side_by_side, sized_join, stored, stored_arrays
 
 
 def join_roles(events: DataFrame, roles: dict[str, tuple[str, DataFrame]],
@@ -20,16 +21,21 @@ def join_roles(events: DataFrame, roles: dict[str, tuple[str, DataFrame]],
     and ``keys``). ``narrow`` holds the same rows as ``events`` with only the keys: where a role
     table is too large to broadcast, heavy actors are found there and not in the wide rows.
     """
-    def named(suffix: str, id_col: str, table: DataFrame):
-        renamed = table.withColumnsRenamed({
-            c: id_col if c == "player_id" else c + suffix
-            for c in table.columns if c not in keys
-        })
-        return lambda: stored(renamed)
-
-    sides = side_by_side(events.sparkSession, [named(s, *r) for s, r in roles.items()])
+    sides = side_by_side(events.sparkSession, [
+        lambda r=r, s=s: stored(_suffixed(r[1], r[0], s, keys)) for s, r in roles.items()])
+    return _join_sides(events, [(id_col, *side) for (id_col, _), side in zip(roles.values(), sides)],
+                       keys, salt_on, narrow)
+
+
+def _suffixed(table: DataFrame, id_col: str, suffix: str, keys: Sequence[str]) -> DataFrame:
+    return table.withColumnsRenamed({
+        c: id_col if c == "player_id" else c + suffix for c in table.columns if c not in keys})
+
+
+def _join_sides(events: DataFrame, sides: Sequence[tuple[str, DataFrame, int]], keys: Sequence[str],
+                salt_on: Sequence[str], narrow: DataFrame | None) -> DataFrame:
     out = events
-    for (id_col, _), (table, size) in zip(roles.values(), sides):
+    for id_col, table, size in sides:
         on = [id_col, *keys]
         counts = None
         if narrow is not None:
@@ -39,6 +45,29 @@ def join_roles(events: DataFrame, roles: dict[str, tuple[str, DataFrame]],
     return out
 
 
+def join_roles_by_fold(events: DataFrame, roles: dict[str, tuple[str, DataFrame]],
+                       keys: Sequence[str], edges: Sequence[int], salt_on: Sequence[str],
+                       narrow: DataFrame | None = None) -> DataFrame:
+    """``join_roles`` for actor tables that are keyed on ``fold`` as well: every event once for each
+    fold that it does not belong to, with that fold's columns.
+
+    An actor's folds lie in one array, so each event is joined once per role and repeated after
+    the joins; shuffles and lookups see the events themselves.
+    """
+    folds = range(1, len(edges) + 1)
+    tables = {s: _suffixed(t, id_col, s, [*keys, "fold"]) for s, (id_col, t) in roles.items()}
+    sides = side_by_side(events.sparkSession, [
+        lambda s=s, id_col=roles[s][0], t=t: stored_arrays(t, [id_col, *keys], "fold", folds, f"_folds{s}")
+        for s, t in tables.items()])
+    joined = _join_sides(events, [(roles[s][0], *side) for s, side in zip(tables, sides)], keys, salt_on,
+                         narrow)
+    dealt = out_of_fold(joined, edges).withColumns(
+        {f"_own{s}": F.get(f"_folds{s}", F.col("fold") - 1) for s in tables})
+    return dealt.select(*events.columns, "fold", *[
+        F.col(f"_own{s}").getField(c).alias(c) for s, t in tables.items() for c in t.columns
+        if c not in {roles[s][0], *keys, "fold"}])
+
+
 def pair_diff_exprs(cols: Sequence[str], pairs: dict[str, tuple[str, str]]) -> list[str]:
     return [
         f"{c}_{a} - {c}_{b} as {c}_dif_{pair}"

@@ -12,12 +12,14 @@ from foldcast.functions.expr import (
     count_key, days_between, elapsed_minutes, flag, hand_key, mean_interval, remaining_fraction,
 )
 from foldcast.functions.situation import profile, situation_flags
-from foldcast.operators.folds import fold_of, in_folds, out_of_fold
-from foldcast.operators.history import actor_history, fill_segment_mean, with_history
+from foldcast.operators.folds import fold_of, in_folds
+from foldcast.operators.history import (
+    activity_lattice, fill_segment_mean, lattice_history, with_history,
+)
 from foldcast.operators.joins import fan_out, lookup_join, side_by_side, stored
 from foldcast.operators.mix import conditional_mix, rollup_groups, to_share
 from foldcast.operators.ranks import avg_rank
-from foldcast.operators.roles import join_roles, pair_combine_exprs, pair_diff_exprs
+from foldcast.operators.roles import join_roles_by_fold, pair_combine_exprs, pair_diff_exprs
 from foldcast.operators.sequence import Group, along_groups
 
 PLATE = ["game_id", "inning", "bat_cnt_in_inning"]
@@ -148,15 +150,20 @@ def segment_of(role: str):
     return flag(F.col("position") == v.PITCHER)
 
 
-def role_table(profiles: DataFrame, events: DataFrame, role: str,
+def labelled_lattice(events: DataFrame, edges: Sequence[int]) -> DataFrame:
+    """The plate appearances of the folds, from which every role's history rolls up."""
+    return activity_lattice(with_keys(events).where(in_folds(edges)).withColumn("fold", fold_of(edges)))
+
+
+def role_table(profiles: DataFrame, lattice: DataFrame, role: str,
                edges: Sequence[int] = v.EDGES_4, fill: bool = True,
                min_years: int | None = None) -> DataFrame:
     """Profile, shares, zone groups and counters per actor, year, hand and fold.
 
-    ``min_years`` hides the history of actors with fewer years of play.
+    ``lattice`` is that of ``labelled_lattice``. ``min_years`` hides the history of actors with
+    fewer years of play.
     """
-    labelled = with_keys(events).where(in_folds(edges)).withColumn("fold", fold_of(edges))
-    history = actor_history(labelled, role, ROLE_IDS[role])
+    history = lattice_history(lattice, role, ROLE_IDS[role])
     folds = range(1, len(edges) + 1)
     counters = v.ROLE_COUNTERS[role]
     table = with_history(hands_of(profiles, role), history, folds)
@@ -182,11 +189,12 @@ def role_table(profiles: DataFrame, events: DataFrame, role: str,
 def role_tables(actors: DataFrame, events: DataFrame, edges: Sequence[int] = v.EDGES_4,
                 fill: bool = True, min_years: int | None = None,
                 ) -> dict[str, tuple[str, DataFrame]]:
-    """The tables of all roles in the form ``join_roles`` takes."""
+    """The tables of all roles in the form ``join_roles`` takes; the events are read once."""
     profiles = actor_profiles(actors)
+    lattice, _ = stored(labelled_lattice(events, edges))
     roles = list(ROLE_IDS)
     tables = side_by_side(events.sparkSession, [
-        lambda role=role: role_table(profiles, events, role, edges, fill, min_years)
+        lambda role=role: role_table(profiles, lattice, role, edges, fill, min_years)
         for role in roles
     ])
     return {v.ROLE_SUFFIX[r]: (ROLE_IDS[r], t) for r, t in zip(roles, tables)}
@@ -217,16 +225,15 @@ def build_features(events: DataFrame, actors: DataFrame, edges: Sequence[int] =
     own label through it.
     """
     wide, tables = side_by_side(events.sparkSession, [
-        lambda: out_of_fold(event_features(events, plate, mix_fold, edges), edges),
+        lambda: event_features(events, plate, mix_fold, edges),
         lambda: role_tables(actors, events, edges, fill, min_years),
     ])
+    narrow = with_keys(events).select("row_no", "year", "pit_bat", *ROLE_IDS.values())
+    joined = join_roles_by_fold(wide, tables, ["year", "pit_bat"], edges, ["row_no"], narrow)
     if mix_fold:
         labelled = with_keys(events).where(in_folds(edges)).withColumn("fold", fold_of(edges))
         mix = conditional_mix(labelled, ["fold", *COUNT_KEYS], v.BALLS, v.ZONES)
-        wide = lookup_join(wide, mix, ["fold", *COUNT_KEYS], ["row_no", "fold"])
-    narrow = out_of_fold(
-        with_keys(events).select("row_no", "year", "pit_bat", *ROLE_IDS.values()), edges)
-    joined = join_roles(wide, tables, ["year", "pit_bat", "fold"], ["row_no", "fold"], narrow)
+        joined = lookup_join(joined, mix, ["fold", *COUNT_KEYS], ["row_no", "fold"])
     combined = joined.selectExpr(
         "*",
         *pair_diff_exprs(v.PROFILE_DIFFS, v.ROLE_PAIRS),

@@ -6,6 +6,7 @@ probabilities scaled to sum 1; the second variant is a random forest.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 from collections.abc import Sequence
@@ -16,15 +17,17 @@ from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldcast import vocabulary as v
-from foldcast.functions.expr import drop_matching, recode_label
+from foldcast.functions.expr import recode_label
 from foldcast.operators.folds import holdout, labelled, unlabelled
 from foldcast.operators.forecast import fold_average, logloss, normalise
 from foldcast.operators.joins import scratch_path, side_by_side
 from foldcast.operators.summary import importance_all
+from foldcast.plans.trees import METRICS, split_importance, staged_scores, tree_nodes
+from foldcast.plans.vectors import Vectors, store_vectors
 
 IDS = ["row_no", "fold"]
 # columns that look ahead; left out of training unless asked for
@@ -90,39 +93,53 @@ class Forecaster:
     scaled: bool = True
 
     def predict(self, df: DataFrame, keep: Sequence[str] = IDS) -> DataFrame:
-        out = self.matrix.transform(df, keep)
-        if len(self.models) == 1:
-            if self.models[0].numClasses > len(self.classes):
-                raise ValueError(f"{self.models[0].numClasses} classes are learnt,"
-                                 f" {len(self.classes)} have a name")
-            probs = vector_to_array("probability")
-            out = self.models[0].transform(out)
-            return out.select(*keep, *[
-                F.coalesce(F.get(probs, F.lit(i)), F.lit(0.0)).alias(c)
-                for i, c in enumerate(self.classes)])
-        for i, model in enumerate(self.models):
-            model.setProbabilityCol(f"_p{i}").setRawPredictionCol(f"_r{i}")
-            out = model.setPredictionCol(f"_c{i}").transform(out)
-        out = out.select(*keep, *[
-            F.get(vector_to_array(f"_p{i}"), F.lit(1)).alias(c)
-            for i, c in enumerate(self.classes)])
-        return normalise(out, self.classes) if self.scaled else out
-
-    def importance(self) -> list[tuple[str, float]]:
-        """(feature, share of the loss reduction), averaged over the models that split at all (a
-        class without rows has none); driver-side, one entry per feature."""
-        shares = [model.featureImportances.toArray() for model in self.models]
+        return score(self.matrix.transform(df, keep), self.models, self.classes, keep, self.scaled)
+
+
+def score(rows: DataFrame, models: Sequence, classes: Sequence[str], keep: Sequence[str],
+          scaled: bool = True) -> DataFrame:
+    """``rows`` (with ``features``) as probabilities of the classes: by one model of all of them, or
+    by one model for each, scaled to sum 1 on request."""
+    if len(models) == 1:
+        if models[0].numClasses > len(classes):
+            raise ValueError(f"{models[0].numClasses} classes are learnt,"
+                             f" {len(classes)} have a name")
+        probs = vector_to_array("probability")
+        return models[0].transform(rows).select(*keep, *[
+            F.coalesce(F.get(probs, F.lit(i)), F.lit(0.0)).alias(c)
+            for i, c in enumerate(classes)])
+    out = rows
+    for i, model in enumerate(models):
+        model.setProbabilityCol(f"_p{i}").setRawPredictionCol(f"_r{i}")
+        out = model.setPredictionCol(f"_c{i}").transform(out)
+    out = out.select(*keep, *[
+        F.get(vector_to_array(f"_p{i}"), F.lit(1)).alias(c) for i, c in enumerate(classes)])
+    return normalise(out, classes) if scaled else out
+
+
+def importance(spark: SparkSession, models: Sequence, names: Sequence[str], fold: int,
+               by: str = "share") -> DataFrame:
+    """Feature importance of one fold's models as a table, most important first.
+
+    ``share`` is a feature's share of the loss reduction, averaged over the models that split at
+    all (a class without rows has none). ``splits`` and ``gain`` come from the nodes of the models,
+    which are saved for it.
+    """
+    if by == "share":
+        shares = [model.featureImportances.toArray() for model in models]
         splitting = [s for s in shares if s.sum() > 0]
-        return [(name, float(sum(s[i] for s in splitting)) / max(1, len(splitting)))
-                for i, name in enumerate(self.matrix.names)]
-
-
-def importance(model: Forecaster, df: DataFrame, fold: int) -> DataFrame:
-    """Feature importance of one fold's model as a table, most important first."""
-    rows = [(n, fold, x) for n, x in model.importance()]
-    return df.sparkSession.createDataFrame(
-        rows, "feat_name string, fold int, feat_imp double"
-    ).orderBy(F.desc("feat_imp"), "feat_name")
+        rows = [(n, fold, float(sum(s[i] for s in splitting)) / max(1, len(splitting)))
+                for i, n in enumerate(names)]
+        table = spark.createDataFrame(rows, "feat_name string, fold int, feat_imp double")
+    else:
+        folder = scratch_path(spark, "models")
+        for i, model in enumerate(models):
+            model.write().save(f"{folder}/{i}")
+        nodes = [tree_nodes(spark, f"{folder}/{i}", model=i) for i in range(len(models))]
+        found = split_importance(functools.reduce(DataFrame.unionByName, nodes), names)
+        table = found.select("feat_name", F.lit(fold).alias("fold"),
+                             F.col(by).cast("double").alias("feat_imp"))
+    return table.orderBy(F.desc("feat_imp"), "feat_name")
 
 
 def fit_multiclass(train: DataFrame, features: Sequence[str], label: str,
@@ -133,29 +150,38 @@ def fit_multiclass(train: DataFrame, features: Sequence[str], label: str,
 
     ``scaled=False`` leaves the one-per-class probabilities as they come.
     """
-    params = dict(params or {})
     matrix = feature_matrix(train, features)
     rows = matrix.transform(train, [label]).withColumn("label", F.col(label).cast("double"))
+    models = fit_vectors(rows, len(classes), learner, rounds=rounds, params=params, seed=seed,
+                         parallelism=parallelism)
+    return Forecaster(matrix, list(classes), models, scaled)
+
+
+def fit_vectors(rows: DataFrame, classes: int, learner: str = "gbt", *, rounds: int,
+                params: dict | None = None, seed: int = 0, parallelism: int = 1) -> list:
+    """Models of ``rows`` (``features`` and a ``label`` from 0): one booster per class, or a forest."""
     rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if learner == "rf":
-            params.pop("stepSize", None)
-            forest = RandomForestClassifier(numTrees=rounds, seed=seed, **params)
-            return Forecaster(matrix, list(classes), [forest.fit(rows)])
-        if learner != "gbt":
-            raise ValueError(f"learner must be 'gbt' or 'rf', not {learner!r}")
-
-        def job(i: int):
-            binary = rows.select("features", _is_class(i).alias("label"))
-            return lambda: GBTClassifier(maxIter=rounds, seed=seed, **params).fit(binary)
-
-        jobs = [job(i) for i in range(len(classes))]
-        models = side_by_side(train.sparkSession, jobs, parallelism)
-        return Forecaster(matrix, list(classes), models, scaled)
+        jobs = [lambda f=f, r=r: f.fit(r)
+                for f, r in learners(rows, classes, learner, rounds, params, seed)]
+        return side_by_side(rows.sparkSession, jobs, parallelism)
     finally:
         rows.unpersist()
 
 
+def learners(rows: DataFrame, classes: int, learner: str, rounds: int, params: dict | None = None,
+             seed: int = 0) -> list[tuple]:
+    """The learners of ``fit_vectors``, each with the rows that it fits."""
+    params = dict(params or {})
+    if learner == "rf":
+        params.pop("stepSize", None)
+        return [(RandomForestClassifier(numTrees=rounds, seed=seed, **params), rows)]
+    if learner != "gbt":
+        raise ValueError(f"learner must be 'gbt' or 'rf', not {learner!r}")
+    return [(GBTClassifier(maxIter=rounds, seed=seed, **params),
+             rows.select("features", _is_class(i).alias("label"))) for i in range(classes)]
+
+
 def _is_class(i: int) -> Column:
     return (F.col("label") == i).cast("double")
 
@@ -182,50 +208,92 @@ def best_round(losses: Sequence[float], patience: int = v.EARLY_STOP) -> tuple[f
 def cv_rounds(train: DataFrame, features: Sequence[str], label: str,
               classes: Sequence[str] | None, max_rounds: int = MAX_ROUNDS,
               params: dict | None = None, nfold: int = 4, patience: int = v.EARLY_STOP,
-              seed: int = 0, parallelism: int = 1) -> tuple[float, int]:
-    """Mean cross-validated loss and the best number of rounds.
-
-    The loss is read after every round on the rows left out. Boosting goes on in twice as many
-    rounds as long as the best one is not ``patience`` rounds back, up to ``max_rounds``; a fit's
-    first rounds do not depend on how many follow. With ``classes`` the loss is the sum of the
-    classes' log losses over class-wise folds; without, the rmse of a regression over plain folds.
+              seed: int = 0, parallelism: int = 1, metric: str = "class_logloss",
+              ) -> tuple[float, int]:
+    """Mean cross-validated loss and the best number of rounds; see ``cv_vectors``."""
+    matrix = feature_matrix(train, features)
+    rows = matrix.transform(train, ["row_no", label])
+    curve, at = cv_vectors(rows, label, len(classes) if classes else None, max_rounds, params, nfold,
+                           patience, seed, parallelism, metric)
+    return curve[at - 1][metric], at
+
+
+def cv_vectors(rows: DataFrame, label: str, classes: int | None, max_rounds: int = MAX_ROUNDS,
+               params: dict | None = None, nfold: int = 4, patience: int = v.EARLY_STOP,
+               seed: int = 0, parallelism: int = 1, metric: str = "class_logloss",
+               ) -> tuple[list[dict[str, float]], int]:
+    """Cross-validated losses after every round, and the round of the first least ``metric``.
+
+    ``rows`` holds ``row_no``, the label and ``features``. Boosting goes on in twice as many rounds
+    as long as the best one is not ``patience`` rounds back, up to ``max_rounds``; a fit's first
+    rounds do not depend on how many follow. With ``classes`` folds are dealt class by class, and
+    the fitted trees are scored round by round in one pass over the rows left out: the sum of the
+    classes' log losses, the log loss of the scaled probabilities, the share of rows whose class
+    is not the likeliest. ``class_logloss`` alone is read from the boosters without that pass.
+    Without ``classes`` the loss (under any name) is the rmse of a regression over plain folds.
     """
     params = dict(params or {})
-    matrix = feature_matrix(train, features)
-    rows = (
-        matrix.transform(train, ["row_no", label])
-        .withColumn("label", F.col(label).cast("double"))
-        .withColumn("_cv", cv_fold(label if classes else None, nfold))
-        .select("features", "label", "_cv")
+    dealt = (
+        rows.withColumn("_cv", cv_fold(label if classes else None, nfold))
+        .select("features", F.col(label).cast("double").alias("label"), "_cv")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    targets = [_is_class(i) for i in range(len(classes))] if classes else [F.col("label")]
+    if metric not in METRICS:
+        raise ValueError(f"metric must be one of {METRICS}, not {metric!r}")
+    folder = scratch_path(rows.sparkSession, "cv-models")
 
-    def job(k: int, target: Column, rounds: int):
-        part = rows.select("features", target.alias("label"), "_cv")
-        fitted, held = part.where(F.col("_cv") != k), part.where(F.col("_cv") == k)
+    def binary(k: int, i: int, rounds: int, path: str):
+        part = dealt.select("features", _is_class(i).alias("label"), "_cv")
 
-        def run() -> list[float]:
-            if classes:
-                model = GBTClassifier(maxIter=rounds, seed=seed, **params).fit(fitted)
+        def run() -> list[float] | None:
+            booster = GBTClassifier(maxIter=rounds, seed=seed, **params)
+            model = booster.fit(part.where(F.col("_cv") != k))
+            if metric == "class_logloss":
                 # MLlib's margin loss is twice the log loss
-                return [x / 2 for x in model.evaluateEachIteration(held)]
-            model = GBTRegressor(maxIter=rounds, seed=seed, **params).fit(fitted)
-            return [math.sqrt(x) for x in model.evaluateEachIteration(held, "squared")]
+                return [x / 2 for x in model.evaluateEachIteration(part.where(F.col("_cv") == k))]
+            model.write().save(f"{path}/fold_{k}/class_{i}")
+            return None
+
+        return run
+
+    def number(k: int, rounds: int):
+        def run() -> list[float]:
+            booster = GBTRegressor(maxIter=rounds, seed=seed, **params)
+            model = booster.fit(dealt.where(F.col("_cv") != k))
+            return [math.sqrt(x) for x in model.evaluateEachIteration(
+                dealt.where(F.col("_cv") == k), "squared")]
+        return run
 
+    def scored(k: int, path: str):
+        def run() -> list[dict]:
+            spark = rows.sparkSession
+            nodes = [tree_nodes(spark, f"{path}/fold_{k}/class_{i}", **{"class": i})
+                     for i in range(classes)]
+            held = dealt.where(F.col("_cv") == k)
+            found = staged_scores(held, functools.reduce(DataFrame.unionByName, nodes))
+            return [r.asDict() for r in found.orderBy("round").collect()]  # one row per round
         return run
 
+    def curve(rounds: int) -> list[dict[str, float]]:
+        path = f"{folder}/rounds_{rounds}"
+        jobs = ([binary(k, i, rounds, path) for k in range(nfold) for i in range(classes)]
+                if classes else [number(k, rounds) for k in range(nfold)])
+        losses = side_by_side(rows.sparkSession, jobs, parallelism)
+        if not classes or metric == "class_logloss":
+            return [{metric: sum(step) / nfold} for step in zip(*losses)]
+        parts = side_by_side(rows.sparkSession, [scored(k, path) for k in range(nfold)], parallelism)
+        return [{m: sum(r[m] for r in step) / nfold for m in METRICS} for step in zip(*parts)]
+
     rounds = min(max_rounds, 2 * patience)
     try:
         while True:
-            jobs = [job(k, t, rounds) for k in range(nfold) for t in targets]
-            curves = side_by_side(train.sparkSession, jobs, parallelism)
-            loss, at = best_round([sum(step) / nfold for step in zip(*curves)], patience)
+            steps = curve(rounds)
+            _, at = best_round([s[metric] for s in steps], patience)
             if at + patience <= rounds or rounds == max_rounds:
-                return loss, at
+                return steps, at
             rounds = min(max_rounds, 2 * rounds)
     finally:
-        rows.unpersist()
+        dealt.unpersist()
 
 
 def fit_regression(train: DataFrame, features: Sequence[str], label: str, *, rounds: int,
@@ -252,51 +320,78 @@ def regression_sub_model(wide: DataFrame, features: Sequence[str], label: str, f
     return out.select(*IDS, F.col("prediction").alias(name))
 
 
-def sub_model(wide: DataFrame, features: Sequence[str], lookup: Sequence[int],
-              classes: Sequence[str], fold: int, learner: str = "gbt",
-              rounds: int | None = None, params: dict | None = None,
-              max_rounds: int = MAX_ROUNDS, parallelism: int = 1) -> Forecaster:
-    """Fit the probabilities of a coarsened zone on one fold's training rows.
+def zone_free(features: Sequence[str]) -> list[str]:
+    """Features without the roles' own zone columns, which the zone sub-models do without."""
+    return [c for c in features if not any(p in c for p in ROLE_ZONE_PARTS)]
 
-    The roles' own zone columns are kept out of the features. ``rounds=None`` finds the number
-    of rounds by cross-validation.
-    """
-    kept = [c for c in features if not any(p in c for p in ROLE_ZONE_PARTS)]
-    rows = drop_matching(wide.where(F.col("fold") == fold), ROLE_ZONE_PARTS)
-    train = labelled(rows, "course").withColumn("_coarse", recode_label("course", lookup))
-    if rounds is None:
-        _, rounds = cv_rounds(train, kept, "_coarse", classes, max_rounds, params,
-                              parallelism=parallelism)
-    return fit_multiclass(train, kept, "_coarse", classes, learner, rounds=rounds, params=params,
-                          parallelism=parallelism)
 
+def coarse_rows(vectors: Vectors, features: Sequence[str], lookup: Sequence[int], fold: int,
+                ) -> DataFrame:
+    """One fold's training rows with the coarsened zone as ``label``."""
+    train = labelled(vectors.of(fold), "course").select(
+        "row_no", "features", recode_label("course", lookup).cast("double").alias("label"))
+    return vectors.pick(train, zone_free(features))
 
-def with_sub_models(wide: DataFrame, features: Sequence[str], folds: Sequence[int],
+
+def sub_model_specs(strike: bool = False) -> list[tuple[str, list[int], list[str]]]:
+    """Name, lookup and class names of the zone sub-models."""
+    specs = [("lr", v.LR_LOOKUP, v.LR_CLASSES), ("hl", v.HL_LOOKUP, v.HL_CLASSES)]
+    if strike:
+        # "ball" alone is the name of a label
+        specs.append(("strike", v.STRIKE_LOOKUP, [f"zone_{c}" for c in v.STRIKE_CLASSES]))
+    return specs
+
+
+def with_sub_models(wide: DataFrame | Vectors, features: Sequence[str], folds: Sequence[int],
                     learner: str = "gbt", rounds: int | None = None, params: dict | None = None,
                     strike: bool = False, max_rounds: int = MAX_ROUNDS, parallelism: int = 1,
-                    ) -> tuple[DataFrame, list[str]]:
+                    ) -> tuple[Vectors, list[str]]:
     """Add the side and height sub-models (and, on request, strike or ball) to every row.
 
-    A fold's models are applied to that fold's rows, so their columns stand beside the features
-    without a join. The outcome is written once, as Parquet by fold. Returns the table and the
-    names of the added features.
+    All folds' models come from one stored vector table and are fitted side by side. A fold's
+    models are applied to that fold's rows, so their columns stand beside the features without a
+    join. The outcome is stored once, by fold. ``rounds=None`` finds each model's number of rounds
+    by cross-validation. Returns the table and the names of the added features.
     """
-    specs = [(v.LR_LOOKUP, v.LR_CLASSES), (v.HL_LOOKUP, v.HL_CLASSES)]
-    if strike:
-        # "ball" alone is the name of a label
-        specs.append((v.STRIKE_LOOKUP, [f"zone_{c}" for c in v.STRIKE_CLASSES]))
+    vectors = as_vectors(wide, features, folds)
+    spark, specs = vectors.rows.sparkSession, sub_model_specs(strike)
+
+    def job(k: int, lookup: Sequence[int], classes: Sequence[str]):
+        def run() -> list:
+            rows, best = coarse_rows(vectors, features, lookup, k), rounds
+            if best is None:
+                _, best = cv_vectors(rows, "label", len(classes), max_rounds, params)
+            return fit_vectors(rows, len(classes), learner, rounds=best, params=params,
+                               parallelism=parallelism)
+        return run
+
+    jobs = [job(k, lookup, classes) for k in folds for _, lookup, classes in specs]
+    models = iter(side_by_side(spark, jobs, parallelism))
     whole = None
     for k in folds:
-        part = wide.where(F.col("fold") == k)
-        for lookup, classes in specs:
-            model = sub_model(wide, features, lookup, classes, k, learner, rounds, params,
-                              max_rounds, parallelism)
-            part = model.predict(part, part.columns)
+        part = vectors.of(k)
+        for _, _, classes in specs:
+            part = add_scores(vectors, part, features, next(models), classes)
         whole = part if whole is None else whole.unionByName(part)
-    path = scratch_path(wide.sparkSession, "sub-models")
-    whole.write.partitionBy("fold").parquet(path)
-    stacked = wide.sparkSession.read.parquet(path)
-    return stacked, [c for _, classes in specs for c in classes]
+    added = [c for _, _, classes in specs for c in classes]
+    return vectors.widened(whole, added, scratch_path(spark, "sub-models")), added
+
+
+def add_scores(vectors: Vectors, rows: DataFrame, features: Sequence[str], models: Sequence,
+               classes: Sequence[str]) -> DataFrame:
+    """``rows`` with the probabilities of a zone sub-model beside their vectors."""
+    keep = [c for c in rows.columns if c != "features"]
+    picked = vectors.pick(rows.withColumn("_whole", F.col("features")), zone_free(features))
+    out = score(picked, models, classes, [*keep, "_whole"])
+    return out.withColumnRenamed("_whole", "features")
+
+
+def as_vectors(wide: DataFrame | Vectors, features: Sequence[str], folds: Sequence[int]) -> Vectors:
+    """The stored vector table of ``wide``, unless it is one."""
+    if isinstance(wide, Vectors):
+        return wide
+    labels = [c for c in v.LABELS if c in wide.columns]
+    return store_vectors(wide, features, labels, folds, scratch_path(wide.sparkSession, "vectors"))
 
 
 def model_features(names: Sequence[str], task: str, leaking: bool = False) -> list[str]:
@@ -314,39 +409,52 @@ class Run:
     probs: DataFrame
     importance: DataFrame
     cv_score: float | None
+    rounds: dict[int, int] = field(default_factory=dict)
 
 
-def train_folds(wide: DataFrame, features: Sequence[str], label: str, classes: Sequence[str],
-                folds: Sequence[int], learner: str = "gbt", rounds: int | None = None,
-                max_rounds: int = MAX_ROUNDS, params: dict | None = None, growth: float = 1.0,
-                cv_every_fold: bool = True, parallelism: int = 1) -> Run:
+def train_folds(wide: DataFrame | Vectors, features: Sequence[str], label: str,
+                classes: Sequence[str], folds: Sequence[int], learner: str = "gbt",
+                rounds: int | None = None, max_rounds: int = MAX_ROUNDS, params: dict | None = None,
+                growth: float = 1.0, cv_every_fold: bool = True, parallelism: int = 1,
+                metric: str = "class_logloss", by: str = "share", patience: int = v.EARLY_STOP) -> Run:
     """Fit each fold's rows, predict the unlabelled rows and average over the folds.
 
-    ``rounds=None`` finds the number of rounds by cross-validation, in every fold or (with
-    ``cv_every_fold=False``) in the first one only; ``growth`` scales it before the refit.
+    ``rounds=None`` finds the number of rounds by cross-validation with ``metric``, in every fold
+    or (with ``cv_every_fold=False``) in the first one only; ``growth`` scales it before the refit.
+    Medians and gaps are learnt once, for all folds. Importance is a feature's ``share`` of the
+    loss reduction, or counted from the node table: its ``splits`` or its total ``gain``.
     """
+    vectors = as_vectors(wide, features, folds)
+    spark = vectors.rows.sparkSession
+    names = vectors.chosen(features)
+
+    def rows_of(k: int) -> DataFrame:
+        rows = labelled(vectors.of(k), label).select(
+            "row_no", "features", F.col(label).cast("double").alias("label"))
+        return vectors.pick(rows, features)
+
     scores, chosen, best = [], {}, rounds
     for k in folds:
         if rounds is None and (cv_every_fold or not scores):
-            train = labelled(wide.where(F.col("fold") == k), label)
-            score, found = cv_rounds(train, features, label, classes, max_rounds, params,
-                                     parallelism=parallelism)
-            scores.append(score)
+            curve, found = cv_vectors(rows_of(k), "label", len(classes), max_rounds, params,
+                                      patience=patience, parallelism=parallelism, metric=metric)
+            scores.append(curve[found - 1][metric])
             best = max(1, int(found * growth))
         chosen[k] = best
 
     def fold(k: int) -> tuple[DataFrame, DataFrame]:
-        rows = wide.where(F.col("fold") == k)
-        model = fit_multiclass(labelled(rows, label), features, label, classes, learner,
-                               rounds=chosen[k], params=params)
-        return model.predict(unlabelled(rows, label)), importance(model, wide, k)
+        models = fit_vectors(rows_of(k), len(classes), learner, rounds=chosen[k], params=params,
+                             parallelism=parallelism)
+        rest = vectors.pick(unlabelled(vectors.of(k), label), features)
+        return (score(rest, models, classes, IDS),
+                importance(spark, models, names, k, by))
 
-    done = side_by_side(wide.sparkSession, [lambda k=k: fold(k) for k in folds], parallelism)
+    done = side_by_side(spark, [lambda k=k: fold(k) for k in folds], parallelism)
     joined, table = done[0]
     for p, t in done[1:]:
         joined, table = joined.unionByName(p), table.unionByName(t)
     return Run(fold_average(joined, classes), importance_all(table, folds),
-               sum(scores) / len(scores) if scores else None)
+               sum(scores) / len(scores) if scores else None, chosen)
 
 
 def tune(train: DataFrame, features: Sequence[str], label: str, classes: Sequence[str],

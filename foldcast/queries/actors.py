@@ -6,15 +6,15 @@ from pyspark.sql import functions as F
 
 from foldcast import vocabulary as v
 from foldcast.functions.situation import profile
-from foldcast.operators.folds import in_folds, out_of_fold
+from foldcast.operators.folds import in_folds
 from foldcast.operators.history import actor_history, per_unit_rates
 from foldcast.operators.joins import fan_out, lookup_join, side_by_side
 from foldcast.operators.mix import conditional_mix
 from foldcast.operators.ranks import avg_rank
-from foldcast.operators.roles import join_roles, pair_combine, pair_combine_two, pair_diff
+from foldcast.operators.roles import join_roles_by_fold, pair_combine, pair_combine_two, pair_diff
 from foldcast.plans.features import (
-    COUNT_KEYS, ROLE_IDS, SITUATION, actor_profiles, build_features, feature_names, role_table,
-    role_tables,
+    COUNT_KEYS, ROLE_IDS, SITUATION, actor_profiles, build_features, feature_names,
+    labelled_lattice, role_table, role_tables,
 )
 from foldcast.queries.registry import query, rounded
 from foldcast.queries.sequences import SEQ, WHOLE
@@ -267,7 +267,8 @@ def _role(spark, sf_dir, role, fill=True, min_years=None):
     pl, edges = pitch_like(spark, sf_dir)
     profiles = actor_profiles(player_like(spark, sf_dir))
     mixes = [*v.BALLS, "total", *v.ZONE_GROUPS, *v.ROLE_COUNTERS[role]]
-    out = role_table(profiles, pl, role, edges, fill, min_years).select(
+    lattice = labelled_lattice(pl, edges)
+    out = role_table(profiles, lattice, role, edges, fill, min_years).select(
         "player_id", "pit_bat", "fold", *[F.col(c).cast("double") for c in mixes])
     return rounded(out)
 
@@ -357,8 +358,7 @@ def _joined(spark, sf_dir, with_mix=False):
 
     rows, roles = side_by_side(
         spark, [events, lambda: role_tables(player_like(spark, sf_dir), pl, edges)])
-    return join_roles(out_of_fold(rows, edges), roles, ["year", "pit_bat", "fold"],
-                      ["row_no", "fold"])
+    return join_roles_by_fold(rows, roles, ["year", "pit_bat"], edges, ["row_no"])
 
 
 _DIFFS = {f"{c}_dif_{p}": f"{c}_{a} - {c}_{b}"

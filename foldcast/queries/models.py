@@ -10,12 +10,13 @@ from __future__ import annotations
 from foldcast import vocabulary as v
 from foldcast.operators import forecast as fc
 from foldcast.operators.folds import labelled, out_of_fold
-from foldcast.operators.joins import side_by_side
-from foldcast.plans import learn
+from foldcast.operators.joins import scratch_path, side_by_side
+from foldcast.plans import contest, learn
 from foldcast.plans.features import sequence_features, with_clock
+from foldcast.plans.trees import METRICS
 from foldcast.queries.registry import query, rounded
 from foldcast.queries.sequences import SEQ, _flagged
-from foldcast.queries.views import FOLDS, pitch_like, with_pl
+from foldcast.queries.views import FOLDS, pitch_like, player_like, with_pl
 
 FEATURES = ["count_code"]
 CODE = "strike_cnt * 4 + ball_cnt"
@@ -118,7 +119,7 @@ def fit_sub_model(spark, sf_dir):
     """Side, height and strike sub-models of every fold."""
     out, added = learn.with_sub_models(_wide(spark, sf_dir), FEATURES, FOLD_LIST, rounds=1,
                                        params=DEEP, strike=True, parallelism=JOBS)
-    return rounded(out.select("row_no", "fold", *added))
+    return rounded(out.rows.select("row_no", "fold", *added))
 
 
 @query("fit_stacked", with_pl("," + _EX + _models_sql("m", v.BALLS) + f"""
@@ -155,56 +156,162 @@ def fit_regression(spark, sf_dir):
     return rounded(out)
 
 
-_IMPORTANCE = ", ".join(f"1.0::double as feat_imp_{k}" for k in FOLD_LIST)
+_STUMP = ["strike_cnt", "ball_cnt", "out_cnt"]
+_SPLIT_SQL = ",".join([_EX.replace(f"{CODE} as code", f"{CODE} as code, strike_cnt, ball_cnt, out_cnt"), """
+long as (select fold, ball, feat_name, x from (
+  select fold, ball, strike_cnt, ball_cnt, out_cnt from ex where ball is not null)
+  unpivot (x for feat_name in (strike_cnt, ball_cnt, out_cnt)))""", """
+cells as (select fold, feat_name, x, c.k as class, count(*) as n, count(*) filter (ball = c.k) as p
+  from long, (select unnest(range(8)) as k) c group by 1, 2, 3, 4)""", """
+cuts as (select *, sum(n) over w as nl, sum(p) over w as pl,
+    sum(n) over (partition by fold, feat_name, class) as na,
+    sum(p) over (partition by fold, feat_name, class) as pa
+  from cells window w as (partition by fold, feat_name, class order by x))""", """
+gains as (select fold, class, feat_name, na,
+    4 * (pa / na * (1 - pa / na) - nl / na * (pl / nl) * (1 - pl / nl)
+      - (na - nl) / na * ((pa - pl) / (na - nl)) * (1 - (pa - pl) / (na - nl))) as gain
+  from cuts where nl < na)""", """
+best as (select *, row_number() over (partition by fold, class order by gain desc) as place
+  from gains)""", """
+used as (select fold, feat_name, count(*) as splits, sum(gain * na) as gain
+  from best where place = 1 and gain > 1e-12 group by 1, 2)""", """
+listed as (select unnest(['strike_cnt', 'ball_cnt', 'out_cnt']) as feat_name)"""])
+
+
+def _importance_sql(by: str) -> str:
+    cols = [f"round(coalesce(sum(u.{by}) filter (fold = {k}), 0)::double, 6) as feat_imp_{k}"
+            for k in FOLD_LIST]
+    return with_pl("," + _SPLIT_SQL + f"""
+select feat_name, {", ".join(cols)}, round(coalesce(sum(u.{by}), 0)::double, 6) as sum
+from listed left join used u using (feat_name) group by 1""")
+
+
+def _stumps(spark, sf_dir, by):
+    """One split per fold and class: which feature it takes and what it gains."""
+    run = learn.train_folds(_wide(spark, sf_dir, *_STUMP), _STUMP, "ball", v.BALLS, FOLD_LIST, "gbt",
+                            rounds=1, params={"maxDepth": 1}, parallelism=JOBS, by=by)
+    return rounded(run.importance)
 
 
-@query("fit_importance", f"""
-select 'count_code' as feat_name, {_IMPORTANCE}, {FOLDS}.0::double as sum""")
+@query("fit_importance", _importance_sql("splits"))
 def fit_importance(spark, sf_dir):
-    """One feature has all of the loss reduction in every fold."""
-    run = learn.train_folds(_wide(spark, sf_dir), FEATURES, "ball", v.BALLS, FOLD_LIST, "gbt",
-                            rounds=1, params=DEEP, parallelism=JOBS)
-    return rounded(run.importance)
+    """How often the boosters of all classes split by each of three features, from their nodes."""
+    return _stumps(spark, sf_dir, "splits")
+
+
+@query("fit_importance_gain", _importance_sql("gain"))
+def fit_importance_gain(spark, sf_dir):
+    """How much the splits by each of three features gain, times the rows that they part."""
+    return _stumps(spark, sf_dir, "gain")
 
 
-@query("fit_rf", with_pl(" select row_no, 1.0::double as total, 1 as in_range from pl"
-                         " where ball is null"))
+def _share(i: int) -> str:
+    return f"avg(case when ball = {i} then 1.0::double else 0 end)"
+
+
+@query("fit_rf", with_pl("," + _EX + f""",
+m as (select fold, code, {", ".join(f"{_share(i)} as {b}" for i, b in enumerate(v.BALLS))}
+  from ex where ball is not null group by 1, 2)
+select row_no, {", ".join(f"round(avg({b}), 6) as {b}" for b in v.BALLS)}
+from ex join m using (fold, code) where ball is null group by 1"""))
 def fit_rf(spark, sf_dir):
-    """A forest's shares hang on its samples; what must hold is their sum and range."""
-    wide = _wide(spark, sf_dir, "inning", "out_cnt", "pitch_cnt_in_bat", "bat_order")
-    names = [*FEATURES, "inning", "out_cnt", "pitch_cnt_in_bat", "bat_order"]
-    run = learn.train_folds(wide, names, "ball", v.BALLS, FOLD_LIST, "rf", rounds=20,
-                            params={"maxDepth": 5}, parallelism=JOBS)
-    inside = " and ".join(f"{b} between 0 and 1" for b in v.BALLS)
-    return rounded(run.probs.selectExpr("row_no", f"{' + '.join(v.BALLS)} as total",
-                                        f"cast({inside} as int) as in_range"))
+    """A forest without sampling, deep enough to part the counts: the class shares of each."""
+    run = learn.train_folds(_wide(spark, sf_dir), FEATURES, "ball", v.BALLS, FOLD_LIST, "rf", rounds=3,
+                            params={**DEEP, "bootstrap": False, "featureSubsetStrategy": "all"},
+                            parallelism=JOBS)
+    return rounded(run.probs)
 
 
-_CV_SHARES = ", ".join(
-    f"avg(case when a.ball = {i} then 1.0::double else 0 end) as s{i}" for i in range(len(v.BALLS)))
-_CV_LOSS = " + ".join(
-    f"ln(1 + exp((case when ball = {i} then -2 else 2 end) * (2 * s{i} - 1)))"
-    for i in range(len(v.BALLS)))
+#: Rounds of the searches for a number of rounds, and the boosters' step.
+ROUNDS, STEP = 3, 0.1
 
 
-@query("cv_rounds", with_pl("," + _EX + f""",
+def _margins_sql(name: str, shares: str, keys: str, rounds: int) -> str:
+    """CTE ``name``: the margin of each class after every round, the same for all rows of a code,
+    from the table of ``shares`` (keys, code, class and p)."""
+    return f"""
+{name} as (
+  with recursive f as (
+    select {keys}, code, class, p, 1 as round, 2 * p - 1 as margin from {shares}
+    union all
+    select {keys}, code, class, p, round + 1,
+      margin + {STEP} * (p * 4 / (1 + exp(2 * margin)) - (1 - p) * 4 / (1 + exp(-2 * margin)))
+    from f where round < {rounds})
+  select * from f)"""
+
+
+_CURVE_SQL = ",".join([_EX, """
 cv as (
   select *, ((row_no % 1000003) * 48271 + ball * 31337) % 65521 % 4 as part
-  from ex where ball is not null),
+  from ex where ball is not null)""", """
 sh as (
-  select a.fold, p.k as part, a.code, {_CV_SHARES}
-  from cv a, (select unnest([0, 1, 2, 3]) as k) p where a.part <> p.k group by 1, 2, 3),
-ls as (
-  select cv.fold, cv.part, avg({_CV_LOSS}) as loss
-  from cv join sh on cv.fold = sh.fold and cv.part = sh.part and cv.code = sh.code group by 1, 2)
-select fold, round(avg(loss), 6) as score, 1 as rounds from ls group by 1"""))
+  select a.fold, p.k as part, a.code, c.k as class,
+    avg(case when a.ball = c.k then 1.0::double else 0 end) as p
+  from cv a, (select unnest([0, 1, 2, 3]) as k) p, (select unnest(range(8)) as k) c
+  where a.part <> p.k group by 1, 2, 3, 4)""", _margins_sql("mg", "sh", "fold, part", ROUNDS), """
+each as (
+  select cv.fold, cv.part, cv.row_no, mg.round,
+    sum(ln(1 + exp((case when ball = class then -2 else 2 end) * margin))) as class_logloss,
+    sum(1 / (1 + exp(-2 * margin))) as total,
+    max(1 / (1 + exp(-2 * margin))) filter (ball = class) as truth,
+    list(1 / (1 + exp(-2 * margin))) as ps
+  from cv join mg on cv.fold = mg.fold and cv.part = mg.part and cv.code = mg.code group by 1, 2, 3, 4)""", """
+parts as (
+  select fold, part, round, avg(class_logloss) as class_logloss,
+    avg(-ln(greatest(truth / total, 1e-15))) as multi_logloss,
+    avg(case when len(list_filter(ps, lambda q: q >= truth - 1e-9)) > 1 then 1.0 else 0 end)
+      as multi_error
+  from each group by 1, 2, 3)""", """
+curve as (
+  select fold, round, avg(class_logloss) as class_logloss, avg(multi_logloss) as multi_logloss,
+    avg(multi_error) as multi_error from parts group by 1, 2)""", """
+choice as (
+  select fold, arg_min(round, round(multi_logloss, 9) + round * 1e-12) as by_logloss,
+    arg_min(round, round(multi_error, 9) + round * 1e-12) as by_error from curve group by 1)"""])
+
+
+@query("cv_rounds", with_pl("," + _CURVE_SQL + """
+select fold, round, round(class_logloss, 6) as class_logloss, round(multi_logloss, 6) as multi_logloss,
+  round(multi_error, 6) as multi_error, by_logloss, by_error
+from curve join choice using (fold)"""))
 def cv_rounds(spark, sf_dir):
-    """Cross-validated loss after one round, in every fold."""
-    wide = _wide(spark, sf_dir)
-    found = [(k, *learn.cv_rounds(labelled(wide.where(f"fold = {k}"), "ball"), FEATURES, "ball",
-                                  v.BALLS, max_rounds=1, params=DEEP, parallelism=2 * JOBS))
-             for k in FOLD_LIST]
-    return rounded(spark.createDataFrame(found, "fold int, score double, rounds int"))
+    """Cross-validated losses after every round in every fold, and the round that each choice of
+    metric takes: the first least one."""
+    vectors = learn.as_vectors(_wide(spark, sf_dir), FEATURES, FOLD_LIST)
+    out = []
+    for k in FOLD_LIST:
+        rows = labelled(vectors.of(k), "ball")
+        curve, _ = learn.cv_vectors(rows, "ball", len(v.BALLS), ROUNDS, DEEP, parallelism=2 * JOBS,
+                                    metric="multi_logloss")
+        first = {m: learn.best_round([round(s[m], 9) for s in curve])[1] for m in METRICS}
+        out += [(k, r, *[float(s[m]) for m in METRICS], first["multi_logloss"], first["multi_error"])
+                for r, s in enumerate(curve, 1)]
+    return rounded(spark.createDataFrame(
+        out, "fold int, round int, " + ", ".join(f"{m} double" for m in METRICS)
+        + ", by_logloss int, by_error int"))
+
+
+_GROWTH = 1.5
+
+
+@query("fit_growth", with_pl("," + _CURVE_SQL + f""",
+whole as (
+  select a.fold, a.code, c.k as class, avg(case when a.ball = c.k then 1.0::double else 0 end) as p
+  from cv a, (select unnest(range(8)) as k) c group by 1, 2, 3),""" + _margins_sql(
+      "gm", "whole", "fold", int(ROUNDS * _GROWTH)) + f""",
+grown as (
+  select gm.fold, code, class, 1 / (1 + exp(-2 * margin)) as p from gm join choice using (fold)
+  where gm.round = greatest(1, floor(by_logloss * {_GROWTH}))),
+scaled as (
+  select fold, code, class, p / sum(p) over (partition by fold, code) as p from grown)
+select row_no, {", ".join(f"round(avg(p) filter (class = {i}), 6) as {b}" for i, b in enumerate(v.BALLS))}
+from ex join scaled using (fold, code) where ball is null group by 1"""))
+def fit_growth(spark, sf_dir):
+    """Rounds found in every fold by cross-validation, grown by half before the refit."""
+    run = learn.train_folds(_wide(spark, sf_dir), FEATURES, "ball", v.BALLS, FOLD_LIST, "gbt",
+                            rounds=None, max_rounds=ROUNDS, params=DEEP, growth=_GROWTH,
+                            metric="multi_logloss", parallelism=2 * JOBS)
+    return rounded(run.probs)
 
 
 def _tuned_sql(by: str, least: int) -> str:
@@ -232,3 +339,21 @@ def tune(spark, sf_dir):
     return rounded(learn.tune(
         rows, FEATURES, "ball", v.BALLS, {"minInstancesPerNode": [1, 1_000_000_000], "maxDepth": [12]},
         rounds=1, parallelism=2))
+
+
+_COUNTS = ["ball_cnt", "strike_cnt"]
+
+
+@query("contest_run", with_pl("," + _EX + _models_sql("bm", v.BALLS) + _models_sql("zm", v.ZONES, "course")
+                              + f"""
+select row_no, {", ".join(f"round(avg({c}), 6) as {c}" for c in [*v.ZONES, *v.BALLS])}
+from ex join bm using (fold, code) join zm using (fold, code) where ball is null group by 1"""))
+def contest_run(spark, sf_dir):
+    """The whole published run with its stages, over all folds and rows, on the two counts: the
+    submissions of the zones and of the boosted balls, read back from their files."""
+    pl, edges = pitch_like(spark, sf_dir)
+    events = pl.drop("own_fold", "pit_bat", "count_key")
+    found = contest.run(
+        events, player_like(spark, sf_dir), scratch_path(spark, "contest"), "62", edges, rounds=1,
+        parallelism=2 * JOBS, features=_COUNTS, params={"ball": DEEP, "course": DEEP, "forest": DEEP})
+    return rounded(contest.submitted(events, found, edges))

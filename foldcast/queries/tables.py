@@ -8,14 +8,18 @@ from foldcast import vocabulary as v
 from foldcast.functions.expr import drop_matching, one_hot
 from foldcast.functions.situation import situation_flags
 from foldcast.operators import mix, summary
-from foldcast.operators.folds import fold_complement, fold_rows, holdout, labelled, unlabelled
+from foldcast.operators.folds import (
+    fold_complement, fold_rows, holdout, labelled, out_of_fold, unlabelled,
+)
 from foldcast.operators.forecast import coarse_label, prior_forecast
 from foldcast.operators.joins import append_unlabelled, scratch_path
 from foldcast.queries.registry import query, rounded
 from foldcast.queries.views import (
-    label_cut, pitch_like, player_like, raw_pitch, table, with_both, with_pl,
+    RAW, edges_of, label_cut, pitch_like, player_like, raw_pitch, table, with_both, with_pl,
+)
+from foldcast.sources.files import (
+    read_events, read_events_checked, read_probs, table_path, write_submission, write_table,
 )
-from foldcast.sources.files import read_probs, write_submission, write_table
 
 KEYS = ["count_key", "pit_bat"]
 QUANTITIES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -367,3 +371,75 @@ def recode_hands(spark, sf_dir):
     pl, _ = pitch_like(spark, sf_dir)
     rows = pl.select("row_no", "pitcher_hand", "batter_side", "pit_bat", "count_key")
     return recode(rows, v.HAND_CODES, ["pitcher_hand", "batter_side"])
+
+
+def _source_csv(spark, sf_dir, name: str) -> str:
+    """The log as a CSV file with its source's header, under the folder of a run's raw tables."""
+    path = table_path(scratch_path(spark, "raw"), name, "62")
+    raw = raw_pitch(spark, sf_dir)
+    rows = raw.withColumns(
+        {n: F.lit(None).cast(t) for n, t in v.EVENT_COLUMNS.values()
+         if n not in raw.columns})
+    rows.select(*[F.col(n).alias(s) for s, (n, _) in v.EVENT_COLUMNS.items()]).write.csv(
+        path, header=True)
+    return path
+
+
+_CSV_COLUMNS = ["row_no", "ball", "course", "game_date", "half", "pitcher_id", "runner1_id", "bat_order"]
+
+
+@query("csv_events", f"with {RAW} select {', '.join(_CSV_COLUMNS)} from rawpl")
+def csv_events(spark, sf_dir):
+    """The log read from a CSV file with header, under its source's column names."""
+    return read_events(spark, _source_csv(spark, sf_dir, "events")).select(*_CSV_COLUMNS)
+
+
+@query("csv_quarantine", f"""with {RAW}
+select row_no % 7 as digit, count(*) filter (row_no % 50 not in (7, 8)) as good,
+  count(*) filter (row_no % 50 in (7, 8)) as broken from rawpl group by 1""")
+def csv_quarantine(spark, sf_dir):
+    """Lines that do not fit the columns are set apart, and none is lost: some of the log's lines
+    have a word for a number, others a field too many."""
+    lines = spark.read.text(_source_csv(spark, sf_dir, "events"))
+    number = F.regexp_extract("value", "^([0-9]+),", 1)
+    mark = F.when(number != "", number.cast("long") % 50)
+    path = table_path(scratch_path(spark, "raw"), "broken", "62")
+    lines.select(F.when(mark == 7, F.regexp_replace("value", "^([0-9]+),", "$1,word,"))
+                 .when(mark == 8, F.concat("value", F.lit(",1")))
+                 .otherwise(F.col("value")).alias("value")).write.text(path)
+    good, bad = read_events_checked(spark, path)
+    both = good.select("row_no", F.lit(1).alias("good")).unionByName(
+        bad.select(F.regexp_extract("line", "^([0-9]+),", 1).cast("long").alias("row_no"),
+                   F.lit(0).alias("good")))
+    return both.groupBy((F.col("row_no") % 7).alias("digit")).agg(
+        F.count_if(F.col("good") == 1).alias("good"), F.count_if(F.col("good") == 0).alias("broken"))
+
+
+@query("since_date", with_pl(
+    " select game_date, count(*) as n, count(ball) as labelled from pl"
+    " where game_date >= '2024-01-08' group by 1"))
+def since_date(spark, sf_dir):
+    """Events from a given day on."""
+    pl, _ = pitch_like(spark, sf_dir)
+    return pl.where(F.col("game_date") >= "2024-01-08").groupBy("game_date").agg(
+        F.count(F.lit(1)).alias("n"), F.count("ball").alias("labelled"))
+
+
+_MORE_FOLDS = " union all ".join(
+    f"""select {n} as folds, f.k as fold, count(*) as n, count(ball) as labelled, sum(row_no)::bigint as total
+  from pl, lim, (select unnest(range(1, {n + 1})) as k) f
+  where not coalesce(row_no > cut * (f.k - 1) // {n} - 1 and row_no <= cut * f.k // {n} - 1, false)
+  group by 1, 2""" for n in (3, 5))
+
+
+@query("more_folds", with_pl(" " + _MORE_FOLDS))
+def more_folds(spark, sf_dir):
+    """Three and five folds: each row once for every fold that it does not belong to."""
+    pl, _ = pitch_like(spark, sf_dir)
+    cut, out = label_cut(spark, sf_dir), None
+    for n in (3, 5):
+        rows = out_of_fold(pl.select("row_no", "ball"), edges_of(cut, n)).groupBy("fold").agg(
+            F.count(F.lit(1)).alias("n"), F.count("ball").alias("labelled"),
+            F.sum("row_no").alias("total")).select(F.lit(n).alias("folds"), "*")
+        out = rows if out is None else out.unionByName(rows)
+    return out

@@ -161,6 +161,15 @@ pl as (
     (case batter_side when '左' then 'L' when '右' then 'R' end) as pit_bat,
     cast(strike_cnt as varchar) || '-' || cast(ball_cnt as varchar) as count_key
   from pl0)"""
+#: The log with every row labelled.
+RAW = f"""
+ev as (
+  select event_id, user_id, event_type, cast(ts as varchar) as t,
+    cast(hour(ts) as int) as h, cast(minute(ts) as int) as m,
+    cast(json_extract_string(props, '$.k') as int) as k
+  from events),
+rawpl as (
+  select {_duck(_EVENT)}, {", ".join(f"cast({e} as int) as {n}" for n, e in _LABEL.items())} from ev)"""
 CL = f"""
 cl as (select {_duck(_ACTOR)} from customer)"""
 

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from foldcast.operators.joins import stored
 from foldcast.vocabulary import ACTOR_COLUMNS, EVENT_COLUMNS, LABELS
 
+#: Column for a line that cannot be read.
+BROKEN = "_broken_line"
+
 
 def schema_of(columns: dict[str, tuple[str, str]], without: Sequence[str] = ()) -> str:
     """DDL of a source file: source column names with declared types."""
@@ -36,6 +39,24 @@ def read_actors(spark: SparkSession, path: str) -> DataFrame:
     return to_names(raw, ACTOR_COLUMNS)
 
 
+def read_events_checked(spark: SparkSession, path: str, labelled: bool = True,
+                        ) -> tuple[DataFrame, DataFrame]:
+    """Event log CSV with header, and apart from it the lines that do not fit its columns.
+
+    A line with too few or too many fields, or with a field that is no value of its column's type,
+    is quarantined whole, with the name of its file. No line is lost: the two tables hold all of
+    them. The lines are stored once, as a text file has to be parsed to tell them apart.
+    """
+    schema = schema_of(EVENT_COLUMNS, () if labelled else LABELS)
+    raw = spark.read.schema(f"{schema}, `{BROKEN}` string").csv(
+        path, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=BROKEN)
+    held, _ = stored(raw.withColumn("_file", F.col("_metadata.file_name")))
+    good = to_names(held.where(F.col(BROKEN).isNull()).drop(BROKEN, "_file"), EVENT_COLUMNS)
+    bad = held.where(F.col(BROKEN).isNotNull()).select(
+        F.col("_file").alias("file"), F.col(BROKEN).alias("line"))
+    return good, bad
+
+
 def number_unlabelled(test: DataFrame, after: int) -> DataFrame:
     """Shift the row numbers of the unlabelled file so that they follow the labelled rows."""
     return test.withColumn("row_no", F.col("row_no") + F.lit(after + 1).cast("bigint"))

@@ -163,8 +163,9 @@ def test_fits(spark):
     out = {r["row_no"]: r for r in model.predict(df.where("ball is null")).collect()}
     assert out[80]["a"] > 0.5 > out[80]["b"] and out[81]["b"] > 0.5
     assert all(r["a"] + r["b"] == pytest.approx(1) for r in out.values())
-    top = learn.importance(model, df, 1).first()
-    assert top["feat_name"] == "x"
+    for by in ("share", "splits", "gain"):
+        top = learn.importance(spark, model.models, matrix.names, 1, by).first()
+        assert top["feat_name"] == "x" and top["feat_imp"] > 0
     score, rounds = learn.cv_rounds(train, ["x"], "noise", None, max_rounds=2, nfold=2)
     assert rounds >= 1 and score > 0
     with pytest.raises(ValueError):
