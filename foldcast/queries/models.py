@@ -205,20 +205,38 @@ def fit_importance_gain(spark, sf_dir):
     return _stumps(spark, sf_dir, "gain")
 
 
-def _share(i: int) -> str:
-    return f"avg(case when ball = {i} then 1.0::double else 0 end)"
-
-
-@query("fit_rf", with_pl("," + _EX + f""",
-m as (select fold, code, {", ".join(f"{_share(i)} as {b}" for i, b in enumerate(v.BALLS))}
-  from ex where ball is not null group by 1, 2)
-select row_no, {", ".join(f"round(avg({b}), 6) as {b}" for b in v.BALLS)}
-from ex join m using (fold, code) where ball is null group by 1"""))
+_RF_SQL = ",".join([_EX.replace(f"{CODE} as code", f"{CODE} as code, strike_cnt, ball_cnt, out_cnt"), """
+wide as (select fold, row_no, ball, feat_name, x from (
+  select fold, row_no, ball, strike_cnt, ball_cnt, out_cnt from ex)
+  unpivot (x for feat_name in (strike_cnt, ball_cnt, out_cnt)))""", """
+cells as (select fold, feat_name, x, c.k as class, count(*) filter (ball = c.k) as p
+  from wide, (select unnest(range(8)) as k) c where ball is not null group by 1, 2, 3, 4)""", """
+cuts as (select *, sum(p) over (partition by fold, feat_name, class order by x) as l,
+    sum(p) over (partition by fold, feat_name, class) as a from cells)""", """
+gains as (select fold, feat_name, x, sum(l) as nl, sum(a) as na,
+    sum(l * l) / sum(l) + sum((a - l) * (a - l)) / (sum(a) - sum(l)) as gain,
+    arg_max(class, l - class * 1e-6) as top_l, arg_max(class, a - l - class * 1e-6) as top_r
+  from cuts group by 1, 2, 3 having sum(l) < sum(a))""", """
+best as (select *, row_number() over (partition by fold order by gain desc) as place from gains)""", """
+sides as (
+  select b.fold, b.feat_name, b.x, c.class,
+    case when top_l = top_r then a / na else l / nl end as low,
+    case when top_l = top_r then a / na else (a - l) / (na - nl) end as high
+  from best b join cuts c on b.fold = c.fold and b.feat_name = c.feat_name and b.x = c.x
+  where place = 1)"""])
+
+
+@query("fit_rf", with_pl("," + _RF_SQL + "select row_no, " + ", ".join(
+    f"round(avg(case when w.x <= s.x then low else high end) filter (class = {i})::double, 6) as {b}"
+    for i, b in enumerate(v.BALLS))
+    + " from wide w join sides s on w.fold = s.fold and w.feat_name = s.feat_name"
+    " where ball is null group by 1"))
 def fit_rf(spark, sf_dir):
-    """A forest without sampling, deep enough to part the counts: the class shares of each."""
-    run = learn.train_folds(_wide(spark, sf_dir), FEATURES, "ball", v.BALLS, FOLD_LIST, "rf", rounds=3,
-                            params={**DEEP, "bootstrap": False, "featureSubsetStrategy": "all"},
-                            parallelism=JOBS)
+    """A forest of single splits without sampling: the best of three features by Gini; sides that
+    take the same class are one leaf."""
+    run = learn.train_folds(_wide(spark, sf_dir, *_STUMP), _STUMP, "ball", v.BALLS, FOLD_LIST, "rf",
+                            rounds=3, params={"maxDepth": 1, "bootstrap": False,
+                                              "featureSubsetStrategy": "all"}, parallelism=JOBS)
     return rounded(run.probs)
 
 

@@ -426,7 +426,7 @@ def since_date(spark, sf_dir):
 
 
 _MORE_FOLDS = " union all ".join(
-    f"""select {n} as folds, f.k as fold, count(*) as n, count(ball) as labelled, sum(row_no)::bigint as total
+    f"""select {n} as folds, f.k::int as fold, count(*) as n, count(ball) as labelled, sum(row_no)::bigint as total
   from pl, lim, (select unnest(range(1, {n + 1})) as k) f
   where not coalesce(row_no > cut * (f.k - 1) // {n} - 1 and row_no <= cut * f.k // {n} - 1, false)
   group by 1, 2""" for n in (3, 5))
