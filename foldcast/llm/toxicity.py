@@ -17,7 +17,9 @@ table gives no rows. Input columns named like an output column are replaced.
 
 from __future__ import annotations
 
+import functools
 import math
+import re
 import string
 import unicodedata
 from collections.abc import Iterator
@@ -56,6 +58,8 @@ CHANCE = 0.05
 CLEAN = 4.0
 #: Words whose units are worked out at once.
 WORDS = 1 << 14
+#: Words whose scores a task remembers.
+KNOWN = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -70,12 +74,33 @@ class Model:
     scale: float = 1.0
     needed: float = 10.0
 
-    def of(self, keys: np.ndarray) -> np.ndarray:
-        """The score of each key, or minus infinity."""
-        if not len(self.keys):
-            return np.full(len(keys), -np.inf)
-        place = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[place] == keys, self.scores[place], -np.inf)
+    @functools.cached_property
+    def sieve(self) -> "Sieve":
+        return Sieve(self.keys)
+
+    def hits(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the keys that are units, and their scores."""
+        at, place = self.sieve.find(keys)
+        return at, self.scores[place]
+
+
+class Sieve:
+    """Finds the few of many keys that are in a sorted list: first by their last bits."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        self.bits = np.uint64((1 << max(12, (16 * len(keys)).bit_length())) - 1)
+        self.table = np.zeros(int(self.bits) + 1, bool)
+        self.table[keys & self.bits] = True
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the keys that are listed, and where in the list they are."""
+        at = np.flatnonzero(self.table[keys & self.bits])
+        if not len(at):
+            return at, at
+        place = np.minimum(np.searchsorted(self.keys, keys[at]), len(self.keys) - 1)
+        right = self.keys[place] == keys[at]
+        return at[right], place[right]
 
 
 def _mix(a: np.ndarray, b) -> np.ndarray:
@@ -85,6 +110,10 @@ def _mix(a: np.ndarray, b) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+#: Words that have another plain form.
+NOT_PLAIN = re.compile(r"[^a-z]|([a-z])\1")
+
+
 def plain(word: str) -> str:
     """A word without accents, signs for letters, inner punctuation and doubled letters."""
     letters = [c for c in unicodedata.normalize("NFKD", word).translate(SIGNS) if c.isalpha()]
@@ -106,12 +135,12 @@ def word_units(bare: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """Word number and key of all units inside the words: themselves, plain forms, runs of letters."""
     import xxhash
 
-    forms = [plain(w) for w in bare]
     own = np.flatnonzero(keys)
     of, found = [own], [keys[own]]
-    other = np.array([i for i, (w, f) in enumerate(zip(bare, forms)) if f and f != w], np.int64)
-    of.append(other)
-    found.append(np.array([xxhash.xxh64_intdigest(forms[i], 1) for i in other], np.uint64))
+    forms = [(i, plain(w)) for i, w in enumerate(bare) if NOT_PLAIN.search(w)]
+    forms = [(i, f) for i, f in forms if f]
+    of.append(np.array([i for i, _ in forms], np.int64))
+    found.append(np.array([xxhash.xxh64_intdigest(f, 1) for _, f in forms], np.uint64))
     text = "".join(f"^{w}$" for w in bare)
     letters = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
     word = np.repeat(np.arange(len(bare)), [len(w) + 2 for w in bare])
@@ -138,7 +167,7 @@ def pair_units(keys: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarr
 EVERY = 1
 
 
-def _document_counts(batch: pa.RecordBatch, only: np.ndarray | None, left_by: Model | None = None,
+def _document_counts(batch: pa.RecordBatch, only: Sieve | None, left_by: Model | None = None,
                      ) -> pd.DataFrame:
     """Per unit, how many toxic and clean documents of a batch have it, and how many words there.
 
@@ -153,7 +182,7 @@ def _document_counts(batch: pa.RecordBatch, only: np.ndarray | None, left_by: Mo
         left = ~np.isfinite(_best(bare, keys, codes, offsets, left_by))
     word, unit = word_units(bare, keys)
     if only is not None:
-        known = np.isin(unit, only)
+        known, _ = only.find(unit)
         word, unit = word[known], unit[known]
     number, names = pd.factorize(unit)
     once = pd.unique(word * max(1, len(names)) + number)
@@ -170,7 +199,7 @@ def _document_counts(batch: pa.RecordBatch, only: np.ndarray | None, left_by: Mo
         both = left[later] & left[later - gap]
         later, unit = later[both], unit[both]
         if only is not None:
-            known = np.isin(unit, only)
+            known, _ = only.find(unit)
             later, unit = later[known], unit[known]
         number, names = pd.factorize(unit)
         found.append((owner[later], number, np.ones(len(later), np.int64), names))
@@ -195,12 +224,14 @@ def _document_counts(batch: pa.RecordBatch, only: np.ndarray | None, left_by: Mo
 def unit_counts(rows: DataFrame, only: np.ndarray | None = None, left_by: Model | None = None,
                 ) -> DataFrame:
     """Documents with each unit and words that have it, by label, summed up per batch before they
-    are shuffled. The unit ``EVERY`` stands for all words."""
+    are shuffled. The unit ``EVERY`` stands for all words. ``only`` are the (sorted) units wanted."""
+    wanted = None if only is None else Sieve(only)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text", 1 << 20):
                 yield pa.RecordBatch.from_pandas(
-                    _document_counts(part, only, left_by), preserve_index=False)
+                    _document_counts(part, wanted, left_by), preserve_index=False)
 
     names = ["toxic", "clean", "toxic_words", "clean_words"]
     return rows.select("label", "text").mapInArrow(
@@ -279,29 +310,44 @@ def segments(positions: np.ndarray, scores: np.ndarray, other: float, length: in
 
 
 def _best(bare: list[str], keys: np.ndarray, codes: np.ndarray, offsets: np.ndarray, model: Model,
-          ) -> np.ndarray:
-    """The best score of every word's units; minus infinity without one."""
+          known: dict[int, float] | None = None) -> np.ndarray:
+    """The best score of every word's units; minus infinity without one. ``known`` remembers the
+    scores of words by their keys."""
     best = np.full(len(bare), -np.inf)
-    for low in range(0, len(bare), WORDS):
-        word, unit = word_units(bare[low:low + WORDS], keys[low:low + WORDS])
-        np.maximum.at(best, low + word, model.of(unit))
+    new = np.arange(len(bare))
+    if known is not None:
+        held = [known.get(k) for k in keys.tolist()]
+        new = np.array([i for i, x in enumerate(held) if x is None], np.int64)
+        best = np.array([-np.inf if x is None else x for x in held])
+    for low in range(0, len(new), WORDS):
+        part = new[low:low + WORDS]
+        word, unit = word_units([bare[i] for i in part], keys[part])
+        at, score = model.hits(unit)
+        np.maximum.at(best, part[word[at]], score)
+    if known is not None:
+        if len(known) > KNOWN:
+            known.clear()
+        known.update(zip(keys[new].tolist(), best[new].tolist()))
     out = best[codes] if len(codes) else np.empty(0)
     if len(codes):
         for later, unit in pair_units(keys[codes], offsets):
-            out[later] = np.maximum(out[later], model.of(unit))
+            at, score = model.hits(unit)
+            out[later[at]] = np.maximum(out[later[at]], score)
     return out
 
 
-def word_scores(texts: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray]:
+def word_scores(texts: pa.Array, model: Model, known: dict[int, float] | None = None,
+                ) -> tuple[np.ndarray, np.ndarray]:
     """The score of every word of all texts (minus infinity: none of its own), and the offsets."""
     words, offsets = split(texts)
     codes, distinct = coded(words)
     bare = bare_words(distinct).to_pylist()
-    return _best(bare, word_keys(bare), codes, offsets, model), offsets
+    return _best(bare, word_keys(bare), codes, offsets, model, known), offsets
 
 
-def _scan(texts: pa.Array, model: Model) -> tuple[list[int], list[float], list[list[dict]]]:
-    best, offsets = word_scores(texts, model)
+def _scan(texts: pa.Array, model: Model, known: dict[int, float],
+          ) -> tuple[list[int], list[float], list[list[dict]]]:
+    best, offsets = word_scores(texts, model, known)
     hit = np.flatnonzero(np.isfinite(best))
     bounds = np.searchsorted(hit, offsets)
     lengths = np.diff(offsets)
@@ -335,9 +381,10 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
     span = pa.struct([("first", pa.int32()), ("last", pa.int32()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[int, float] = {}
         for batch in batches:
             for part in chunks(batch, "text"):
-                lengths, evidence, passages = _scan(text_of(part), model)
+                lengths, evidence, passages = _scan(text_of(part), model, known)
                 yield pa.RecordBatch.from_arrays(
                     [*[part.column(n) for n in names], pa.array(lengths, pa.int64()),
                      pa.array(evidence, pa.float64()), pa.array(passages, pa.list_(span))],
@@ -364,10 +411,8 @@ def significant(counts: DataFrame, toxic_docs: int, clean_docs: int, candidates:
     return Model(keys[order], table["score"].to_numpy(float)[order])
 
 
-def _joined(a: Model | None, b: Model) -> Model:
+def _joined(a: Model, b: Model) -> Model:
     """Units of both; of a unit that both have, the score of the first."""
-    if a is None:
-        return b
     new = ~np.isin(b.keys, a.keys)
     keys, scores = np.concatenate([a.keys, b.keys[new]]), np.concatenate([a.scores, b.scores[new]])
     order = np.argsort(keys)
@@ -389,11 +434,14 @@ def fit(docs: DataFrame, sample: DataFrame) -> Model | None:
     candidates = np.array(sorted(r[0] for r in unit_counts(learnt.where("label = 1")).where(
         F.col("toxic") >= max(LEAST, math.ceil(SHARE * toxic_docs))).where(
         F.col("unit") != EVERY).select("unit").collect()), np.int64).view(np.uint64)
-    found: Model | None = None
-    for least in (FIRST, TELLING):
-        counts = kept(unit_counts(learnt, candidates, found), "toxic-units")
-        more = significant(counts, toxic_docs, clean_docs, len(candidates), least)
-        found = _joined(found, more)
+    counts = kept(unit_counts(learnt, candidates), "toxic-units")
+    found = significant(counts, toxic_docs, clean_docs, len(candidates), FIRST)
+    rest = significant(counts, toxic_docs, clean_docs, len(candidates), TELLING)
+    if len(found.keys):
+        # what is telling at all, in the words that the first ones leave
+        counts = kept(unit_counts(learnt, rest.keys, found), "toxic-rest")
+        rest = significant(counts, toxic_docs, clean_docs, len(candidates), TELLING)
+    found = _joined(found, rest)
     if not len(found.keys):
         return None
     model = found
@@ -412,9 +460,10 @@ def fit(docs: DataFrame, sample: DataFrame) -> Model | None:
 def scored_rates(rows: DataFrame, model: Model) -> dict[int, tuple]:
     """Per label: scored words, all words, and the counts of each score (rounded)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[int, float] = {}
         for batch in batches:
             for part in chunks(batch, "text"):
-                best, offsets = word_scores(text_of(part), model)
+                best, offsets = word_scores(text_of(part), model, known)
                 label = part.column("label").to_numpy(zero_copy_only=False)[owners(offsets)]
                 score = np.where(np.isfinite(best), np.round(best, 1), -1.0)
                 counts = pd.DataFrame({"label": label, "score": score})
