@@ -104,20 +104,27 @@ def matrix(counts: DataFrame, parts: int, shards: int, seed: int) -> DataFrame:
     return level.select(F.col("node").alias("part"), F.col("room").alias("sends"))
 
 
+def _marked(rows: DataFrame) -> DataFrame:
+    """``rows`` with the number that deals them: of id and text, so that rows without an id, or
+    with one id, lie apart."""
+    return rows.withColumn("_mark", F.xxhash64(*[c for c in ("doc_id", "text") if c in rows.columns]))
+
+
 def shard(docs: DataFrame, shards: int, seed: int = 7) -> DataFrame:
     """``docs`` with ``shard`` (0 to ``shards`` - 1) and ``slot`` (gapless from 0 in the shard)."""
     spark = docs.sparkSession
-    rows, back = aside(docs.drop("shard", "slot"), ["doc_id"])
+    rows, back = aside(docs.drop("shard", "slot"), ["doc_id", "text"])
+    rows = _marked(rows)
     total = rows.count()
     parts = 1 << max(0, math.ceil(math.log2(max(1, total / PART_ROWS))))
     blocks = max(1, math.ceil(total / shards / PART_ROWS))
 
     def key(salt: int) -> Column:
-        return F.xxhash64(F.lit(seed), F.lit(salt), F.col("doc_id"))
+        return F.xxhash64(F.lit(seed), F.lit(salt), F.col("_mark"))
 
     def dealt(df: DataFrame, table: DataFrame) -> DataFrame:
         """Local permutation, cut by the matrix. The matrix is keyed by part like the rows."""
-        local = Window.partitionBy("_part").orderBy("_first", "doc_id")
+        local = Window.partitionBy("_part").orderBy("_first", "doc_id", "_mark")
         placed = df.withColumns({"_part": F.pmod(key(1), F.lit(parts)), "_first": key(2)})
         placed = placed.withColumn("_rank", F.row_number().over(local))
         return placed.join(table, "_part").withColumn(
@@ -134,12 +141,12 @@ def shard(docs: DataFrame, shards: int, seed: int = 7) -> DataFrame:
                "aggregate(slice(sends, 1, i), 0L, (x, y) -> x + y))").alias("_ends")),
         "shard-matrix")
     # sizes of the blocks in which the second permutation is made, from ids alone
-    sizes = dealt(rows.select("doc_id"), table).groupBy("shard", "_block").agg(
+    sizes = dealt(rows.select("doc_id", "_mark"), table).groupBy("shard", "_block").agg(
         F.count(F.lit(1)).alias("n"))
     starts = kept(sizes.select("shard", "_block", F.coalesce(F.sum("n").over(
         Window.partitionBy("shard").orderBy("_block")
         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start")), "shard-blocks")
-    again = Window.partitionBy("shard", "_block").orderBy(key(4), "doc_id")
+    again = Window.partitionBy("shard", "_block").orderBy(key(4), "doc_id", "_mark")
     sent = dealt(rows, table).drop("_part", "_first", "_rank", "_ends")
     return back(
         sent.withColumn("_place", F.row_number().over(again))

@@ -495,3 +495,16 @@ def test_training_labels(spark):
         ~labelled.held_out()).count()
     some = labelled.training_labels(labels, "toxic", 1000)
     assert 800 < some.count() < 1200 and some.where(labelled.held_out()).isEmpty()
+
+
+def test_shard_parts_rows_of_one_id(spark, monkeypatch):
+    """Half of the rows under one id, or under none, fill no part twice as much as the others."""
+    monkeypatch.setattr(sharding, "PART_ROWS", 100)
+    docs = spark.range(1600).selectExpr(
+        "case when id % 4 = 0 then null when id % 4 = 1 then 7 else id end as doc_id", "'t' || id as text")
+    rows = sharding._marked(docs)
+    parts = [r["n"] for r in rows.groupBy(F.pmod(F.xxhash64(F.lit(7), F.lit(1), "_mark"), F.lit(16))).agg(
+        F.count(F.lit(1)).alias("n")).collect()]
+    assert len(parts) == 16 and max(parts) < 2 * sorted(parts)[8]
+    out = sharding.shard(docs, 5).groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.max("slot").alias("m"))
+    assert sorted((r["n"], r["m"]) for r in out.collect()) == [(320, 319)] * 5
