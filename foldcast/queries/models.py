@@ -359,6 +359,43 @@ def tune(spark, sf_dir):
         rounds=1, parallelism=2))
 
 
+def _halving_sql() -> str:
+    """Four combinations, by leaf size and depth: only the depth and the least leaf matter."""
+    raw = ", ".join(
+        _logistic(f"avg(case when ball = {i} then 1.0::double else 0 end)") + f" as {c}"
+        for i, c in enumerate(v.BALLS))
+    total = " + ".join(v.BALLS)
+    combos = [(12, 1, "code"), (12, 1_000_000_000, "0 * code"), (0, 1, "0 * code"),
+              (0, 1_000_000_000, "0 * code")]
+    parts = [f"""
+select 'maxDepth={d}, minInstancesPerNode={m}' as params, {share}::double as share,
+  avg(-ln(greatest((case ball {_TRUE} end) / ({total}), 1e-15))) as logloss
+from tu join (select {by} as b, {raw} from tu where test = 0 and {cut} group by 1) g on g.b = {by}
+where test = 1""" for d, m, by in combos for share, cut in ((0.5, "half"), (1.0, "true"))]
+    return f""",
+tu as (
+  select row_no, ball, {CODE} as code,
+    case when ((row_no % 1000003) * 7919) % 65537 % 4 = 0 then 1 else 0 end as test,
+    ((row_no % 1000003) * 48271) % 65537 % 2 = 0 as half
+  from pl where ball is not null),
+every as ({" union all ".join(parts)}),
+first as (
+  select *, row_number() over (order by round(logloss, 9), params) as place from every where share = 0.5)
+select params, if(place <= 2, 1.0, 0.5)::double as share,
+  round(if(place <= 2, e.logloss, first.logloss), 6) as logloss
+from first join every e using (params) where e.share = 1.0"""
+
+
+@query("tune_halving", with_pl(_halving_sql()))
+def tune_halving(spark, sf_dir):
+    """Four combinations on half of the rows, the better two on all of them."""
+    pl, _ = pitch_like(spark, sf_dir)
+    rows = labelled(pl.selectExpr("row_no", "ball", f"{CODE} as count_code"), "ball")
+    return rounded(learn.tune_halving(
+        rows, FEATURES, "ball", v.BALLS, {"minInstancesPerNode": [1, 1_000_000_000], "maxDepth": [12, 0]},
+        rounds=1, parallelism=JOBS))
+
+
 _COUNTS = ["ball_cnt", "strike_cnt"]
 
 

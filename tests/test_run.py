@@ -235,3 +235,32 @@ def test_broken_lines(spark, tmp_path):
     assert sorted((r["file"], r["line"]) for r in broken.collect()) == sorted(
         [("part0.csv", b) for b in bad[:2]] + [("part1.csv", b) for b in bad[2:]])
     assert len(rows.columns) == len(names)
+
+
+def test_halving_finds_the_grid_s_best(spark, toy):
+    train = toy.where("ball is not null")
+    grid = {"maxDepth": [0, 1, 4], "minInstancesPerNode": [1, 60]}
+    whole = learn.tune(train, ["x", "z"], "ball", ["a", "b", "c"], grid, rounds=2, parallelism=4).collect()
+    found = learn.tune_halving(train, ["x", "z"], "ball", ["a", "b", "c"], grid, rounds=2,
+                               parallelism=4).collect()
+    assert len(found) == 6 and sorted({r["share"] for r in found}) == [0.25, 0.5, 1.0]
+    assert found[0]["params"] in [r["params"] for r in whole if r["logloss"] == pytest.approx(whole[0]["logloss"])]
+    assert found[0]["logloss"] == pytest.approx(whole[0]["logloss"])
+    small = {r["row_no"] for r in learn.halves(train, 4).collect()}
+    assert small < {r["row_no"] for r in learn.halves(train, 2).collect()}
+
+
+def test_ranges_hold_large_and_small_parts(spark):
+    """One part with most rows lies in many ranges, and ranks stay exact."""
+    from foldcast.operators import ranks
+
+    df = spark.range(3000).selectExpr("id", "if(id % 10 < 8, 0, id % 7) as part", "double(id * 7919 % 1009) as x")
+    got = {(r["part"], r["x"]): (r["n"], r["n_before"], r["n_part"])
+           for r in ranks.cumulative_counts(df, ["part"], "x", 16).collect()}
+    want = {}
+    rows = [(r["part"], r["x"]) for r in df.collect()]
+    for p in {p for p, _ in rows}:
+        own = [x for q, x in rows if q == p]
+        for x in set(own):
+            want[p, x] = (own.count(x), sum(y < x for y in own), len(own))
+    assert got == want
