@@ -6,7 +6,8 @@ window partition holds at most ``CHUNK_ROWS`` rows even when one group is a thir
 
 A group that lies in one chunk is finished by its window. For a group that spans chunks, what
 each chunk needs from the others (whole-group minima, the last value of the chunk before) is
-worked out from one pre-aggregated row per group and chunk. In a log written in order only the
+merged upwards from one stored summary of the finest groups and chunks, so the input is evaluated
+twice however many groups there are: for the summary and for the rows themselves. In a log written in order only the
 groups open at a chunk border span, so this carry table is small; its size is measured, and it
 is broadcast under the bound and joined on (keys, chunk), which cannot be skewed, beyond it.
 """
@@ -44,13 +45,25 @@ class Group:
         return F.struct(*[as_col(c).alias(n) for n, c in self.previous.items()])
 
 
-def _carry(flat: DataFrame, group: Group, order: str) -> tuple[DataFrame, int]:
+def _summary(flat: DataFrame, groups: Sequence[Group], order: str) -> DataFrame:
+    """One row per chunk and finest group (all groups' keys together), stored: every group's
+    statistics and last values, which the coarser groups merge. The input is read once for it."""
+    finest = list(dict.fromkeys(k for g in groups for k in g.keys))
+    parts = [F.max(order).alias("_last_order")]
+    for i, group in enumerate(groups):
+        parts += [_COMBINE[fn](as_col(c)).alias(f"_stat{i}_{n}") for n, (fn, c) in group.stats.items()]
+        if group.previous:
+            parts.append(F.max_by(group.last_values(), F.col(order)).alias(f"_tail{i}"))
+    return stored(flat.groupBy(*finest, CHUNK).agg(*parts))[0]
+
+
+def _carry(summary: DataFrame, i: int, group: Group) -> tuple[DataFrame, int]:
     """One row per chunk of every group that spans chunks, stored, with its bytes."""
     keys = list(group.keys)
-    parts = [_COMBINE[fn](as_col(c)).alias(n) for n, (fn, c) in group.stats.items()]
+    parts = [_MERGE[fn](f"_stat{i}_{n}").alias(n) for n, (fn, _) in group.stats.items()]
     if group.previous:
-        parts.append(F.max_by(group.last_values(), F.col(order)).alias("_chunk_tail"))
-    pieces = flat.where(all_present(keys)).groupBy(*keys, CHUNK).agg(*parts)
+        parts.append(F.max_by(f"_tail{i}", "_last_order").alias("_chunk_tail"))
+    pieces = summary.where(all_present(keys)).groupBy(*keys, CHUNK).agg(*parts)
     whole = Window.partitionBy(*keys)  # one row per chunk of the group
     cols = [_MERGE[fn](n).over(whole).alias(f"_whole_{n}") for n, (fn, _) in group.stats.items()]
     if group.previous:
@@ -69,9 +82,10 @@ def along_groups(df: DataFrame, order: str, groups: Sequence[Group],
     """
     lead, chunk_rows = list(lead or groups[0].keys), chunk_rows or CHUNK_ROWS
     flat = df.withColumn(CHUNK, F.floor(F.col(order) / F.lit(chunk_rows)))
-    first, last = flat.agg(F.min(CHUNK), F.max(CHUNK)).first()
+    summary = _summary(flat, groups, order)
+    first, last = summary.agg(F.min(CHUNK), F.max(CHUNK)).first()
     out = flat.repartition(*lead, CHUNK)
-    for group in groups:
+    for i, group in enumerate(groups):
         inside = Window.partitionBy(*lead, CHUNK, *[k for k in group.keys if k not in lead])
         added = [
             _COMBINE[fn](as_col(c)).over(inside).alias(n) for n, (fn, c) in group.stats.items()
@@ -80,7 +94,7 @@ def along_groups(df: DataFrame, order: str, groups: Sequence[Group],
             before_it = F.lag(group.last_values()).over(inside.orderBy(order))
             added.append(before_it.alias("_chunk_prev"))
         before, out = out.columns, out.select("*", *added)
-        carry, size = (None, 0) if first == last else _carry(flat, group, order)
+        carry, size = (None, 0) if first == last else _carry(summary, i, group)
         if size:
             carry = carry.drop("_chunk_count")
             carry = F.broadcast(carry) if size <= BROADCAST_BYTES else carry

@@ -8,11 +8,12 @@ from foldcast import vocabulary as v
 from foldcast.operators import forecast as fc
 from foldcast.operators import mix, summary
 from foldcast.operators.folds import out_of_fold
-from foldcast.operators.joins import attach_predictions
+from foldcast.operators.joins import attach_predictions, scratch_path
 from foldcast.plans.features import COUNT_KEYS
 from foldcast.queries.registry import query, rounded
 from foldcast.queries.tables import raw_share_sql
 from foldcast.queries.views import PL, pitch_like
+from foldcast.sources.layout import read_by_key, write_by_key
 
 FOLDS = [1, 2, 3, 4]
 
@@ -80,6 +81,24 @@ def ensemble_mean(spark, sf_dir):
     return rounded(fc.ensemble(p, q, v.BALLS))
 
 
+#: Buckets of the tables of this query; for large forecasts one per some million rows.
+BUCKETS = 8
+
+
+@query("ensemble_by_key", PQ + " select row_no, " + ", ".join(
+    f"round((pa.{b} + qa.{b}) / 2, 6) as {b}" for b in v.BALLS) + " from pa join qa using (row_no)")
+def ensemble_by_key(spark, sf_dir):
+    """Both forecasts stored by row number, all folds in the same buckets: averages and ensemble
+    are worked out bucket by bucket."""
+    members = []
+    for keys in (COUNT_KEYS, ["pitcher_id"]):
+        path = scratch_path(spark, "by-key")
+        rows = _freq(spark, sf_dir, keys).where("ball is null").select("row_no", "fold", *v.BALLS)
+        write_by_key(rows, path, "row_no", BUCKETS)
+        members.append(fc.fold_average(read_by_key(spark, path, "row_no", BUCKETS), v.BALLS))
+    return rounded(fc.ensemble(*members, v.BALLS))
+
+
 @query("ensemble_geometric", PQ + ", g as (select row_no, " + ", ".join(
     f"sqrt(pa.{b} * qa.{b}) as {b}" for b in v.BALLS) + " from pa join qa using (row_no))"
     " select row_no, " + ", ".join(

@@ -264,3 +264,52 @@ def test_ranges_hold_large_and_small_parts(spark):
         for x in set(own):
             want[p, x] = (own.count(x), sum(y < x for y in own), len(own))
     assert got == want
+
+
+def test_layout_by_key_needs_no_exchange(spark, tmp_path):
+    """Fold averages and the ensemble of stored forecasts; folds may be appended one by one."""
+    from foldcast.operators import forecast
+    from foldcast.sources import layout
+
+    rows = spark.range(200).selectExpr("id % 50 as row_no", "int(id div 50) + 1 as fold",
+                                       "rand(1) as a", "rand(2) as b")
+    rows = rows.checkpoint()
+    paths = [f"{tmp_path}/{name}" for name in "pq"]
+    layout.write_by_key(rows, paths[0], "row_no", 4)
+    for k in range(1, 5):
+        layout.write_by_key(rows.where(F.col("fold") == k), paths[1], "row_no", 4,
+                            "overwrite" if k == 1 else "append")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        # a session that has lost its catalog
+        spark.sql(f"drop table {layout._name(paths[1])}")
+        p, q = (forecast.fold_average(layout.read_by_key(spark, x, "row_no", 4), ["a", "b"]) for x in paths)
+        out = forecast.ensemble(p, q, ["a", "b"])
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SortMergeJoin" in plan
+        got = {r["row_no"]: r for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    want = {r["row_no"]: r for r in forecast.fold_average(rows, ["a", "b"]).collect()}
+    assert set(got) == set(want) and len(got) == 50
+    assert all(got[n][c] == pytest.approx(want[n][c]) for n in want for c in "ab")
+
+
+def test_events_are_joined_before_they_are_repeated(spark, monkeypatch):
+    """The role joins see every event once, also as shuffled joins; the log is read once for all
+    histories."""
+    from foldcast.operators import joins, roles
+    from foldcast.plans import features
+
+    pl, edges = pitch_like(spark, SF_DIR)
+    tables = features.role_tables(player_like(spark, SF_DIR), pl, edges)
+    probes = []
+    real = roles.sized_join
+    monkeypatch.setattr(roles, "sized_join", lambda df, *a, **k: probes.append(df.count()) or real(df, *a, **k))
+    out = roles.join_roles_by_fold(pl, tables, ["year", "pit_bat"], edges, ["row_no"])
+    n = pl.count()
+    assert probes == [n, n, n] and out.count() > 3 * n
+    lattice = features.labelled_lattice(pl, edges)
+    scans = lattice._jdf.queryExecution().executedPlan().toString().count("Scan parquet")
+    assert scans == 1 and joins.BROADCAST_BYTES > 0

@@ -78,3 +78,30 @@ def test_one_wide_shuffle(spark):
     ])
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_input_is_evaluated_twice(spark):
+    """Once for the summary of all groups and once for the rows, with groups that span chunks."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    src = spark.range(400).selectExpr("id as no", "id div 90 as g", "id div 30 as h", "id * 7 % 13 as x")
+    df = src.mapInArrow(count, src.schema)
+    out = sequence.along_groups(df, "no", [
+        sequence.Group(["g"], stats={"most": ("max", "x")}, previous={"px": "x"}),
+        sequence.Group(["g", "h"], stats={"n": ("count", "x"), "least": ("min", "x")}, previous={"hx": "x"}),
+    ], chunk_rows=16)
+    rows = out.collect()
+    assert len(rows) == 400 and seen.value == 800
+    x = {r["no"]: r["x"] for r in rows}
+    for r in rows:
+        own = [i for i in range(400) if i // 90 == r["g"]]
+        fine = [i for i in own if i // 30 == r["h"]]
+        assert r["most"] == max(x[i] for i in own) and r["n"] == len(fine)
+        assert r["least"] == min(x[i] for i in fine)
+        assert r["px"] == (x[r["no"] - 1] if r["no"] - 1 in own else None)
+        assert r["hx"] == (x[r["no"] - 1] if r["no"] - 1 in fine else None)
