@@ -5,10 +5,10 @@ each part sends to each shard is drawn from the multivariate hypergeometric law,
 list of parts again and again. A part is permuted locally and cut by its row of the matrix; the
 rows are exchanged and permuted again inside blocks of their shard. Row counts of shards differ
 by at most one. All of it is DataFrame and SQL functions; every choice is a hash of the seed and
-of the row's id, so a task that is run again gives the same rows.
+of the row's id and text, so a task that is run again gives the same rows.
 
 Defined results: NULL texts and empty texts are rows like any other; rows with a NULL or repeated
-id each get a slot of their own (which of equal ids gets which is not fixed); an empty table gives
+id each get a slot of their own (which of rows with one id and text gets which is not fixed); an empty table gives
 no rows. Input columns named ``shard`` or ``slot`` are replaced.
 """
 
