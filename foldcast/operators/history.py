@@ -45,13 +45,13 @@ def _activity(rows: DataFrame, keys: Sequence[str], finest: Sequence[str], games
 
 
 def activity_lattice(df: DataFrame, balls: Sequence[str] = BALLS, zones: Sequence[str] = ZONES,
-                     fold: str = "fold") -> DataFrame:
-    """Class counts per fold, plate appearance, hand pair and the three actors that meet in it.
+                     fold: str = "fold",
+                     actors: Sequence[str] = ("pitcher_id", "batter_id", "catcher_id")) -> DataFrame:
+    """Class counts per fold, plate appearance, hand pair and the actors that meet in it.
 
     All histories roll up from this table, so one that is stored serves them all with a single pass
     over the events; it has a row where the log has a plate appearance.
     """
-    actors = ["pitcher_id", "batter_id", "catcher_id"]
     return df.where(F.col(fold).isNotNull()).groupBy(fold, *PLATE, *actors, "pit_bat").agg(
         *_label_counts(balls, zones))
 
@@ -59,7 +59,10 @@ def activity_lattice(df: DataFrame, balls: Sequence[str] = BALLS, zones: Sequenc
 def actor_history(df: DataFrame, role: str, actor: str, balls: Sequence[str] = BALLS,
                   zones: Sequence[str] = ZONES, fold: str = "fold") -> DataFrame:
     """Class counts per (fold, actor, hand) with the role's activity counters, from events."""
-    return lattice_history(activity_lattice(df, balls, zones, fold), role, actor, balls, zones, fold)
+    if role not in ROLE_COUNTERS:
+        raise ValueError(f"unknown role {role!r}")
+    lattice = activity_lattice(df, balls, zones, fold, [actor])
+    return lattice_history(lattice, role, actor, balls, zones, fold)
 
 
 def lattice_history(lattice: DataFrame, role: str, actor: str, balls: Sequence[str] = BALLS,
@@ -68,8 +71,6 @@ def lattice_history(lattice: DataFrame, role: str, actor: str, balls: Sequence[s
 
     Only the pitcher's batters faced are counted per hand; the other counters are per actor.
     """
-    if role not in ROLE_COUNTERS:
-        raise ValueError(f"unknown role {role!r}")
     keys, whole = [fold, "player_id", "pit_bat"], [fold, "player_id"]
     sums = [F.expr(f"sum(`{c}`) as `{c}`") for c in [*balls, *zones]]
     rows = lattice.withColumn("player_id", F.col(actor))
