@@ -29,12 +29,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldcast.llm.components import labels_of
 from foldcast.llm.scratch import aside, kept
 from foldcast.llm.words import chunks, coded, owners, split, text_of
+from foldcast.operators.joins import lookup_join
 
 EDGES = string.punctuation + "«»“”„‘’…¿¡–—"
 WORDS, FLOOR = 5, 0.8
@@ -43,8 +44,9 @@ ROUNDING = 1e-9
 BANDS, ROWS = 16, 5
 #: Share of documents below which a word is rare.
 RARE = 0.001
-#: Buckets up to PAIRED texts are compared pair by pair, larger ones in blocks of about BLOCK.
-PAIRED, BLOCK, SLICE = 16, 256, 2048
+#: Buckets up to PAIRED texts are compared pair by pair, larger ones in blocks of about BLOCK
+#: texts and BLOCK_BYTES of text.
+PAIRED, BLOCK, BLOCK_BYTES, SLICE = 16, 256, 4 << 20, 2048
 _TABLE = 1 << 14
 
 
@@ -253,8 +255,7 @@ def settle(members: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
     First every text meets its bucket's hub, the member with the most company over all bands:
     copies of one text meet that text. Buckets whose members are of one class then are settled.
     In the others members of different classes are compared: small buckets pair by pair, each
-    pair once over all bands; large ones block by block (``_block``). That bounds the number of
-    texts in a task, not their bytes; each of n texts is sent ceil(n / BLOCK) times.
+    pair once over all bands; large ones block by block (``deal``, ``_block``).
     """
     keys = ["band", "key"]
     company = members.groupBy("copy").agg(F.sum("texts").alias("company"))
@@ -277,18 +278,44 @@ def settle(members: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
         star, ["left", "right"], "left_anti")
     second = similarities(pairs, texts, weights).where(F.col("similarity") >= FLOOR - ROUNDING)
 
-    # each member of block i goes to all pairs of blocks that i is in
-    count = F.ceil(F.col("texts") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64(F.lit("block"), "copy"), F.col("blocks")).cast("int")
-    dealt = open_.where(F.col("texts") > PAIRED).withColumn("blocks", count).withColumn(
-        "own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select(*keys, "copy", "class", "own", F.least("own", "other").alias("i"),
-                         F.greatest("own", "other").alias("j")).join(texts, "copy")
+    dealt = deal(open_.where(F.col("texts") > PAIRED), texts).join(texts, "copy")
     third = dealt.groupBy(*keys, "i", "j").applyInArrow(
         lambda table: _block(table, weights), "left string, right string")
     return kept(first.unionByName(second.select("left", "right")).unionByName(third), "dup-known")
 
 
+def deal(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """``members`` of large buckets, once for every pair of blocks ``i``, ``j`` that they are in.
+
+    A bucket's largest class needs no comparison inside, so it gets blocks of its own, which meet
+    the blocks of the other members only. With n members in that class and m others, in p and q
+    blocks, n * q + m * (p + q) rows are sent: few others cost about one row a member. Blocks are
+    counted by texts and by bytes, whichever asks for more; a longer text is a block's share alone.
+    """
+    keys = ["band", "key"]
+    sized = kept(members.select(*keys, "copy", "class").join(
+        texts.select("copy", F.octet_length("text").cast("long").alias("size")), "copy"), "dup-large")
+    by_class = sized.groupBy(*keys, "class").agg(
+        F.count(F.lit(1)).alias("c"), F.sum("size").alias("bytes"))
+    buckets = by_class.groupBy(*keys).agg(
+        F.sum("c").alias("all"), F.sum("bytes").alias("all_bytes"),
+        F.max(F.struct("c", "class", "bytes")).alias("main"))
+
+    def blocks(texts_: Column, bytes_: Column) -> Column:
+        return F.greatest(F.ceil(texts_ / BLOCK), F.ceil(bytes_ / BLOCK_BYTES)).cast("int")
+
+    plan = buckets.select(
+        *keys, F.col("main.class").alias("main"), blocks(F.col("main.c"), F.col("main.bytes")).alias("p"),
+        blocks(F.col("all") - F.col("main.c"), F.col("all_bytes") - F.col("main.bytes")).alias("q"))
+    in_main, mark = F.col("class") == F.col("main"), F.xxhash64(F.lit("block"), "copy")
+    placed = lookup_join(sized, plan, keys, ["copy"]).withColumn("own", F.when(
+        in_main, F.pmod(mark, F.col("p"))).otherwise(F.col("p") + F.pmod(mark, F.col("q"))).cast("int"))
+    met = placed.withColumn("other", F.explode(F.sequence(
+        F.when(in_main, F.col("p")).otherwise(F.lit(0)), F.col("p") + F.col("q") - 1)))
+    return met.select(*keys, "copy", "class", "own", F.least("own", "other").alias("i"),
+                      F.greatest("own", "other").alias("j"))
+
+
 def _block(table: pa.Table, weights: Weights) -> pa.Table:
     """Links between members of different classes in one pair of blocks.
 

@@ -289,6 +289,35 @@ def test_buckets_are_settled(spark, monkeypatch, paired, block):
     assert found.count() < len(rows) * (len(rows) - 1) / 4
 
 
+def test_large_buckets_are_dealt_by_class(spark, monkeypatch):
+    """Every pair of different classes meets in one block pair; few others cost few rows."""
+    monkeypatch.setattr(neardup, "BLOCK", 10)
+    monkeypatch.setattr(neardup, "BLOCK_BYTES", 400)
+    rows = [("x", f"a{i:04}", "t" * 20) for i in range(2000)] + [("o", "o0", "t")]
+    rows += [(c, f"{c}{i}", "t" * (1 + 60 * (i % 3))) for c in "bcd" for i in range(9)]
+    texts = spark.createDataFrame([(k, t) for _, k, t in rows], "copy string, text string")
+    members = spark.createDataFrame(
+        [(0, 5, k, c) for c, k, _ in rows[:2001]] + [(1, 5, k, c) for c, k, _ in rows[2001:]],
+        "band int, key long, copy string, class string")
+    out = neardup.deal(members, texts).collect()
+    sent = collections.Counter(r["band"] for r in out)
+    assert sent[0] == 2000 + 201  # the odd member's own block, and one for each of 200 others
+    met = collections.Counter()
+    groups = collections.defaultdict(list)
+    for r in out:
+        groups[r["band"], r["i"], r["j"]].append(r)
+    for (_, i, j), found in groups.items():
+        for a in found:
+            for b in found:
+                if a["copy"] < b["copy"] and a["class"] != b["class"] and (
+                        i == j or a["own"] != b["own"]):
+                    met[a["copy"], b["copy"]] += 1
+    want = [(k, "o0") for _, k, _ in rows[:2000]]
+    want += [(a[1], b[1]) for a in rows[2001:] for b in rows[2001:] if a[0] < b[0]]
+    assert met == dict.fromkeys(want, 1)
+    assert max(len(g) for g in groups.values()) < 60
+
+
 @pytest.mark.parametrize("paired", [2, 16])
 def test_ties_at_the_floor_are_links(spark, monkeypatch, paired):
     """Texts that share 4 of 5 equal weights each are linked, by pairs and by blocks."""
