@@ -122,6 +122,8 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = 10) -> DataFrame:
     keyed = lines.withColumn("key", line_key("line")).where("key <> ''").select(
         F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), F.col("key")).alias("h2"),
         "doc", "same", "pos")
+    # the range borders are found in a pass of their own, which reads these narrow rows
+    keyed = kept(keyed, "line-keys")
     # a document's lines with one key stay together, so documents can be added up over ranges
     ranged = keyed.repartitionByRange("h1", "h2", "doc", "same").sortWithinPartitions(
         "h1", "h2", "doc", "same", "pos")
