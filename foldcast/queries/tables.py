@@ -388,6 +388,23 @@ def _source_csv(spark, sf_dir, name: str) -> str:
 _CSV_COLUMNS = ["row_no", "ball", "course", "game_date", "half", "pitcher_id", "runner1_id", "bat_order"]
 
 
+def break_lines(lines, path: str) -> None:
+    """Write the log's CSV lines with some of them broken, and the header first in every file.
+
+    A task reads several small files or a part of a large one, so the lines come with headers
+    between them or without any: those are left out and the writer sets its own.
+    """
+    header = ",".join(v.EVENT_COLUMNS)
+    number = F.regexp_extract("value", "^([0-9]+),", 1)
+    mark = F.when(number != "", number.cast("long") % 50)
+    broken = (F.when(mark == 7, F.regexp_replace("value", "^([0-9]+),", "$1,word,"))
+              .when(mark == 8, F.concat("value", F.lit(",1"))).otherwise(F.col("value")))
+    # the line is the only field: no separator occurs in it, and nothing is quoted or stripped
+    lines.where(F.col("value") != header).select(broken.alias(header)).write.csv(
+        path, header=True, sep="\u0001", quote="", ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False)
+
+
 @query("csv_events", f"with {RAW} select {', '.join(_CSV_COLUMNS)} from rawpl")
 def csv_events(spark, sf_dir):
     """The log read from a CSV file with header, under its source's column names."""
@@ -400,13 +417,8 @@ select row_no % 7 as digit, count(*) filter (row_no % 50 not in (7, 8)) as good,
 def csv_quarantine(spark, sf_dir):
     """Lines that do not fit the columns are set apart, and none is lost: some of the log's lines
     have a word for a number, others a field too many."""
-    lines = spark.read.text(_source_csv(spark, sf_dir, "events"))
-    number = F.regexp_extract("value", "^([0-9]+),", 1)
-    mark = F.when(number != "", number.cast("long") % 50)
     path = table_path(scratch_path(spark, "raw"), "broken", "62")
-    lines.select(F.when(mark == 7, F.regexp_replace("value", "^([0-9]+),", "$1,word,"))
-                 .when(mark == 8, F.concat("value", F.lit(",1")))
-                 .otherwise(F.col("value")).alias("value")).write.text(path)
+    break_lines(spark.read.text(_source_csv(spark, sf_dir, "events")), path)
     good, bad = read_events_checked(spark, path)
     both = good.select("row_no", F.lit(1).alias("good")).unionByName(
         bad.select(F.regexp_extract("line", "^([0-9]+),", 1).cast("long").alias("row_no"),

@@ -313,3 +313,23 @@ def test_events_are_joined_before_they_are_repeated(spark, monkeypatch):
     lattice = features.labelled_lattice(pl, edges)
     scans = lattice._jdf.queryExecution().executedPlan().toString().count("Scan parquet")
     assert scans == 1 and joins.BROADCAST_BYTES > 0
+
+
+def test_broken_lines_keep_one_header_a_file(spark, tmp_path):
+    """Several files in one task, and a part of a file without its header."""
+    from foldcast.queries.tables import break_lines
+
+    names = list(v.EVENT_COLUMNS)
+    kinds = [t for _, t in v.EVENT_COLUMNS.values()]
+    head = ",".join(names)
+    for i in range(30):
+        line = ",".join(str(i) if k == 0 else "1" if t in ("bigint", "int") else "" for k, t in enumerate(kinds))
+        lines = [line] if i % 3 == 0 else [head, line]
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / f"part{i:02}.csv").write_text("\n".join(lines) + "\n")
+    break_lines(spark.read.text(str(tmp_path / "in")).coalesce(1), str(tmp_path / "out"))
+    written = [p.read_text().splitlines() for p in (tmp_path / "out").glob("*.csv")]
+    assert written and all(x[0] == head and head not in x[1:] for x in written)
+    rows, broken = files.read_events_checked(spark, str(tmp_path / "out"))
+    assert sorted(r["row_no"] for r in rows.collect()) == [i for i in range(30) if i not in (7, 8)]
+    assert sorted(r["line"].split(",")[:2] for r in broken.collect()) == [["7", "word"], ["8", "1"]]
