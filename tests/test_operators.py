@@ -305,3 +305,17 @@ def test_profile_defaults(spark):
     assert a["univ"] == 1 and a["highsch"] == 0
     assert b["play_year"] == 0 and b["rank_year"] is None and b["salary_year"] is None
     assert b["worked"] == 1 and b["univ"] == 0
+
+
+def test_arrays_are_sorted_behind_the_shuffle_alone(spark, monkeypatch):
+    """What a task makes of a few narrow rows is not held before it is dealt by key."""
+    df = spark.range(200).selectExpr("id div 4 as a", "id % 4 + 1 as fold", "id * 2 as x", "string(id) as y")
+    plans, checkpoint = [], type(df).checkpoint
+    monkeypatch.setattr(type(df), "checkpoint", lambda self, *args: (
+        plans.append(self._jdf.queryExecution().sparkPlan().toString()
+                     + self._jdf.queryExecution().executedPlan().toString()), checkpoint(self, *args))[1])
+    kept, size = joins.stored_arrays(df, ["a"], "fold", range(1, 5), "_f")
+    got = {r["a"]: [tuple(e) for e in r["_f"]] for r in kept.collect()}
+    assert got == {a: [(8 * a + 2 * k, str(4 * a + k)) for k in range(4)] for a in range(50)} and size > 0
+    below = plans[0].rsplit("Exchange hashpartitioning", 1)
+    assert len(below) == 2 and "Aggregate" in below[0] and "Aggregate" not in below[1]
