@@ -105,3 +105,15 @@ def test_input_is_evaluated_twice(spark):
         assert r["least"] == min(x[i] for i in fine)
         assert r["px"] == (x[r["no"] - 1] if r["no"] - 1 in own else None)
         assert r["hx"] == (x[r["no"] - 1] if r["no"] - 1 in fine else None)
+
+
+def test_tasks_follow_the_rows(spark, monkeypatch):
+    """Rows that compress to next to nothing are dealt by their number, not by their bytes."""
+    monkeypatch.setattr(sequence, "TASK_ROWS", 100)
+    df = spark.range(4000).selectExpr("id as row_no", "id div 50 as g", "1 as x")
+    out = sequence.along_groups(df, "row_no", [sequence.Group(["g"], stats={"n": ("sum", "x")},
+                                                              previous={"before": "row_no"})])
+    assert out.rdd.getNumPartitions() == 40
+    rows = out.collect()
+    assert {(r["row_no"], r["n"], r["before"]) for r in rows} == {
+        (i, 50, None if i % 50 == 0 else i - 1) for i in range(4000)}
