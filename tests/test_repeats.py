@@ -78,7 +78,7 @@ def test_cross_validation_is_that_of_all_rows(rows, monkeypatch, classes, metric
 
 def test_each_vector_is_scored_once(rows, monkeypatch):
     members = [(learn.fit_vectors(rows, 3, rounds=2, params={"maxDepth": 12}), ["x", "y", "z"]),
-               (learn.fit_vectors(rows, 1, rounds=1), ["u"])]
+               (learn.fit_vectors(rows, 2, rounds=1), ["u", "w"])]
     kept = rows.withColumn("ball", F.when(F.col("row_no") % 5 > 0, F.col("label")))
     twice = kept.unionByName(kept.where("row_no < 100"))
     scored, score = [], learn.score
@@ -90,7 +90,7 @@ def test_each_vector_is_scored_once(rows, monkeypatch):
     def run():
         scored.clear()
         out = learn.score_once(twice, members, ["row_no", "ball"]).toPandas()
-        assert list(out.columns) == ["row_no", "ball", "x", "y", "z", "u"]
+        assert list(out.columns) == ["row_no", "ball", "x", "y", "z", "u", "w"]
         return out.sort_values("row_no").to_numpy(dtype=float)
 
     monkeypatch.setattr(learn, "score", spy)
