@@ -315,6 +315,58 @@ def test_events_are_joined_before_they_are_repeated(spark, monkeypatch):
     assert scans == 1 and joins.BROADCAST_BYTES > 0
 
 
+def test_lookups_follow_the_log(spark, monkeypatch):
+    """Actors that no event has are in no lookup; broadcast and shuffled joins give the same rows."""
+    from foldcast.operators import joins, roles
+    from foldcast.plans import features
+
+    pl, edges = pitch_like(spark, SF_DIR)
+    actors = player_like(spark, SF_DIR)
+    tables = features.role_tables(actors, pl, edges)
+    mix = pl.groupBy("strike_cnt").agg(F.count("*").alias("seen"))
+    narrow, held, real = pl.select("row_no", "year", "pit_bat", *features.ROLE_IDS.values()), [], roles.sized_join
+    monkeypatch.setattr(roles, "sized_join", lambda df, side, size, on, *a, **k: (
+        held.append((list(on), side.count())), real(df, side, size, on, *a, **k))[1])
+
+    def joined(**more):
+        out = roles.join_roles_by_fold(pl, tables, ["year", "pit_bat"], edges, ["row_no"], **more)
+        columns = sorted({*out.columns} - {"seen"})
+        return out, sorted(r[0] for r in out.select(F.xxhash64(*columns)).collect())
+
+    _, want = joined()
+    held.clear()
+    more = dict(narrow=narrow, more=[(["strike_cnt"], mix)], near=True)
+    out, got = joined(**more)
+    assert got == want and out.where("seen is null").isEmpty()
+    for on, n in held:
+        assert n <= pl.select(*on).distinct().count()
+    at = [r["fold"] for r in out.where(F.spark_partition_id() == 0).collect()]
+    assert at == sorted(at) and len(set(at)) > 1
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(roles, "BROADCAST_BYTES", 0)
+    out, got = joined(**more)
+    assert got == want and out.where("seen is null").isEmpty()
+
+
+def test_partitioned_write_keeps_files_open(spark, tmp_path, monkeypatch):
+    """Wide rows are not sorted only to part them, and the session's setting comes back."""
+    from pyspark.sql import DataFrameWriter
+
+    seen, real = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path: (
+        seen.append(spark.conf.get(files.WRITERS)), real(self, path))[1])
+    before = spark.conf.get(files.WRITERS)
+    for folds in (4, 2 * files.OPEN_FILES):
+        df = spark.range(1000).selectExpr("id", f"int(id % {folds}) as fold").coalesce(1)
+        path = str(tmp_path / f"{folds}")
+        files.write_table(df, path, ["fold"])
+        back = spark.read.parquet(path)
+        assert sorted(map(tuple, back.select("id", "fold").collect())) == [(i, i % folds) for i in range(1000)]
+        names = [n for k in range(folds) for n in (tmp_path / f"{folds}" / f"fold={k}").glob("*.parquet")]
+        assert len(names) == folds and all(".zstd." in n.name for n in names)
+    assert seen == [str(files.OPEN_FILES)] * 2 and spark.conf.get(files.WRITERS) == before
+
+
 def test_broken_lines_keep_one_header_a_file(spark, tmp_path):
     """Several files in one task, and a part of a file without its header."""
     from foldcast.queries.tables import break_lines
