@@ -48,6 +48,8 @@ RARE = 0.001
 #: texts and BLOCK_BYTES of text.
 PAIRED, BLOCK, BLOCK_BYTES, SLICE = 16, 256, 4 << 20, 2048
 _TABLE = 1 << 14
+#: Shingles that are sampled at once.
+_STRIP = 1 << 14
 
 
 def word_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -142,27 +144,46 @@ def _draws(sample: int) -> tuple[np.ndarray, ...]:
 
 
 def samples(owner: np.ndarray, digests: np.ndarray, weights: np.ndarray, count: int) -> np.ndarray:
-    """For each text and sample, the smallest ln a of its shingles.
+    """For each text and sample, the smallest ln a of its shingles, which are sorted by text.
 
     ln a = ln c - r (t - beta + 1) with t = floor(ln w / r + beta); its value stands for the
-    sampled pair (shingle, t), since it depends on nothing else.
+    sampled pair (shingle, t), since it depends on nothing else. All samples of ``_STRIP``
+    shingles are drawn before the next, in buffers that stay in the processor's cache; a text
+    that spans strips keeps the smallest of them.
     """
-    texts, starts = np.unique(owner, return_index=True)
-    out = np.zeros((len(texts), count), np.float32)
-    log_weight = np.log(weights).astype(np.float32)
-    for k in range(count):
-        inverse, r, log_c, beta = _draws(k)
-        # three independent slices of a scramble of the digest
-        x = (digests ^ np.uint64(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) * np.uint64(
-            0xD6E8FEB86659FD93)
-        x ^= x >> np.uint64(32)
-        i = (x & np.uint64(_TABLE - 1)).astype(np.int32)
-        j = ((x >> np.uint64(14)) & np.uint64(_TABLE - 1)).astype(np.int32)
-        m = ((x >> np.uint64(28)) & np.uint64(_TABLE - 1)).astype(np.int32)
-        b = beta[m]
-        t = np.floor(log_weight * inverse[i] + b)
-        out[:, k] = np.minimum.reduceat(log_c[j] - r[i] * (t - b + 1), starts)
-    return out
+    starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]][:len(owner)])
+    out = np.full((count, len(starts)), np.inf, np.float32)
+    width = min(_STRIP, len(owner))
+    bits, index = np.empty(width, np.uint64), np.empty(width, np.uint64)
+    value, looked_up = np.empty(width, np.float32), np.empty(width, np.float32)
+    beta_of = np.empty(width, np.float32)
+    mask, one = np.uint64(_TABLE - 1), np.float32(1)
+    for low in range(0, len(owner), _STRIP):
+        digest = digests[low:low + _STRIP]
+        n = len(digest)
+        log_weight = np.log(weights[low:low + n]).astype(np.float32)
+        x, at, v, found, b = bits[:n], index[:n], value[:n], looked_up[:n], beta_of[:n]
+        place = at.view(np.int64)
+        first, last = np.searchsorted(starts, low, "right") - 1, np.searchsorted(starts, low + n)
+        here = np.maximum(starts[first:last] - low, 0)
+        for k in range(count):
+            inverse, r, log_c, beta = _draws(k)
+            # three independent slices of a scramble of the digest
+            np.bitwise_xor(digest, np.uint64(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1), out=x)
+            np.multiply(x, np.uint64(0xD6E8FEB86659FD93), out=x)
+            np.bitwise_xor(x, np.right_shift(x, np.uint64(32), out=at), out=x)
+            np.bitwise_and(np.right_shift(x, np.uint64(28), out=at), mask, out=at)
+            np.take(beta, place, out=b, mode="clip")
+            np.bitwise_and(x, mask, out=at)
+            np.take(inverse, place, out=v, mode="clip")
+            np.floor(np.add(np.multiply(log_weight, v, out=v), b, out=v), out=v)
+            np.add(np.subtract(v, b, out=v), one, out=v)
+            np.multiply(np.take(r, place, out=found, mode="clip"), v, out=v)
+            np.bitwise_and(np.right_shift(x, np.uint64(14), out=at), mask, out=at)
+            np.subtract(np.take(log_c, place, out=found, mode="clip"), v, out=v)
+            least = out[k, first:last]
+            np.minimum(least, np.minimum.reduceat(v, here), out=least)
+    return np.ascontiguousarray(out.T)
 
 
 def signatures(docs: DataFrame, weights: Weights) -> DataFrame:

@@ -349,6 +349,35 @@ def test_sampling_agrees_with_similarity():
     assert abs(share - weighted(*sets)) < 0.1
 
 
+def test_sampling_in_strips():
+    """Texts that span strips of shingles get the samples of the plain formula, in little memory."""
+    import tracemalloc
+
+    import numpy as np
+
+    strip, count = neardup._STRIP, 6
+    sizes = [1, strip - 2, 1, 3, 3 * strip + 5, strip, 2]
+    rng = np.random.default_rng(7)
+    owner = np.repeat(2 * np.arange(len(sizes)), sizes)
+    digest = rng.integers(0, 1 << 63, len(owner)).astype(np.uint64)
+    weight = rng.random(len(owner)) + 0.05
+    neardup.samples(owner[:1], digest[:1], weight[:1], count)  # draws the tables
+    tracemalloc.start()
+    drawn = neardup.samples(owner, digest, weight, count)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 64 * strip + 4 * len(owner)
+    low = np.log(weight).astype(np.float32)
+    for k in range(count):
+        inverse, r, log_c, beta = neardup._draws(k)
+        x = (digest ^ np.uint64(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) * np.uint64(0xD6E8FEB86659FD93)
+        x ^= x >> np.uint64(32)
+        i, j, m = [((x >> np.uint64(s)) % np.uint64(neardup._TABLE)).astype(int) for s in (0, 14, 28)]
+        value = log_c[j] - r[i] * (np.floor(low * inverse[i] + beta[m]) - beta[m] + 1)
+        assert drawn[:, k].tolist() == [value[owner == o].min() for o in np.unique(owner)]
+    assert neardup.samples(owner[:0], digest[:0], weight[:0], count).shape == (0, count)
+
+
 def test_components(spark):
     edges = [(f"{i:03}", f"{i + 1:03}") for i in range(40)] + [("500", f"{600 + i}") for i in range(30)]
     got = {r["copy"]: r["root"] for r in components.labels_of(
