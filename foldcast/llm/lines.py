@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from foldcast.llm.scratch import aside, kept
+from foldcast.llm.words import chunks
 
 SPACE = " \t\n\x0b\x0c\r"
 _RUN = "h1 long, h2 long, doc long, same long, pos int"
@@ -153,7 +154,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _cut(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
     """Apply the bitmaps: kept lines joined by a line break."""
-    for batch in batches:
+    for batch in (part for whole in batches for part in chunks(whole, "text")):
         texts, drops = batch.column("text").to_pylist(), []
         totals = pc.add(pc.count_substring(pc.fill_null(batch.column("text"), ""), "\n"), 1)
         for i, packed in enumerate(batch.column("_bitmap").to_pylist()):

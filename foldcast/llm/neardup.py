@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldcast.llm.components import labels_of
-from foldcast.llm.scratch import aside, kept
+from foldcast.llm.scratch import aside, kept, small_batches
 from foldcast.llm.words import chunks, coded, owners, split, text_of
 from foldcast.operators.joins import lookup_join
 
@@ -102,7 +102,9 @@ class Weights:
 
 def learn_weights(docs: DataFrame) -> Weights:
     total = docs.count()
-    found = document_frequencies(docs).where(F.col("docs") >= max(2.0, RARE * total)).collect()
+    common = document_frequencies(docs).where(F.col("docs") >= max(2.0, RARE * total))
+    with small_batches(docs.sparkSession):
+        found = common.collect()
     return Weights({r["word"]: r["docs"] for r in found}, total)
 
 

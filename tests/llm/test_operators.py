@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from foldcast.llm import (bpe, components, fertility, labelled, langid, lines, mixing, neardup, rules,
                           sharding, spotsigs, toxicity)
 from foldcast.llm.queries import PIECES, WORD_BPE, vocabulary
-from foldcast.llm.scratch import kept, running_totals
+from foldcast.llm.scratch import BATCH_BYTES, kept, running_totals
 from tests.llm.conftest import SCHEMA, sentence
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -25,6 +25,26 @@ def test_running_totals(spark):
         assert r["upto"] == total
 
 
+def test_batches_follow_bytes(spark):
+    """Long texts come to a task in batches of a few MB, and lines are cut in such parts."""
+    texts = spark.range(0, 6000, 1, 1).selectExpr("id as doc_id", "repeat('some words ', 200) as text")
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["bytes"])
+
+    setting = spark.conf.get(BATCH_BYTES, None)
+    sizes = [r["bytes"] for r in kept(texts.mapInArrow(run, "bytes long"), "t").collect()]
+    assert sum(sizes) > 13_000_000 and max(sizes) < 5_000_000
+    assert spark.conf.get(BATCH_BYTES, None) == setting
+    whole = pa.RecordBatch.from_arrays(
+        [pa.array(["a line\n" * 300] * 6000), pa.array([None] * 6000, pa.binary())],
+        names=["text", "_bitmap"])
+    cut = list(lines._cut(iter([whole]), ["text"]))
+    assert max(part.nbytes for part in cut) < 5_000_000
+    assert pa.Table.from_batches(cut)["text"].to_pylist() == whole["text"].to_pylist()
+
+
 def test_hypergeometric_draw(spark):
     drawn = spark.range(4000).selectExpr("id", "array(3L, 0L, 5L, 2L) as room", "4L as n").withColumn(
         "d", sharding.split_counts("n", "room", "3L, id")).collect()
