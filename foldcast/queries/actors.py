@@ -349,16 +349,19 @@ def role_join(spark, sf_dir):
 
 def _joined(spark, sf_dir, with_mix=False):
     pl, edges = pitch_like(spark, sf_dir)
+    narrow = pl.select("row_no", "year", *ROLE_IDS.values(), *COUNT_KEYS)
+    # the wide columns come after the joins: without a shuffle the files' parts would be the tasks
+    dealt = narrow.repartition("row_no")
 
     def events():
         if not with_mix:
-            return pl
+            return dealt
         mix = conditional_mix(pl.where(in_folds(edges)), COUNT_KEYS, v.BALLS, v.ZONES)
-        return lookup_join(pl, mix, COUNT_KEYS, ["row_no"])
+        return lookup_join(dealt, mix, COUNT_KEYS, ["row_no"])
 
     rows, roles = side_by_side(
         spark, [events, lambda: role_tables(player_like(spark, sf_dir), pl, edges)])
-    return join_roles_by_fold(rows, roles, ["year", "pit_bat"], edges, ["row_no"])
+    return join_roles_by_fold(rows, roles, ["year", "pit_bat"], edges, ["row_no"], narrow)
 
 
 _DIFFS = {f"{c}_dif_{p}": f"{c}_{a} - {c}_{b}"

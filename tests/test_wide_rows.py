@@ -6,8 +6,11 @@ import random
 from pyspark.sql import functions as F
 
 from foldcast.operators import roles
+from foldcast.queries import actors
 from foldcast.queries.registry import nearest, rounded
 
+SF_DIR = "/root/testdata/sf0.001"
+
 
 def test_rounding_is_the_same_to_the_bit(spark):
     dealt = random.Random(7)
@@ -52,3 +55,15 @@ def test_joins_carry_structs(spark):
             assert (r["a_b"], r["b_b"]) == (i % 2 * 10 + 1, i % 2 * 10 + 2)
         widths = join_widths(out._jdf.queryExecution().optimizedPlan())
         assert len(widths) >= 3 and max(widths) < 20  # the 40 columns go through as one
+
+
+def test_pair_combine_looks_up_the_logs_actors_alone(spark, monkeypatch):
+    held = []
+    stored_arrays = roles.stored_arrays
+    monkeypatch.setattr(roles, "stored_arrays", lambda *a: held.append(stored_arrays(*a)) or held[-1])
+    out = actors.pair_combine_(spark, SF_DIR)
+    log = spark.read.parquet(f"{SF_DIR}/events.parquet")
+    users = {r[0] for r in log.select("user_id").distinct().collect()}
+    pitchers = next(t for t, _ in held if "pitcher_id" in t.columns)
+    assert {r[0] for r in pitchers.select("pitcher_id").collect()} <= users
+    assert out.count() == log.count() * 13 // 4  # three quarters have a fold of their own
